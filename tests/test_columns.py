@@ -1,0 +1,117 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F, types as T
+
+from starloom.functions import (
+    calendar_parts,
+    epoch_micros,
+    epoch_to_timestamp,
+    null_if_sentinel,
+    sort_columns,
+    truncate_decimal,
+)
+from starloom.operators import dq_max_length, dq_not_null, dq_unique, require_not_null
+from starloom.sources import cast_safe
+
+
+@pytest.mark.parametrize(
+    "day, week, weekday",
+    [
+        (datetime(2018, 11, 4), 44, 0),
+        (datetime(2018, 12, 31), 1, 1),
+        (datetime(2021, 1, 1), 53, 5),
+    ],
+)
+def test_calendar_edges(spark, day, week, weekday):
+    df = spark.createDataFrame([(day,)], "t timestamp_ntz")
+    row = calendar_parts(df, "t").first()
+    assert (row.week, row.weekday, row.year) == (week, weekday, day.year)
+
+
+def test_epoch_is_cut_to_seconds_and_far_dates_fit(spark):
+    df = spark.createDataFrame([(1541121934796,), (0,), (None,), (4102444800999,)], "ms bigint")
+    assert [r[0] for r in df.select(epoch_to_timestamp("ms")).collect()] == [
+        datetime(2018, 11, 2, 1, 25, 34),
+        datetime(1970, 1, 1),
+        None,
+        datetime(2100, 1, 1),
+    ]
+
+
+def test_epoch_micros_inverts(spark):
+    moment = datetime(2024, 2, 29, 23, 59, 59, 999999)
+    df = spark.createDataFrame([(moment,), (datetime(1969, 12, 31, 23, 59, 59),)], "t timestamp_ntz")
+    assert [r[0] for r in df.select(epoch_micros("t")).collect()] == [1709251199999999, -1000000]
+
+
+@pytest.mark.parametrize(
+    "text, scale, expected",
+    [
+        ("218.93179", 0, "218"),
+        ("-218.93179", 0, "-218"),
+        ("218.93179", 2, "218.93"),
+        ("-0.999999", 5, "-0.99999"),
+        ("1e2", 0, "100"),
+        ("99999999999999999999", 0, None),
+    ],
+)
+def test_decimals_are_cut_toward_zero(spark, text, scale, expected):
+    row = spark.createDataFrame([(text,)], "v string").select(truncate_decimal(F.col("v"), scale)).first()
+    assert row[0] == (None if expected is None else Decimal(expected))
+
+
+def test_cast_safe(spark):
+    df = spark.createDataFrame([("39", "1.9"), ("", " "), ("x", "1.5x"), (None, None)], "a string, b string")
+    out = cast_safe(df, {"a": "int", "b": "decimal"})
+    assert dict(out.dtypes) == {"a": "int", "b": "decimal(18,0)"}
+    assert [tuple(r) for r in out.collect()] == [
+        (39, Decimal(1)), (None, None), (None, None), (None, None),
+    ]
+    fractions = cast_safe(df, {"b": "decimal"}, decimal_scale=1)
+    assert fractions.first().b == Decimal("1.9")
+
+
+def test_cast_safe_strict_fails_on_text_but_not_on_blank(spark):
+    df = spark.createDataFrame([("39",), ("",), (None,)], "a string")
+    assert [r.a for r in cast_safe(df, {"a": "int"}, strict=True).collect()] == [39, None, None]
+    bad = spark.createDataFrame([("x",)], "a string")
+    with pytest.raises(PySparkException, match="does not fit int"):
+        cast_safe(bad, {"a": T.IntegerType()}, strict=True).collect()
+    wide = spark.createDataFrame([("99999999999999999999",)], "a string")
+    with pytest.raises(PySparkException, match="does not fit"):
+        cast_safe(wide, {"a": "decimal"}, strict=True).collect()
+
+
+def test_numbers_are_cut_when_cast_to_integers(spark):
+    df = spark.createDataFrame([(1.9,), (-1.9,)], "a double")
+    assert [r.a for r in cast_safe(df, {"a": "bigint"}).collect()] == [1, -1]
+
+
+def test_sort_columns_place_nulls(spark):
+    df = spark.createDataFrame([(2,), (None,), (1,)], "a int")
+
+    def order(spec):
+        return [r.a for r in df.orderBy(*sort_columns([spec])).collect()]
+
+    assert order("a") == [1, 2, None]
+    assert order(("a", "asc", "first")) == [None, 1, 2]
+    assert order(("a", "desc", "first")) == [None, 2, 1]
+    assert order(("a", "desc", "last")) == [2, 1, None]
+
+
+def test_sentinel(spark):
+    df = spark.createDataFrame([(0,), (5,), (None,)], "y int")
+    assert [r.y for r in null_if_sentinel(df, "y").collect()] == [None, 5, None]
+
+
+def test_audits(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), (None, 2)], "k string, v int")
+    assert {tuple(r) for r in dq_unique(df, ["k"]).collect()} == {("a", 2), (None, 1)}
+    assert tuple(dq_not_null(df, ["k", "v"]).first()) == (1, 1)
+    assert tuple(dq_max_length(df, {"k": 0}).first()) == (3,)
+    assert require_not_null(df.filter("k = 'a'"), ["k", "v"]).count() == 2
+    with pytest.raises(PySparkException, match="NULL in required column v"):
+        require_not_null(df, ["v"]).collect()
