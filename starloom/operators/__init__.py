@@ -14,6 +14,7 @@ from starloom.operators.quality import (
     dq_unique,
     dup_check_group,
     dup_check_window,
+    repeated_keys,
     require_not_null,
     sentinel_probe,
 )
@@ -36,6 +37,7 @@ __all__ = [
     "join_natural_key",
     "latest_per_key",
     "max_per_key",
+    "repeated_keys",
     "require_not_null",
     "row_number_per_key",
     "sentinel_probe",

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.ordering import Order, null_safe_match, sort_columns
+from starloom.operators.quality import repeated_keys
 
 
 def _first_rows(df: DataFrame, keys: Sequence[str], order: Order, count: int, name: str) -> DataFrame:
@@ -59,5 +60,5 @@ def dedupe_delete_reinsert(
     With NULL-safe matching this equals :func:`dedupe_ordered`, which needs one pass
     and is the one to use; this form is for callers that keep the survivors apart.
     """
-    survivors = dup_survivors(df, keys, order)
-    return delete_using_anti(df, survivors, keys, null_safe).unionByName(survivors)
+    singles = delete_using_anti(df, repeated_keys(df, keys), keys, null_safe)
+    return singles.unionByName(dup_survivors(df, keys, order))

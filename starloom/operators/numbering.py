@@ -16,22 +16,24 @@ HOT_ROWS = 5_000_000
 _LOCAL_BITS = 33
 
 
-def _positions(df: DataFrame, order: Order, position: str) -> DataFrame:
+def _positions(df: DataFrame, order: Order | None, position: str) -> DataFrame:
     """Add the 0-based position of each row in the global sort order.
 
     A global sort range-partitions the rows; the position is the row's place in its
     partition plus the sizes of the partitions before it. The sorted rows are pinned
     because both parts must see the same range bounds, and bounds are sampled anew
-    for every shuffle. Rows equal in all sort columns are told apart by their input
-    position, so that even a large group of copies is split over several partitions.
+    for every shuffle. Rows equal in all sort columns are told apart by the input
+    partition they come from: a large group of copies is split over several ranges,
+    and a task that is run again sends its rows where it sent them before.
+
+    Without an order the rows keep their partitions, and nothing is shuffled.
     """
-    ordered = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .orderBy(*sort_columns(order), "_tie")
-        .drop("_tie")
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    placed = pin(ordered, "sorted")
+    if order:
+        tagged = df.withColumn("_from", F.spark_partition_id())
+        df_sorted = tagged.orderBy(*sort_columns(order), "_from").drop("_from")
+    else:
+        df_sorted = df
+    placed = pin(df_sorted.withColumn("_place", F.monotonically_increasing_id()), "placed")
     # One row per partition, so the unpartitioned window below is a few thousand rows.
     sizes = placed.groupBy(F.shiftright("_place", _LOCAL_BITS).alias("_part")).agg(
         F.count("*").alias("_rows")
@@ -46,8 +48,14 @@ def _positions(df: DataFrame, order: Order, position: str) -> DataFrame:
     ).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + local).alias(position))
 
 
-def surrogate_key(df: DataFrame, order_cols: Order, name: str, start: int = 1) -> DataFrame:
-    """Dense ids ``start``, ``start + 1``, ... in the order of ``order_cols``."""
+def surrogate_key(
+    df: DataFrame, order_cols: Order | None, name: str, start: int = 1
+) -> DataFrame:
+    """Dense ids ``start``, ``start + 1``, ... in the order of ``order_cols``.
+
+    ``order_cols=None`` numbers the rows as they lie, which costs no shuffle but may
+    number them differently the next time.
+    """
     numbered = _positions(df, order_cols, "_position")
     return numbered.select(
         (F.col("_position") + start).alias(name), *[F.col(f"`{c}`") for c in df.columns]

@@ -66,6 +66,11 @@ def dup_check_group(
     return groups.orderBy(*order).limit(limit).select(name, *keys)
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that occur more than once, NULL keys included."""
+    return df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter("_rows > 1").drop("_rows")
+
+
 def dq_unique(df: DataFrame, keys: Sequence[str], name: str = "num_rows") -> DataFrame:
     """Every key that is repeated or has a NULL part, with its row count."""
     groups = df.groupBy(*keys).agg(F.count("*").alias(name))

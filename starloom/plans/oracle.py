@@ -200,6 +200,7 @@ WHERE p.l_returnflag = 'R'""",
 SELECT row_number() OVER (ORDER BY o_orderdate NULLS LAST, o_orderkey NULLS LAST) AS order_id,
        o_orderdate, o_orderkey
 FROM orders""",
+    "surrogate_key_load_order": "SELECT row_number() OVER () AS line_id FROM lineitem",
     "count_non_null": f"""
 WITH {_NULLABLE}
 SELECT l_returnflag, count(l_discount) AS num_discounts FROM lines GROUP BY l_returnflag""",

@@ -39,6 +39,7 @@ from starloom.operators import (
     join_natural_key,
     latest_per_key,
     max_per_key,
+    repeated_keys,
     row_number_per_key,
     sentinel_probe,
     surrogate_key,
@@ -291,6 +292,12 @@ def surrogate_key_(spark, sf_dir):
     return surrogate_key(orders, ["o_orderdate", "o_orderkey"], "order_id")
 
 
+def surrogate_key_load_order(spark, sf_dir):
+    """Ids without a sort; which row gets which id is open, so only the ids are shown."""
+    lines = _read(spark, sf_dir, "lineitem").select(LINE_KEY)
+    return surrogate_key(lines, None, "line_id").select("line_id")
+
+
 # --- reports, sorts ------------------------------------------------------------------
 
 
@@ -399,14 +406,13 @@ def dedupe_ordered_(spark, sf_dir):
 
 def delete_using_anti_(spark, sf_dir):
     lines = _read(spark, sf_dir, "lineitem")
-    return delete_using_anti(lines, dup_survivors(lines, LINE_KEY, LINE_ORDER), LINE_KEY)
+    return delete_using_anti(lines, repeated_keys(lines, LINE_KEY), LINE_KEY)
 
 
 def delete_using_equality(spark, sf_dir):
     """SQL equality: rows with a NULL key stay."""
     lines = null_if_sentinel(_read(spark, sf_dir, "lineitem"), "l_linenumber", 7)
-    victims = dup_survivors(lines, LINE_KEY, LINE_ORDER)
-    return delete_using_anti(lines, victims, LINE_KEY, null_safe=False)
+    return delete_using_anti(lines, repeated_keys(lines, LINE_KEY), LINE_KEY, null_safe=False)
 
 
 def dedupe_delete_reinsert_(spark, sf_dir):
@@ -584,6 +590,7 @@ ALL: dict[str, Query] = {
     "join_natural_key": join_natural_key_,
     "fact_build": fact_build_,
     "surrogate_key": surrogate_key_,
+    "surrogate_key_load_order": surrogate_key_load_order,
     "count_non_null": count_non_null,
     "topk_join_agg": topk_join_agg_,
     "topk_join_agg_fanout": topk_join_agg_fanout,

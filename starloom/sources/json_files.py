@@ -129,21 +129,23 @@ def read_with_rejects(
     decimal_scale: int = 0,
     recursive: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Tolerant load: (typed good rows, raw text of broken lines)."""
+    """Tolerant load of JSON lines: (typed good rows, file and text of broken lines)."""
     schema = _text_schema(mapping).add(REJECT_COLUMN, T.StringType())
-    raw = (
-        _reader(spark, "PERMISSIVE", recursive, False)
-        .option("columnNameOfCorruptRecord", REJECT_COLUMN)
-        .schema(schema)
-        .json(path)
-        .withColumn("file", F.input_file_name())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECT_COLUMN}
+    # Parsed from text lines: a JSON scan may not be asked for its broken lines alone.
+    lines = (
+        spark.read.option("recursiveFileLookup", recursive)
+        .text(path)
+        .filter(F.trim("value") != "")
+        .select(
+            F.input_file_name().alias("file"),
+            F.col("value").alias("line"),
+            F.from_json("value", schema, options).alias("_doc"),
+        )
     )
-    first = schema.fields[0].name
-    broken = F.col(REJECT_COLUMN).isNotNull()
-    good = raw.filter(~broken).select(_typed(mapping, False, decimal_scale))
-    # Spark refuses a JSON scan of the reject column alone, so a data column rides along.
-    rejects = raw.filter(broken).select("file", F.col(REJECT_COLUMN).alias("line"), F.col(f"`{first}`"))
-    return good, rejects.select("file", "line")
+    broken = F.col(f"_doc.{REJECT_COLUMN}").isNotNull()
+    good = lines.filter(~broken).select(_typed(mapping, False, decimal_scale, root="_doc"))
+    return good, lines.filter(broken).select("file", "line")
 
 
 def parse_json_mapped(
