@@ -13,12 +13,12 @@ _LINE_REST = (
 
 _PLAYS = """
 cat AS (
-  SELECT o_orderkey, o_orderstatus, CAST(o_custkey // 10 AS VARCHAR) AS band,
-         'Title ' || o_custkey AS title,
-         'Band ' || (o_custkey // 10)
+  SELECT o_orderkey, o_orderstatus, CAST(o_orderkey // 40 AS VARCHAR) AS band,
+         'Title ' || (o_orderkey // 4) AS title,
+         'Band ' || (o_orderkey // 40)
            || CASE WHEN o_orderpriority = '1-URGENT' THEN ' feat. Guest' ELSE '' END
            AS artist_name,
-         CAST(trunc(o_totalprice / 100) AS DECIMAL(18,0)) AS duration
+         CAST(trunc(o_totalprice / 100000) AS DECIMAL(18,0)) AS duration
   FROM orders
 ),
 plays AS (
@@ -46,8 +46,8 @@ _CALENDAR = """
 _STAGING = f"""{_PLAYS},
 staged_songs AS (
   SELECT 'AR' || band AS artist_id,
-         CAST(nullif(o_orderkey % 9, 0) AS DECIMAL(18,0)) AS artist_latitude,
-         CAST(o_orderkey % 5 AS DECIMAL(18,0)) AS artist_longitude,
+         CAST(nullif(o_orderkey % 3, 0) AS DECIMAL(18,0)) AS artist_latitude,
+         CAST(o_orderkey % 2 AS DECIMAL(18,0)) AS artist_longitude,
          CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus END AS artist_location,
          CASE WHEN o_orderkey % 50 <> 7 THEN artist_name END AS artist_name,
          'SO' || (o_orderkey // 2) AS song_id,
@@ -170,18 +170,20 @@ SELECT lang AS language, source AS origin FROM documents WHERE lang IS NOT NULL
 SELECT o_custkey, max(o_orderdate) AS last_order FROM orders GROUP BY o_custkey""",
     "latest_per_key": """
 SELECT DISTINCT o_custkey, o_orderstatus FROM orders
+WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
 QUALIFY rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST) = 1""",
     "latest_per_key_first": """
 SELECT o_custkey, o_orderstatus FROM orders
+WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
 QUALIFY row_number() OVER (
-  PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderstatus) = 1""",
+  PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderstatus NULLS LAST) = 1""",
     "epoch_to_timestamp": f"SELECT event_id, {_MS} AS ms, {_SECOND} AS start_time FROM events",
     "calendar_parts": f"""
 SELECT event_id, start_time, {_CALENDAR}
 FROM (SELECT event_id, {_SECOND} AS start_time FROM events)""",
     "dim_time": f"""
 SELECT start_time, {_CALENDAR}
-FROM (SELECT DISTINCT {_SECOND} AS start_time FROM events)""",
+FROM (SELECT DISTINCT {_SECOND} AS start_time FROM events WHERE ts IS NOT NULL)""",
     "join_natural_key": f"""
 WITH {_PLAYS}
 SELECT p.l_orderkey, p.l_linenumber, p.l_partkey, c.o_orderkey
