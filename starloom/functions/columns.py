@@ -43,8 +43,18 @@ def calendar_parts(df: DataFrame, ts_col: str) -> DataFrame:
     )
 
 
-def truncate_decimal(value: Column, scale: int = 0) -> Column:
-    """Cut a number toward zero to ``scale`` digits; a plain cast would round."""
+def truncate_decimal(
+    value: Column, scale: int = 0, source: T.DataType = T.StringType()
+) -> Column:
+    """Cut a number toward zero to ``scale`` digits; a plain cast would round.
+
+    Whole numbers go through a 64-bit integer, which cuts by itself; binary floats get
+    there without a detour over wide decimals.
+    """
+    fraction = isinstance(source, T.FractionalType) and not isinstance(source, T.DecimalType)
+    if scale == 0:
+        whole = value if fraction else value.try_cast(WIDE)
+        return whole.try_cast("bigint").try_cast("decimal(18,0)")
     wide = value.try_cast(WIDE)
     cut = F.when(wide < 0, F.ceil(wide, F.lit(scale))).otherwise(F.floor(wide, F.lit(scale)))
     return cut.try_cast(f"decimal(18,{scale})")
@@ -70,12 +80,12 @@ def safe_cast(
     text = isinstance(source, T.StringType)
     present = F.nullif(F.trim(value), F.lit("")) if text else value
     if name == "decimal":
-        result = truncate_decimal(present, decimal_scale)
+        result = truncate_decimal(present, decimal_scale, source)
     elif name.startswith("decimal("):
-        result = truncate_decimal(present, int(name.rstrip(")").split(",")[1]))
+        result = truncate_decimal(present, int(name.rstrip(")").split(",")[1]), source)
         result = result.try_cast(name)
     elif not text and isinstance(source, T.FractionalType) and name in ("int", "bigint"):
-        result = truncate_decimal(present, 0).try_cast(name)
+        result = truncate_decimal(present, 0, source).try_cast(name)
     else:
         result = present.try_cast(name)
     if not strict:

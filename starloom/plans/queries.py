@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StructType
 
 from starloom.functions import (
     calendar_parts,
@@ -103,7 +103,7 @@ def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         band.alias("band"),
         F.concat(F.lit("Title "), title).alias("title"),
         F.concat(F.lit("Band "), band, guest).alias("artist_name"),
-        truncate_decimal(F.col("o_totalprice") / 100000).alias("duration"),
+        truncate_decimal(F.col("o_totalprice") / 100000, source=DoubleType()).alias("duration"),
     )
 
 

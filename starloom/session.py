@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Sizes are compressed bytes, and copies of one row compress very well.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
