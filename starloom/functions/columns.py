@@ -91,8 +91,9 @@ def safe_cast(
     if not strict:
         return result
     message = F.concat(F.lit(f"value does not fit {name}: "), present.cast("string"))
-    failure = F.raise_error(message).cast(name if name != "decimal" else f"decimal(18,{decimal_scale})")
-    return F.when(present.isNotNull() & result.isNull(), failure).otherwise(result)
+    kind = f"decimal(18,{decimal_scale})" if name == "decimal" else name
+    # The value is computed once; the text is looked at again only where that gave NULL.
+    return F.coalesce(result, F.when(present.isNotNull(), F.raise_error(message).cast(kind)))
 
 
 def null_if_sentinel(df: DataFrame, column: str, value=0) -> DataFrame:

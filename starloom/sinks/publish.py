@@ -39,7 +39,8 @@ def _laid_out(df: DataFrame, bucket_by: Bucketing | None, sort_by: Sequence[str]
 
     Bucketed output uses a rebalance instead of a plain repartition by key: adaptive
     execution cuts an oversized bucket into several files, so a hot key does not end
-    up in a single writer.
+    up in a single writer. With a multiple of the buckets as shuffle partitions each
+    writer serves one bucket.
     """
     if bucket_by:
         return df.hint("rebalance", *bucket_by[1])

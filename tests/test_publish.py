@@ -113,6 +113,21 @@ def test_pin_goes_to_the_shared_folder(spark):
     assert pin(spark.range(0), "none").isEmpty()
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def __init__(self, **values):
+            self.get = values.get
+
+    class Session:
+        def __init__(self, **values):
+            self.conf = Conf(**values)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session(**{"spark.master": "spark://host:7077"}))
+    assert scratch_root(Session(**{"spark.checkpoint.dir": "s3a://b/x/"})) == "s3a://b/x"
+    assert scratch_root(Session(**{"spark.master": "local[2]"}))
+
+
 def test_null_keys_in_deletes(spark):
     df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
     victims = spark.createDataFrame([(None,), ("a",)], "k string")
