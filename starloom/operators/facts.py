@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
 
 def join_natural_key(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:

@@ -16,24 +16,34 @@ HOT_ROWS = 5_000_000
 _LOCAL_BITS = 33
 
 
-def _positions(df: DataFrame, order: Order | None, position: str) -> DataFrame:
+def _positions(
+    df: DataFrame, order: Order | None, position: str, stable_input: bool = False
+) -> DataFrame:
     """Add the 0-based position of each row in the global sort order.
 
-    A global sort range-partitions the rows; the position is the row's place in its
+    The rows are range-partitioned and sorted; the position is the row's place in its
     partition plus the sizes of the partitions before it. The sorted rows are pinned
     because both parts must see the same range bounds, and bounds are sampled anew
-    for every shuffle. Rows equal in all sort columns are told apart by the input
-    partition they come from: a large group of copies is split over several ranges,
-    and a task that is run again sends its rows where it sent them before.
+    for every shuffle.
+
+    Rows equal in all sort columns are told apart by a tag, which lets a large group of
+    copies spread over several ranges. The tag numbers the rows as they arrive, so it is
+    pinned too: a task run again after a lost executor must send each row where it went
+    before. Only a ``stable_input`` arrives in the same order every time and needs no pin.
+    The number of ranges is given, as adaptive execution would merge ranges by compressed
+    size and so put a group of copies together again.
 
     Without an order the rows keep their partitions, and nothing is shuffled.
     """
+    laid_out = df
     if order:
-        tagged = df.withColumn("_from", F.spark_partition_id())
-        df_sorted = tagged.orderBy(*sort_columns(order), "_from").drop("_from")
-    else:
-        df_sorted = df
-    placed = pin(df_sorted.withColumn("_place", F.monotonically_increasing_id()), "placed")
+        tagged = df.withColumn("_tag", F.monotonically_increasing_id())
+        if not stable_input:
+            tagged = pin(tagged, "tagged")
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        by = [*sort_columns(order), F.col("_tag")]
+        laid_out = tagged.repartitionByRange(ranges, *by).sortWithinPartitions(*by).drop("_tag")
+    placed = pin(laid_out.withColumn("_place", F.monotonically_increasing_id()), "placed")
     # One row per partition, so the unpartitioned window below is a few thousand rows.
     sizes = placed.groupBy(F.shiftright("_place", _LOCAL_BITS).alias("_part")).agg(
         F.count("*").alias("_rows")
@@ -49,14 +59,20 @@ def _positions(df: DataFrame, order: Order | None, position: str) -> DataFrame:
 
 
 def surrogate_key(
-    df: DataFrame, order_cols: Order | None, name: str, start: int = 1
+    df: DataFrame,
+    order_cols: Order | None,
+    name: str,
+    start: int = 1,
+    stable_input: bool = False,
 ) -> DataFrame:
     """Dense ids ``start``, ``start + 1``, ... in the order of ``order_cols``.
 
     ``order_cols=None`` numbers the rows as they lie, which costs no shuffle but may
-    number them differently the next time.
+    number them differently the next time. Say ``stable_input=True`` for a plain scan of
+    files, possibly filtered and projected: reading it again gives the same row order,
+    which saves one write of the rows.
     """
-    numbered = _positions(df, order_cols, "_position")
+    numbered = _positions(df, order_cols, "_position", stable_input)
     return numbered.select(
         (F.col("_position") + start).alias(name), *[F.col(f"`{c}`") for c in df.columns]
     )

@@ -293,7 +293,7 @@ def fact_build_(spark, sf_dir):
 
 def surrogate_key_(spark, sf_dir):
     orders = _read(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey")
-    return surrogate_key(orders, ["o_orderdate", "o_orderkey"], "order_id")
+    return surrogate_key(orders, ["o_orderdate", "o_orderkey"], "order_id", stable_input=True)
 
 
 def surrogate_key_load_order(spark, sf_dir):
@@ -350,7 +350,7 @@ def sort_mixed_nulls(spark, sf_dir):
 def sort_positions(spark, sf_dir):
     """Place of every line item in the same order."""
     lines = _nullable_lines(spark, sf_dir).select(MIXED_COLUMNS)
-    return surrogate_key(lines, MIXED_ORDER, "place")
+    return surrogate_key(lines, MIXED_ORDER, "place", stable_input=True)
 
 
 # --- duplicates ----------------------------------------------------------------------

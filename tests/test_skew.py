@@ -123,8 +123,9 @@ def test_surrogate_key_is_dense_in_order(hot, rows):
     ]
 
 
-def test_copies_are_numbered_by_several_tasks(spark, monkeypatch):
-    """All rows equal: a range partition on the sort columns alone would be one task."""
+@pytest.mark.parametrize("stable_input", [True, False])
+def test_copies_are_numbered_by_several_tasks(spark, monkeypatch, stable_input):
+    """All rows equal and from one task: ranges of the sort columns alone would be one."""
     pinned = []
     original = numbering.pin
 
@@ -133,11 +134,11 @@ def test_copies_are_numbered_by_several_tasks(spark, monkeypatch):
         return pinned[-1]
 
     monkeypatch.setattr(numbering, "pin", keep)
-    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
-        copies = spark.range(0, 20_000, 1, 8).select(F.lit("same").alias("key"))
-        ids = [r.row_id for r in surrogate_key(copies, ["key"], "row_id").collect()]
-    assert sorted(ids) == list(range(1, 20_001))
-    parts = pinned[0].groupBy(F.shiftright("_place", 33)).count().collect()
+    copies = spark.range(0, 20_000, 1, 1).select(F.lit("same").alias("key"))
+    keyed = surrogate_key(copies, ["key"], "row_id", stable_input=stable_input)
+    assert sorted(r.row_id for r in keyed.collect()) == list(range(1, 20_001))
+    assert len(pinned) == (1 if stable_input else 2)
+    parts = pinned[-1].groupBy(F.shiftright("_place", 33)).count().collect()
     assert len(parts) == 4 and max(p["count"] for p in parts) < 10_000
 
 
