@@ -64,8 +64,9 @@ staged_events AS (
          CASE WHEN l_suppkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
          CASE WHEN l_linestatus = 'F' THEN 'free' ELSE 'paid' END AS level,
          'Place ' || (l_suppkey % 25) AS location,
-         l_returnflag = 'R' AS is_play,
-         CAST(l_orderkey AS VARCHAR) AS session_id,
+         l_returnflag = 'R' AND l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL
+           AND NOT coalesce(l_linenumber = 7 AND l_suppkey % 10 = 0, false) AS is_play,
+         CAST(l_orderkey % 2147483647 AS VARCHAR) AS session_id,
          epoch_us(l_shipdate) // 1000 + 40500 AS ms,
          'agent ' || l_linenumber AS user_agent,
          CAST(CASE WHEN l_linenumber = 7 AND l_suppkey % 10 = 0 THEN NULL ELSE l_suppkey END
@@ -127,6 +128,14 @@ GROUP BY a.name ORDER BY num_plays DESC, a.name NULLS LAST LIMIT 5"""
     )
 
 
+_PLAY_IDS = _star(
+    """SELECT row_number() OVER (
+         ORDER BY start_time NULLS LAST, user_id NULLS LAST, session_id NULLS LAST,
+                  song_id NULLS LAST, artist_id NULLS LAST) AS songplay_id,
+       start_time, user_id, session_id, song_id, artist_id
+FROM star_plays"""
+)
+
 _LINE_WINDOW = f"PARTITION BY l_orderkey, l_linenumber ORDER BY {_LINE_REST}"
 
 # First rows of repeated (order, line number) keys, and everything without them.
@@ -309,14 +318,11 @@ FROM lines""",
 SELECT count(*) FILTER (length(text) > 256) AS text_too_long,
        count(*) FILTER (length(lang) > 5) AS lang_too_long
 FROM documents""",
+    "publish_swap": "SELECT * FROM orders WHERE o_orderstatus <> 'P'",
+    "publish_append_twice": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
+    "publish_bucketed": "SELECT * FROM lineitem",
     "star_songplays": _star("SELECT * FROM star_plays"),
-    "star_play_ids": _star(
-        """SELECT row_number() OVER (
-         ORDER BY start_time NULLS LAST, user_id NULLS LAST, session_id NULLS LAST,
-                  song_id NULLS LAST, artist_id NULLS LAST) AS songplay_id,
-       start_time, user_id, session_id, song_id, artist_id
-FROM star_plays"""
-    ),
+    "star_play_ids": _PLAY_IDS,
     "star_users": _star("SELECT * FROM star_users"),
     "star_songs": _star("SELECT * REPLACE (nullif(year, 0) AS year) FROM star_songs"),
     "star_artists": _star("SELECT * FROM star_artists"),
@@ -349,4 +355,5 @@ HAVING count(*) > 1 OR start_time IS NULL OR user_id IS NULL OR session_id IS NU
     OR song_id IS NULL"""
     ),
     "star_year_zero": _star("SELECT count(*) AS num_sentinels FROM star_songs WHERE year = 0"),
+    "star_job": _PLAY_IDS,
 }

@@ -10,6 +10,7 @@ tables. ``starloom.plans.oracle`` holds the SQL each result must equal.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -47,7 +48,7 @@ from starloom.operators import (
     topk_join_agg,
 )
 from starloom.plans import schemas, star
-from starloom.sinks import scratch_path
+from starloom.sinks import publish, scratch_path
 from starloom.sources import cast_safe, parse_json_auto, parse_json_mapped
 from starloom.sources import read_json_auto, read_json_mapped
 
@@ -452,6 +453,40 @@ def dq_max_length_(spark, sf_dir):
     return dq_max_length(_read(spark, sf_dir, "documents"), {"text": 256, "lang": 5})
 
 
+# --- published tables ----------------------------------------------------------------
+
+
+def _scratch_db(spark, label: str) -> str:
+    """A database of its own in the scratch folder."""
+    name = f"starloom_{label}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, label)}'")
+    return name
+
+
+def publish_swap(spark, sf_dir):
+    """Publish orders, then replace them by a part of what the table holds."""
+    table = f"{_scratch_db(spark, 'swap')}.orders"
+    publish(_read(spark, sf_dir, "orders"), table, sort_by=["o_orderkey"])
+    publish(spark.table(table).filter("o_orderstatus <> 'P'"), table, sort_by=["o_orderkey"])
+    return spark.table(table)
+
+
+def publish_append_twice(spark, sf_dir):
+    table = f"{_scratch_db(spark, 'append')}.orders"
+    for _ in range(2):
+        publish(_read(spark, sf_dir, "orders"), table, mode="append")
+    return spark.table(table)
+
+
+def publish_bucketed(spark, sf_dir):
+    """Line items stored by order, in as many buckets as shuffle partitions."""
+    table = f"{_scratch_db(spark, 'buckets')}.lineitem"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = _read(spark, sf_dir, "lineitem")
+    publish(lines, table, bucket_by=(buckets, ["l_orderkey"]), sort_by=["l_orderkey"])
+    return spark.table(table)
+
+
 # --- the star schema on derived staging rows -------------------------------------------
 
 
@@ -479,7 +514,13 @@ def staging_events(spark, sf_dir) -> DataFrame:
     unknown = (F.col("l_linenumber") == 7) & (user % 10 == 0)
     # Half a second past a full one, to be cut; days repeat, so users have tied events.
     millis = F.call_function("div", epoch_micros("l_shipdate"), F.lit(1000)) + 40500
-    page = F.when(F.col("l_returnflag") == "R", schemas.PLAY_PAGE).otherwise("Home")
+    complete = (
+        ~F.coalesce(unknown, F.lit(False))
+        & user.isNotNull()
+        & F.col("l_shipdate").isNotNull()
+        & (F.col("l_returnflag") == "R")
+    )
+    page = F.when(complete, schemas.PLAY_PAGE).otherwise("Home")
     return plays.select(
         "artist",
         F.concat(F.lit("F"), user.cast("string")).alias("firstName"),
@@ -489,7 +530,7 @@ def staging_events(spark, sf_dir) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", "free").otherwise("paid").alias("level"),
         F.concat(F.lit("Place "), (user % 25).cast("string")).alias("location"),
         page.alias("page"),
-        F.col("l_orderkey").cast("int").alias("sessionId"),
+        (F.col("l_orderkey") % 2147483647).cast("int").alias("sessionId"),
         "song",
         millis.alias("ts"),
         F.concat(F.lit("agent "), F.col("l_linenumber").cast("string")).alias("userAgent"),
@@ -574,6 +615,24 @@ def star_year_zero(spark, sf_dir):
     return sentinel_probe(star.songs(staging_songs(spark, sf_dir)), "year")
 
 
+def star_job(spark, sf_dir):
+    """The whole job from JSON files to published tables; shows the published plays."""
+    constants = {"auth": "Logged In", "method": "PUT", "registration": "1540919166796"}
+    events = staging_events(spark, sf_dir).withColumns(
+        {
+            **{name: F.lit(value) for name, value in constants.items()},
+            "iteminSession": F.lit(0),
+            "status": F.lit(200),
+            "userId": F.coalesce(F.col("userId").cast("string"), F.lit("")),
+        }
+    )
+    log, catalogue = scratch_path(spark, "log"), scratch_path(spark, "catalogue")
+    events.write.json(log)
+    staging_songs(spark, sf_dir).write.json(catalogue)
+    run = star.run_star(spark, log, catalogue, _scratch_db(spark, "star"))
+    return run.tables["songplays"].select("songplay_id", *star.PLAY_ORDER)
+
+
 ALL: dict[str, Query] = {
     "scan_json_mapped": scan_json_mapped,
     "scan_json_auto": scan_json_auto,
@@ -620,6 +679,9 @@ ALL: dict[str, Query] = {
     "dq_unique": dq_unique_,
     "dq_not_null": dq_not_null_,
     "dq_max_length": dq_max_length_,
+    "publish_swap": publish_swap,
+    "publish_append_twice": publish_append_twice,
+    "publish_bucketed": publish_bucketed,
     "star_songplays": star_songplays,
     "star_play_ids": star_play_ids,
     "star_users": star_users,
@@ -637,4 +699,5 @@ ALL: dict[str, Query] = {
     "star_songplays_duplicates": star_songplays_duplicates,
     "star_songplays_true_duplicates": star_songplays_true_duplicates,
     "star_year_zero": star_year_zero,
+    "star_job": star_job,
 }

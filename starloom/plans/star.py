@@ -24,7 +24,7 @@ from starloom.operators import (
     topk_join_agg,
 )
 from starloom.plans import schemas
-from starloom.sinks.publish import create_tables, publish
+from starloom.sinks.publish import publish
 from starloom.sources import (
     drop_tables,
     path_mapping,
@@ -225,7 +225,6 @@ def run_star(
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     bucketed = layout(buckets)
     star = {name: schemas.all_tables(scale)[name] for name in STAR}
-    create_tables(spark, db, star, bucketed)
 
     staged = load_staging(spark, log_path, catalogue_path, db, log_paths_file, scale, load_mode)
     events, catalogue = staged["staging_events"], staged["staging_songs"]
@@ -242,7 +241,7 @@ def run_star(
     how = "append" if append else "swap"
     plays = require_not_null(songplays(events, catalogue), schemas.REQUIRED)
     first_id = 1
-    if append:
+    if append and spark.catalog.tableExists(f"{db}.songplays"):
         first_id += table("songplays").agg(F.coalesce(F.max("songplay_id"), F.lit(0))).first()[0]
     order = PLAY_ORDER if ordered_ids else None
     put("songplays", surrogate_key(plays, order, "songplay_id", first_id), how)
