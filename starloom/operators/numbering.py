@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.ordering import Order, null_safe_match, sort_columns
+from starloom.operators.quality import HOT_ROWS
 from starloom.sinks.scratch import pin
 
-# A key with more rows than this is numbered across tasks instead of inside one window.
-HOT_ROWS = 5_000_000
-
 # monotonically_increasing_id() is (partition << 33) + row within the partition.
 _LOCAL_BITS = 33
 
