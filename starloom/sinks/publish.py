@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 Bucketing = tuple[int, Sequence[str]]
 
@@ -40,12 +40,15 @@ def _laid_out(df: DataFrame, bucket_by: Bucketing | None, sort_by: Sequence[str]
     Bucketed output uses a rebalance instead of a plain repartition by key: adaptive
     execution cuts an oversized bucket into several files, so a hot key does not end
     up in a single writer. With a multiple of the buckets as shuffle partitions each
-    writer serves one bucket.
+    writer serves one bucket. Sorted output ranges over the key and the input partition,
+    for the same reason.
     """
     if bucket_by:
         return df.hint("rebalance", *bucket_by[1])
     if sort_by:
-        return df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+        spread = df.withColumn("_from", F.spark_partition_id())
+        ranges = spread.repartitionByRange(*sort_by, "_from")
+        return ranges.sortWithinPartitions(*sort_by).drop("_from")
     return df
 
 

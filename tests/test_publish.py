@@ -1,7 +1,7 @@
 from pathlib import Path
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from starloom.operators import delete_using_anti
 from starloom.sinks import create_tables, pin, publish, scratch_root, truncate_table
@@ -85,6 +85,20 @@ def test_bucketed_tables_join_without_a_shuffle(spark, db):
         publish(spark.table(f"{db}.facts"), f"{db}.facts")
 
 
+def test_sorted_files_cover_ranges_and_a_hot_value_spreads(spark, db):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        publish(spark.range(0, 8000, 1, 8), f"{db}.ranged", sort_by=["id"])
+        publish(spark.range(0, 8000, 1, 8).selectExpr("1 as k", "id"), f"{db}.hot", sort_by=["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.table(f"{db}.ranged").groupBy(F.input_file_name()).agg(F.min("id"), F.max("id"))
+    spans = sorted((low, high) for _, low, high in files.collect())
+    assert len(spans) == 4 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    sizes = spark.table(f"{db}.hot").groupBy(F.input_file_name()).count().collect()
+    assert sum(r[1] for r in sizes) == 8000 and max(r[1] for r in sizes) < 4000
+
+
 def test_columns_must_stay(spark, db):
     publish(spark.range(3), f"{db}.typed")
     with pytest.raises(ValueError, match="columns differ"):
