@@ -86,3 +86,30 @@ SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_h
   n_hit IS NOT NULL AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all({_ASCII}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + least(5, len(w))], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(greatest(1, len(w) - 4))) AS i FROM doc WHERE len(w) > 0)
+),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+link AS (
+  SELECT x, y FROM common JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y
+  WHERE 100 * c >= 75 * (a.n + b.n - c)
+),
+reach AS (
+  SELECT doc_id AS node, doc_id AS other FROM documents
+  UNION
+  SELECT node, y FROM reach JOIN link ON other = x
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM documents LEFT JOIN size USING (doc_id) JOIN reach ON doc_id = node
+GROUP BY doc_id, n
+"""

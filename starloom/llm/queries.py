@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import decontam, oracle, shards, tokens, warc
+from starloom.llm import decontam, near_dedup, oracle, shards, tokens, warc
 from starloom.sinks.scratch import scratch_path
 
 
@@ -39,6 +39,11 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.document_shards(_table(spark, sf_dir, "documents"), 40)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest id among its near copies."""
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives, read back and assembled."""
     path = scratch_path(spark, "warc")
@@ -50,11 +55,13 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op4_shards": op4_shards,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_warc": op7_warc,
 }
 
 SQL: dict[str, str] = {
     "op2_decontamination": oracle.DECONTAMINATION,
     "op4_shards": oracle.SHARDS,
+    "op6_near_duplicates": oracle.NEAR_DUPLICATES,
     "op7_warc": oracle.WARC,
 }
