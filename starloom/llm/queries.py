@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import decontam, near_dedup, oracle, shards, tokens, warc
+from starloom.llm import decontam, fingerprints, mixing, near_dedup, oracle, secrets, shards, tokens, warc
 from starloom.sinks.scratch import scratch_path
 
 
@@ -34,6 +34,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(documents, benchmark).drop("spans")
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside those of its edited text and the next document."""
+    return fingerprints.compare_neighbours(_table(spark, sf_dir, "documents"))
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 contiguous shards of equal bytes."""
     return shards.document_shards(_table(spark, sf_dir, "documents"), 40)
@@ -51,12 +56,26 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve(warc.assemble(warc.read_warc(spark, path, payloads=False)))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, credentials of several parts linked."""
+    return secrets.secret_report(_table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's places in a mixture of the sources to tempered weights."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).drop("text")
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
+    "op3_order_minhash": op3_order_minhash,
     "op4_shards": op4_shards,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_warc": op7_warc,
+    "op8_secrets": op8_secrets,
+    "op9_mixing": op9_mixing,
 }
 
 SQL: dict[str, str] = {
