@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import decontam, fingerprints, mixing, near_dedup, oracle, secrets, shards, tokens, warc
+from starloom.llm import (
+    decontam,
+    fingerprints,
+    mixing,
+    near_dedup,
+    oracle,
+    quality,
+    secrets,
+    shards,
+    tokens,
+    training_order,
+    warc,
+)
 from starloom.sinks.scratch import scratch_path
 
 
@@ -14,11 +26,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_file() -> str:
-    """The byte-level vocabulary of the public tokenizers."""
+#: Fixed value: the id of the end mark in the byte-level vocabulary.
+END = 50256
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """A file of the public tokenizers."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +60,13 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.document_shards(_table(spark, sf_dir, "documents"), 40)
 
 
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in fixed-stride shards, read back."""
+    docs = _table(spark, sf_dir, "documents")
+    path, ranks = scratch_path(spark, "shards"), tokenizer_file("byte_bpe_50k.tiktoken")
+    return training_order.training_sequences(docs, path, ranks, END)
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest id among its near copies."""
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -67,15 +90,23 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).drop("text")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learnt from two thirds of the labels."""
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return quality.score_documents(docs, labels)
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op3_order_minhash": op3_order_minhash,
     "op4_shards": op4_shards,
+    "op5_training_order": op5_training_order,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_warc": op7_warc,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {
