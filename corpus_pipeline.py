@@ -1,26 +1,72 @@
-"""From raw documents to training order, stage by stage."""
+"""From raw documents to training order, stage by stage.
+
+Each stage takes (spark, docs, sf_dir), works on all rows that the stage before it kept and
+returns a DataFrame; all but the last keep the columns of the documents.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from starloom.llm import decontam
-from starloom.sinks.scratch import pin
+from starloom.llm import decontam, mixing, near_dedup, quality, queries, training_order
+from starloom.sinks.scratch import pin, scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line field scores 0.5 or more."""
+    labels = _table(spark, sf_dir, "labels").filter(~quality.held_out())
+    scored = quality.add_scores(docs, quality.train(docs, labels), "_quality")
+    return scored.filter("_quality >= 0.5").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id.
+
+    Of rows with the same id and text one stays. Rows without an id stay.
+    """
+    found = near_dedup.near_duplicates(docs)
+    kept = found.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept"))
+    known = docs.join(kept.distinct(), F.col("doc_id") == F.col("_kept"), "left_semi")
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
+    once = known.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1")
+    return once.select(docs.columns).union(docs.filter("doc_id IS NULL"))
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of ten words with a benchmark item."""
     found = decontam.find_benchmark(docs, _table(spark, sf_dir, "benchmark"))
     return found.filter("_hits.n_hit = 0").select(docs.columns)
 
 
-STAGES = [("benchmark decontamination", benchmark_decontamination)]
+def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in the order of a mixture to tempered weights, those of sources below
+    their weight once more; every document stays."""
+    mixed = mixing.mix(docs)
+    ordered = mixed.repartitionByRange("mix_slot", "mix_offset")
+    return ordered.sortWithinPartitions("mix_slot", "mix_offset").select(docs.columns)
+
+
+def training_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in fixed-stride shards in training order; one row per sequence."""
+    ranks = queries.tokenizer_file("byte_bpe_50k.tiktoken")
+    return training_order.training_sequences(
+        docs, scratch_path(spark, "shards"), ranks, queries.END
+    )
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("MinHash near-dedup", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("mixing sources to target weights", source_mixture),
+    ("token-ID / binary output", training_shards),
+]
 
-#: The stages train a classifier and permute by key, which SQL cannot express.
+#: A trained classifier, a schedule and tokenized shards cannot be said in SQL.
 ORACLE_SQL = None
 
 
@@ -28,5 +74,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each is written and read again before the next."""
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = pin(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = pin(stage(spark, docs, sf_dir), f"stage-{stage.__name__}")
     return docs
