@@ -188,17 +188,19 @@ def find_benchmark(
     patterns = _patterns(benchmark, window).persist()
     size = patterns.agg(F.coalesce(F.sum(F.octet_length("window") + 2), F.lit(0))).first()[0]
     passes = max(1, -(-size // AUTOMATON_BYTES))
-    out = docs.drop("_hits")
+    # The document's own columns travel as one, so that their names cannot clash.
+    kept = [c for c in docs.columns if c != "_hits"]
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_own"))
     for k in range(passes):
         mine = patterns.filter(F.pmod(F.xxhash64("window"), F.lit(passes)) == k)
         # At most about AUTOMATON_BYTES of patterns.
         shared = spark.sparkContext.broadcast([(bytes(r[0]), list(r[1])) for r in mine.collect()])
-        out = out.withColumn(f"_hits{k}", _scan(shared)(text))
+        out = out.withColumn(f"_hits{k}", _scan(shared)(F.col(f"_own.`{text}`")))
         if k < passes - 1:  # else one task would hold several automata
             out = pin(out, "scanned")
     patterns.unpersist()
     if passes == 1:
-        return out.withColumnRenamed("_hits0", "_hits")
+        return out.select("_own.*", F.col("_hits0").alias("_hits"))
     parts = [F.col(f"_hits{k}") for k in range(passes)]
     words = F.array_sort(F.array_distinct(F.concat(*[p["hit_words"] for p in parts])))
     items = F.array_sort(F.array_distinct(F.concat(*[p["items"] for p in parts])))
@@ -209,7 +211,7 @@ def find_benchmark(
         items.alias("items"),
         words.alias("hit_words"),
     )
-    return out.withColumn("_hits", merged).drop(*[f"_hits{k}" for k in range(passes)])
+    return out.select("_own.*", merged.alias("_hits"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -68,7 +68,8 @@ def one_period(quota: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]
     return found
 
 
-def _size(text: str) -> Column:
+def text_size(text: str = "text") -> Column:
+    """UTF-8 bytes plus one; null counts as empty."""
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint")
 
 
@@ -82,7 +83,7 @@ def mix(
     weights: Mapping[str | None, float] | None = None,
     source: str = "source",
     key: str = "doc_id",
-    text: str = "text",
+    size: Column | None = None,
     block_bytes: int = BLOCK_BYTES,
     period: int = PERIOD,
 ) -> DataFrame:
@@ -94,14 +95,25 @@ def mix(
     epoch. ``weights`` (default: tempered shares of the bytes) must name every source that
     is to be used; rows of others, or of weight 0, are left out. NULL is a source of its own.
 
-    A document takes its UTF-8 bytes plus one; it belongs to the block where it begins, so a
-    long one leaves the blocks that it covers empty. Rows of a source stand in the order of
-    a hash of ``key``, then ``key`` and the text's hash; rows equal in all may change places.
-    Null and empty texts take one byte. An empty table gives no rows. Other columns pass
-    through, those with the names above are replaced.
+    A document takes ``size`` (positive; default the UTF-8 bytes of its ``text`` plus one); it
+    belongs to the block where it begins, so a long one leaves the blocks that it covers
+    empty. Rows of a source stand in the order of a hash of ``key``, then ``key`` and a hash
+    of the row; repeated rows follow each other. Null and empty texts take one byte. An empty
+    table gives no rows. All columns pass through, those with the names above are replaced.
     """
     added = ["mix_slot", "mix_offset", "mix_block", "mix_epoch", "mix_release", "mix_deadline"]
-    rows = docs.drop(*added).withColumns({"_of": _source(source), "_size": _size(text)})
+    docs = docs.drop(*added)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    shuffled = F.xxhash64(F.col(key).cast("string"), F.lit("mix"))
+    # The document's own columns travel as one, so that their names cannot clash.
+    rows = docs.select(
+        F.struct(*own).alias("_row"),
+        _source(source).alias("_of"),
+        (text_size() if size is None else size).alias("_size"),
+        shuffled.alias("_turn"),
+        F.col(key).alias("_id"),
+        F.xxhash64(*own).alias("_tie"),
+    )
     # One row per source, as many as there are weights.
     totals = {
         r["_of"]: (r["bytes"], r["rows"])
@@ -130,15 +142,11 @@ def mix(
         [(s, quota[s], blocks[s], max(1, totals[s][1] // PART_ROWS)) for s in quota],
         "s_of string, s_quota long, s_blocks long, s_parts long",
     )
-    shuffled = F.xxhash64(F.col(key).cast("string"), F.lit("mix"))
-    known = rows.join(F.broadcast(sources), F.col("_of") == F.col("s_of")).withColumns(
-        {
-            "_turn": shuffled,
-            "_part": F.pmod(F.shiftrightunsigned(shuffled, 20), F.col("s_parts")),
-            "_tie": F.xxhash64(text),
-        }
+    known = rows.join(F.broadcast(sources), F.col("_of") == F.col("s_of")).withColumn(
+        "_part", F.pmod(F.shiftrightunsigned("_turn", 20), F.col("s_parts"))
     )
-    placed = running_totals(known, ["_of"], "_part", ["_turn", key, "_tie"], {"_size": "mix_offset"})
+    order = ["_turn", "_id", "_tie"]
+    placed = running_totals(known, ["_of"], "_part", order, {"_size": "mix_offset"})
     placed = placed.withColumn("mix_block", F.call_function("div", "mix_offset", F.lit(block_bytes)))
     # Block i of epoch e is the source's block i + e * blocks; all those before the end run.
     most = F.lit(-(-end // period)) * F.col("s_quota") - 1 - F.col("mix_block")
@@ -163,5 +171,5 @@ def mix(
             }
         )
         .filter(F.col("mix_slot") < end)
-        .select(*[F.col(f"`{c}`") for c in docs.columns if c not in added], *added)
+        .select("_row.*", *added)
     )

@@ -86,8 +86,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's places in a mixture of the sources to tempered weights."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs).drop("text")
+    docs = _table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", "source", mixing.text_size().alias("size"))
+    return mixing.mix(rows, size=rows["size"])
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

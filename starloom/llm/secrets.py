@@ -119,7 +119,7 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c not in (text, "spans")]
     whole = F.coalesce(F.col(text), F.lit(""))
     scanned = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
+        F.struct(F.lit(0), *[F.col(f"`{c}`") for c in kept]).alias("_own"),
         F.sha2(whole, 256).alias("_sha"),
         F.concat(
             _spans(whole, ASSIGN, "assign", 2, LEAST_VALUE),
@@ -152,7 +152,7 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     found = F.concat("_base", F.coalesce("_linked", F.array().cast(_SPAN)))
     return scanned.join(linked, F.col("_digest") == F.col("_text"), "left").select(
-        *[F.col(f"`{c}`") for c in kept], F.array_sort(found).alias("spans")
+        *[F.col(f"_own.`{c}`") for c in kept], F.array_sort(found).alias("spans")
     )
 
 

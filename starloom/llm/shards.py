@@ -28,26 +28,33 @@ def contiguous_shards(
     shards empty. An empty table gives no rows. Other columns pass through; a ``shard`` or
     ``slot`` among them is replaced.
     """
-    rows = pin(df.drop("shard", "slot").withColumn("_one", F.lit(1).cast("bigint")), "to-shard")
-    count, total = rows.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    df = df.drop("shard", "slot")
+    # The row's own columns travel as one, so that their names cannot clash.
+    packed = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+        F.col(size).alias("_size"),
+        F.lit(1).cast("bigint").alias("_one"),
+        F.col(key).alias("_key"),
+        *[F.col(c).alias(f"_tie{k}") for k, c in enumerate(ties)],
+    )
+    rows = pin(packed, "to-shard")
+    count, total = rows.agg(F.count("*"), F.coalesce(F.sum("_size"), F.lit(0))).first()
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = borders(rows, key, max(least, count // 500_000))
+    cuts = borders(rows, "_key", max(least, count // 500_000))
     placed = running_totals(
-        rows.withColumn("_part", range_of(F.col(key), cuts)),
+        rows.withColumn("_part", range_of(F.col("_key"), cuts)),
         [],
         "_part",
-        [key, *ties],
-        {size: "_offset", "_one": "_index"},
+        ["_key", *[f"_tie{k}" for k in range(len(ties))]],
+        {"_size": "_offset", "_one": "_index"},
     )
-    middle = (F.col("_offset") * 2 + F.col(size)) * shards
+    middle = (F.col("_offset") * 2 + F.col("_size")) * shards
     shard = F.call_function("div", middle, F.lit(max(1, 2 * total)))
     placed = placed.withColumn("shard", F.least(F.lit(shards - 1), shard).cast("int"))
     # At most one row per shard.
     firsts = placed.groupBy(F.col("shard").alias("_shard")).agg(F.min("_index").alias("_first"))
     joined = placed.join(F.broadcast(firsts), F.col("shard") == F.col("_shard"))
-    return joined.withColumn("slot", F.col("_index") - F.col("_first")).drop(
-        "_shard", "_first", "_index", "_offset", "_one", "_part"
-    )
+    return joined.select("_row.*", "shard", (F.col("_index") - F.col("_first")).alias("slot"))
 
 
 def write_shards(df: DataFrame, path: str, shards: int, size: str, key: str) -> None:

@@ -58,7 +58,7 @@ def check(spark, docs):
 
 
 def test_awkward_rows(spark):
-    check(spark, awkward(spark, _hits=1, item_id=2, n_words="x"))
+    check(spark, awkward(spark, _hits=1, _hits0=1, _own=2, item_id=2, n_words="x"))
 
 
 def test_many_automata_give_the_same(spark, monkeypatch):

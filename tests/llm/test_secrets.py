@@ -75,7 +75,7 @@ def test_linked_parts(spark):
 
 
 def test_awkward_rows(spark):
-    docs = awkward(spark, spans="x", digest="y", start=1, kind=2, end=3)
+    docs = awkward(spark, spans="x", digest="y", start=1, _own=2, _base=3)
     assert found(docs) == sorted((brute(d, t) for d, t, *_ in AWKWARD), key=repr)
 
 

@@ -25,7 +25,7 @@ def test_whole_table_equals_sql(spark):
 
 
 def test_awkward_rows(spark):
-    docs = awkward(spark, shard=99, slot="x", size=1)
+    docs = awkward(spark, shard=99, slot="x", size=1, _row=1, _key="y")
     found = sorted((tuple(r) for r in shards.document_shards(docs, 4).collect()), key=repr)
     assert found == brute([(d, t) for d, t, *_ in AWKWARD], 4)
 

@@ -27,7 +27,7 @@ def test_whole_table_equals_the_tokenizer(spark, tokenizer):
 
 
 def test_awkward_rows(spark, tokenizer):
-    found = tokens.count_tokens(awkward(spark, n_tokens=1, known="x"), FILE)
+    found = tokens.count_tokens(awkward(spark, n_tokens=1, known="x", _row=1, _f=2, _more=3), FILE)
     assert "known" in found.columns and found.columns.count("n_tokens") == 1
     wanted = sorted(
         ((i, len((t or "").encode()), expected(tokenizer, t)) for i, t, *_ in AWKWARD), key=repr
