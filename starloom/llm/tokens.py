@@ -97,7 +97,8 @@ def _listed(docs: DataFrame, text: str, file: str) -> dict[str, int]:
             ["token", "found", "pieces"],
         )
 
-    sample = docs.select(text).orderBy(F.xxhash64(text)).limit(SAMPLED)
+    share = min(1.0, SAMPLED / max(1, docs.count()))
+    sample = docs.select(text).sample(share, seed=1).limit(2 * SAMPLED)
     counted = sample.repartition(8).mapInArrow(cut, "token string, found long, pieces long")
     ranked = counted.groupBy("token").agg(F.sum("found").alias("found"), F.max("pieces").alias("pieces"))
     rows = ranked.orderBy(F.desc("found"), "token").limit(LISTED).collect()
@@ -151,7 +152,7 @@ def count_tokens(docs: DataFrame, file: str, text: str = "text") -> DataFrame:
     stored = pin(
         docs.select(
             F.monotonically_increasing_id().alias("_row"),
-            *[F.col(f"`{c}`") for c in kept],
+            F.struct(F.lit(0), *[F.col(f"`{c}`") for c in kept]).alias("_own"),
             F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("n_bytes"),
             frequencies(text).alias("_f"),
         ),
@@ -168,5 +169,5 @@ def count_tokens(docs: DataFrame, file: str, text: str = "text") -> DataFrame:
     )
     more = F.coalesce(F.col("_more"), F.lit(0))
     return stored.join(summed, F.col("_row") == F.col("_of"), "left").select(
-        *[F.col(f"`{c}`") for c in kept], "n_bytes", (F.col("_f.known") + more).alias("n_tokens")
+        *[F.col(f"_own.`{c}`") for c in kept], "n_bytes", (F.col("_f.known") + more).alias("n_tokens")
     )
