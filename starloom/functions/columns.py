@@ -44,20 +44,47 @@ def calendar_parts(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def truncate_decimal(
-    value: Column, scale: int = 0, source: T.DataType = T.StringType()
+    value: Column, scale: int = 0, source: T.DataType = T.StringType(), precision: int = 18
 ) -> Column:
     """Cut a number toward zero to ``scale`` digits; a plain cast would round.
 
-    Whole numbers go through a 64-bit integer, which cuts by itself; binary floats get
-    there without a detour over wide decimals.
+    Up to 18 digits, whole numbers go through a 64-bit integer, which cuts by itself; binary
+    floats get there without a detour over wide decimals. Wider targets are cut in their own
+    precision.
     """
+    target = f"decimal({precision},{scale})"
     fraction = isinstance(source, T.FractionalType) and not isinstance(source, T.DecimalType)
+    if precision > 18:
+        return _cut_wide(value, precision, scale, source)
     if scale == 0:
         whole = value if fraction else value.try_cast(WIDE)
-        return whole.try_cast("bigint").try_cast("decimal(18,0)")
-    wide = value.try_cast(WIDE)
-    cut = F.when(wide < 0, F.ceil(wide, F.lit(scale))).otherwise(F.floor(wide, F.lit(scale)))
-    return cut.try_cast(f"decimal(18,{scale})")
+        return whole.try_cast("bigint").try_cast(target)
+    return _toward_zero(value.try_cast(WIDE), scale).try_cast(target)
+
+
+def _toward_zero(value: Column, scale: int) -> Column:
+    return F.when(value < 0, F.ceil(value, F.lit(scale))).otherwise(F.floor(value, F.lit(scale)))
+
+
+def _cut_wide(value: Column, precision: int, scale: int, source: T.DataType) -> Column:
+    """Cut to more than 18 digits. Text loses the digits beyond ``scale`` before it becomes a
+    number, as no decimal type could hold all of them on the way."""
+    target = f"decimal({precision},{scale})"
+    if isinstance(source, T.DecimalType):
+        return (_toward_zero(value, scale) if source.scale > scale else value).try_cast(target)
+    if not isinstance(source, T.StringType):
+        # Whole, or a binary number of at most 17 digits.
+        return value.try_cast(target) if isinstance(source, T.IntegralType) else _cut_wide(
+            value.cast("string"), precision, scale, T.StringType()
+        )
+    plain = F.trim(value).rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$")
+    pattern = r"\.[0-9]*$" if scale == 0 else rf"(\.[0-9]{{{scale}}})[0-9]+$"
+    padded = F.regexp_replace(F.trim(value), r"^([+-]?)\.", "$10.")
+    kept = F.regexp_replace(padded, pattern, "" if scale == 0 else "$1")
+    # Other notations, such as exponents, have no such digits in sight.
+    return F.when(plain, kept.try_cast(target)).otherwise(
+        _toward_zero(value.try_cast(WIDE), min(scale, 18)).try_cast(target)
+    )
 
 
 def safe_cast(
@@ -82,8 +109,8 @@ def safe_cast(
     if name == "decimal":
         result = truncate_decimal(present, decimal_scale, source)
     elif name.startswith("decimal("):
-        result = truncate_decimal(present, int(name.rstrip(")").split(",")[1]), source)
-        result = result.try_cast(name)
+        digits, scale = map(int, name[len("decimal(") : -1].split(","))
+        result = truncate_decimal(present, scale, source, max(18, digits)).try_cast(name)
     elif not text and isinstance(source, T.FractionalType) and name in ("int", "bigint"):
         result = truncate_decimal(present, 0, source).try_cast(name)
     else:

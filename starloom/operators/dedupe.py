@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.ordering import Order, null_safe_match, sort_columns
 from starloom.operators.quality import repeated_keys
+from starloom.sinks.scratch import pin
 
 
 def _first_rows(df: DataFrame, keys: Sequence[str], order: Order, count: int, name: str) -> DataFrame:
@@ -43,8 +44,10 @@ def delete_using_anti(
     """Rows of ``df`` whose key does not occur in ``victims``.
 
     ``null_safe=False`` compares as SQL ``=`` does: rows with a NULL key are never deleted.
+    The victims' keys are stored first: read back they are a plain shuffle in the join, not
+    the one of a grouping that made them, and only that lets a hot key's rows be split.
     """
-    named = victims.select([F.col(k).alias(f"_key_{k}") for k in keys])
+    named = pin(victims.select([F.col(k).alias(f"_key_{k}") for k in keys]), "victims")
     if null_safe:
         match = null_safe_match(df, named, [(k, f"_key_{k}") for k in keys])
     else:

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from starloom.functions.ordering import Order, null_safe_match, sort_columns
-from starloom.operators.quality import HOT_ROWS
 from starloom.sinks.scratch import pin
 
 # monotonically_increasing_id() is (partition << 33) + row within the partition.
 _LOCAL_BITS = 33
 
+# Rows of a range. More ranges than partitions of a shuffle are made where there are more rows.
+RANGE_ROWS = 1_000_000
+
 
 def _positions(
     df: DataFrame, order: Order | None, position: str, stable_input: bool = False
@@ -28,8 +30,8 @@ def _positions(
     copies spread over several ranges. The tag numbers the rows as they arrive, so it is
     pinned too: a task run again after a lost executor must send each row where it went
     before. Only a ``stable_input`` arrives in the same order every time and needs no pin.
-    The number of ranges is given, as adaptive execution would merge ranges by compressed
-    size and so put a group of copies together again.
+    The number of ranges follows the number of rows and is given, as adaptive execution would
+    merge ranges by compressed size and so put a group of copies together again.
 
     Without an order the rows keep their partitions, and nothing is shuffled.
     """
@@ -38,11 +40,12 @@ def _positions(
         tagged = df.withColumn("_tag", F.monotonically_increasing_id())
         if not stable_input:
             tagged = pin(tagged, "tagged")
-        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = max(least, tagged.count() // RANGE_ROWS)
         by = [*sort_columns(order), F.col("_tag")]
         laid_out = tagged.repartitionByRange(ranges, *by).sortWithinPartitions(*by).drop("_tag")
     placed = pin(laid_out.withColumn("_place", F.monotonically_increasing_id()), "placed")
-    # One row per partition, so the unpartitioned window below is a few thousand rows.
+    # One row of two numbers per range or input split; Spark broadcasts them if they are small.
     sizes = placed.groupBy(F.shiftright("_place", _LOCAL_BITS).alias("_part")).agg(
         F.count("*").alias("_rows")
     )
@@ -51,9 +54,7 @@ def _positions(
         "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
     )
     local = F.col("_place").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    return placed.join(
-        F.broadcast(starts), F.shiftright("_place", _LOCAL_BITS) == F.col("_part")
-    ).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + local).alias(position))
+    return placed.join(starts, F.shiftright("_place", _LOCAL_BITS) == F.col("_part")).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + local).alias(position))
 
 
 def surrogate_key(
@@ -77,38 +78,23 @@ def surrogate_key(
 
 
 def row_number_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Order,
-    name: str = "row_number",
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Order, name: str = "row_number"
 ) -> DataFrame:
     """Number the rows of each key from 1 in the given order; NULL keys form a group.
 
-    Keys are counted first (map-side combined, key columns only). Ordinary keys use
-    a window. A key above ``hot_rows`` would be one huge task there, so its rows are
-    numbered by global position minus the position of the key's first row.
+    Rows are placed in one global order of key and ``order``; a row's number is its position
+    minus that of the first row of its key. A key of any size spreads over as many ranges as
+    its rows fill, and its first position is a map-side minimum.
     """
-    window = Window.partitionBy(*keys).orderBy(*sort_columns(order))
-    in_window = F.row_number().over(window).cast("bigint")
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    # At most (all rows / hot_rows) keys; pinned so that joins see the real size.
-    hot = pin(sizes.filter(F.col("_rows") > hot_rows).drop("_rows"), "hot-keys")
-    if hot.isEmpty():
-        return df.withColumn(name, in_window)
-    same = [(k, k) for k in keys]
-    cold = df.join(hot, null_safe_match(df, hot, same), "left_anti")
-    heavy = df.join(hot, null_safe_match(df, hot, same), "left_semi")
-    placed = _positions(heavy, [*keys, *order], "_position")
+    placed = pin(_positions(df, [*keys, *order], "_position"), "positions")
     firsts = pin(
         placed.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
             F.min("_position").alias("_first")
         ),
-        "hot-firsts",
+        "firsts",
     )
     matched = placed.join(
         firsts, null_safe_match(placed, firsts, [(k, f"_key_{k}") for k in keys])
     )
     number = F.col("_position") - F.col("_first") + 1
-    numbered = matched.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))
-    return cold.withColumn(name, in_window).unionByName(numbered)
+    return matched.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))

@@ -8,39 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions.ordering import null_safe_match, sort_columns
 from starloom.sinks.scratch import pin
 
-# A key with more rows than this is treated apart, so that no task gets all of them.
-HOT_ROWS = 5_000_000
 
-
-def count_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    name: str = "num_duplicates",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def count_per_key(df: DataFrame, keys: Sequence[str], name: str = "num_duplicates") -> DataFrame:
     """Put the number of rows sharing ``keys`` on every row; NULL keys are one group.
 
-    Keys are counted first (map-side combined, key columns only). Ordinary keys use a
-    window. A key above ``hot_rows`` would be one huge task there, so its rows get their
-    count from a join with the few keys of that kind, without a shuffle.
+    Keys are counted with map-side sums and stored; the rows are joined to their counts. Both
+    sides are plain shuffles, so adaptive execution splits the rows of a hot key over several
+    tasks, and sends the counts to the rows where they turn out to be few.
     """
     pairs = [(k, f"_key_{k}") for k in keys]
     groups = df.groupBy(*[F.col(k).alias(a) for k, a in pairs]).agg(F.count("*").alias(name))
-    # At most (all rows / hot_rows) keys; pinned so that joins see the real size.
-    hot = pin(groups.filter(F.col(name) > hot_rows), "hot-counts")
-    in_window = F.count("*").over(Window.partitionBy(*keys))
-    if hot.isEmpty():
-        return df.withColumn(name, in_window)
-    cold = df.join(hot, null_safe_match(df, hot, pairs), "left_anti")
-    heavy = df.join(hot, null_safe_match(df, hot, pairs))
-    return cold.withColumn(name, in_window).unionByName(
-        heavy.select(*[F.col(f"`{c}`") for c in df.columns], name)
-    )
+    counts = pin(groups, "counts")
+    joined = df.join(counts, null_safe_match(df, counts, pairs))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], name)
 
 
 def dup_check_window(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes reduce partitions from measured map output, splits hot
@@ -20,6 +22,8 @@ SETTINGS = {
 def local_session(cores: int | str = 8, app: str = "starloom", **extra: str) -> SparkSession:
     """Session for tests and benchmarks; a cluster job brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    if "spark.checkpoint.dir" not in extra:
+        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="starloom-")
     settings = {
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(cores),

@@ -1,4 +1,14 @@
-from starloom.sinks.publish import create_tables, publish, truncate_table
-from starloom.sinks.scratch import pin, scratch_path, scratch_root
+from starloom.sinks.publish import clean_old, create_tables, publish, truncate_table
+from starloom.sinks.scratch import pin, remove_folder, scratch_path, scratch_root, scratch_run
 
-__all__ = ["create_tables", "pin", "publish", "scratch_path", "scratch_root", "truncate_table"]
+__all__ = [
+    "clean_old",
+    "create_tables",
+    "pin",
+    "publish",
+    "remove_folder",
+    "scratch_path",
+    "scratch_root",
+    "scratch_run",
+    "truncate_table",
+]

@@ -1,8 +1,9 @@
 """Publishing results as Parquet tables.
 
-Replacing a table writes a complete second table and then exchanges the two locations
-in the catalogue: a job may read the table it replaces, a failed job changes nothing,
-and readers see either the old rows or the new ones, never a mix or a gap.
+Replacing a table writes a complete second set of files and then changes the table's location,
+in one statement: a job may read the table it replaces, a job that stops anywhere leaves the
+old rows or the new ones, and readers at work keep the files they planned with. Replaced
+files stay until :func:`clean_old` is called.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from starloom.sinks.scratch import remove_folder
+
 Bucketing = tuple[int, Sequence[str]]
 
 
@@ -52,61 +55,104 @@ def _laid_out(df: DataFrame, bucket_by: Bucketing | None, sort_by: Sequence[str]
     return df
 
 
+def columns_differ(df: DataFrame, table: DataFrame) -> bool:
+    return [(f.name, f.dataType) for f in df.schema] != [(f.name, f.dataType) for f in table.schema]
+
+
+def check_layout(
+    df: DataFrame, table: str, bucket_by: Bucketing | None = None, buckets_too: bool = True
+) -> None:
+    """Refuse rows that an existing table cannot take as they are."""
+    spark = df.sparkSession
+    if columns_differ(df, spark.table(table)):
+        raise ValueError(f"columns differ from those of {table}; drop it first")
+    wanted = (bucket_by[0], list(bucket_by[1])) if bucket_by else None
+    if buckets_too and table_buckets(spark, table) != wanted:
+        raise ValueError(f"buckets differ from those of {table}; drop it first")
+
+
 def publish(
     df: DataFrame,
     table: str,
     mode: str = "swap",
     bucket_by: Bucketing | None = None,
     sort_by: Sequence[str] = (),
-    keep_old: bool = False,
 ) -> None:
     """Write ``df`` to a table.
 
     ``mode="swap"`` (default) replaces the rows, so running a job twice gives the same
-    table; ``"append"`` adds to them. ``bucket_by=(buckets, columns)`` stores rows by key
-    hash, so that joins and groupings on the key need no shuffle; with ``sort_by`` alone
-    files cover disjoint key ranges and scans skip by their min/max. A replaced table
-    keeps its columns and buckets; drop it first to change them. Its old rows are
-    deleted, or left in their folder for readers still at work with ``keep_old``.
+    table; ``"append"`` adds to them, in the buckets the table has. ``bucket_by=(buckets,
+    columns)`` stores rows by key hash, so that joins and groupings on the key need no
+    shuffle; with ``sort_by`` alone files cover disjoint key ranges and scans skip by
+    their min/max. An existing table keeps its columns and buckets: rows of other columns,
+    other types or another decimal scale are refused in either mode, before anything is
+    written.
     """
     spark = df.sparkSession
-    exists = spark.catalog.tableExists(table)
     if mode not in ("swap", "append"):
         raise ValueError(f"mode must be 'swap' or 'append', not {mode!r}")
-    if mode == "append" and exists:
-        df.select(*spark.table(table).columns).write.insertInto(table)
+    if not spark.catalog.tableExists(table):
+        _write(df, table, bucket_by, sort_by)
         return
+    if mode == "append":
+        check_layout(df, table, buckets_too=False)
+        _laid_out(df, table_buckets(spark, table), sort_by).write.insertInto(table)
+        return
+    check_layout(df, table, bucket_by)
+    db, name = _database(spark, table)
+    unique = f"{name}__{uuid.uuid4().hex}"
+    folder = f"{_location(spark, db)}/{unique}"
+    # An external table: dropping it, now or after a stop, leaves the files alone.
+    _write(df, f"{db}.{unique}", bucket_by, sort_by, folder)
+    old = _details(spark, table)["Location"]
+    kept = [*_replaced(spark, table), old]
+    # Recorded first: a folder listed too early is still the table's own and is not cleaned.
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{REPLACED}' = '{','.join(kept)}')")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    spark.sql(f"DROP TABLE {db}.{unique}")
 
-    def write(name: str) -> None:
-        writer = _laid_out(df, bucket_by, sort_by).write.format("parquet")
-        if bucket_by:
-            writer = writer.bucketBy(bucket_by[0], *bucket_by[1])
-            if sort_by:
-                writer = writer.sortBy(*sort_by)
-        writer.saveAsTable(name)
 
-    if not exists:
-        write(table)
-        return
+#: Table property that lists the folders of replaced rows.
+REPLACED = "starloom.replaced"
 
-    def shape(frame: DataFrame):
-        return [(f.name, f.dataType) for f in frame.schema.fields]
 
-    if shape(spark.table(table)) != shape(df):
-        raise ValueError(f"columns differ from those of {table}; drop it first")
-    wanted = (bucket_by[0], list(bucket_by[1])) if bucket_by else None
-    if table_buckets(spark, table) != wanted:
-        raise ValueError(f"buckets differ from those of {table}; drop it first")
-    db, name = _database(spark, table)
-    incoming = f"{db}.{name}_{uuid.uuid4().hex}"
-    write(incoming)
-    old, new = (_details(spark, t)["Location"] for t in (table, incoming))
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
-    spark.catalog.refreshTable(table)
-    # The incoming name now owns the old rows, or an unused folder, and takes it along.
-    spare = f"{new}-unused" if keep_old else old
-    spark.sql(f"ALTER TABLE {incoming} SET LOCATION '{spare}'")
-    spark.sql(f"DROP TABLE {incoming}")
+def _write(
+    df: DataFrame,
+    table: str,
+    bucket_by: Bucketing | None,
+    sort_by: Sequence[str],
+    folder: str | None = None,
+) -> None:
+    writer = _laid_out(df, bucket_by, sort_by).write.format("parquet")
+    if folder:
+        writer = writer.option("path", folder)
+    if bucket_by:
+        writer = writer.bucketBy(bucket_by[0], *bucket_by[1])
+        if sort_by:
+            writer = writer.sortBy(*sort_by)
+    writer.saveAsTable(table)
+
+
+def _location(spark: SparkSession, db: str) -> str:
+    rows = spark.sql(f"DESCRIBE DATABASE {db}").collect()
+    return next(r[1] for r in rows if r[0] == "Location").rstrip("/")
+
+
+def _replaced(spark: SparkSession, table: str) -> list[str]:
+    found = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return [f for f in found.get(REPLACED, "").split(",") if f]
+
+
+def clean_old(spark: SparkSession, table: str) -> list[str]:
+    """Delete the files of replaced rows, when no reader needs them any more; returns the
+    folders. The table's own folder is never among them."""
+    own = _details(spark, table)["Location"]
+    gone = [f for f in dict.fromkeys(_replaced(spark, table)) if f.rstrip("/") != own.rstrip("/")]
+    for folder in gone:
+        remove_folder(spark, folder)
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{REPLACED}')")
+    return gone
 
 
 def create_tables(

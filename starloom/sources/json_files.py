@@ -52,7 +52,10 @@ def _text_schema(mapping: Mapping) -> T.StructType:
         node = tree
         for key in parents:
             node = node.setdefault(key, {})
-        node.setdefault(leaf, None)
+            if node is None:
+                raise ValueError(f"path {path} goes through a value that another path reads")
+        if node.setdefault(leaf, None) is not None:
+            raise ValueError(f"path {path} reads an object that other paths go through")
 
     def build(node: dict) -> T.StructType:
         return T.StructType(

@@ -13,6 +13,7 @@ from starloom.functions import (
     sort_columns,
     truncate_decimal,
 )
+from starloom.functions.columns import safe_cast
 from starloom.operators import dq_max_length, dq_not_null, dq_unique, require_not_null
 from starloom.sources import cast_safe
 
@@ -115,3 +116,36 @@ def test_audits(spark):
     assert require_not_null(df.filter("k = 'a'"), ["k", "v"]).count() == 2
     with pytest.raises(PySparkException, match="NULL in required column v"):
         require_not_null(df, ["v"]).collect()
+
+
+@pytest.mark.parametrize(
+    "target, text, expected",
+    [
+        ("decimal(38,10)", "123456789012.5", "123456789012.5000000000"),
+        ("decimal(38,10)", "-0.12345678909999", "-0.1234567890"),
+        ("decimal(38,10)", "+.00000000009", "0E-10"),
+        ("decimal(38,0)", "12345678901234567890", "12345678901234567890"),
+        ("decimal(38,0)", "-98765432109876543210.99", "-98765432109876543210"),
+        ("decimal(38,0)", " .9 ", "0"),
+        ("decimal(38,2)", "1.999e3", "1999.00"),
+        ("decimal(38,2)", "12.", "12.00"),
+        ("decimal(38,2)", "1.2.3", None),
+        ("decimal(20,2)", "123456789012345678901.5", None),
+        ("decimal(20,2)", "12345678901234567.899", "12345678901234567.89"),
+    ],
+)
+def test_wide_decimals_are_cut_in_their_own_precision(spark, target, text, expected):
+    df = spark.createDataFrame([(text,)], "t string").select(safe_cast("t", T.StringType(), target).alias("d"))
+    assert df.dtypes == [("d", target)]
+    found = df.first().d
+    assert found == (None if expected is None else Decimal(expected))
+
+
+def test_wide_decimals_of_numbers(spark):
+    df = spark.sql(
+        "select cast('12345678901234567890.129' as decimal(38,3)) as d, 1.999d as f, 7 as i"
+    )
+    cut = df.select(
+        *[safe_cast(c, df.schema[c].dataType, "decimal(38,2)").alias(c) for c in df.columns]
+    ).first()
+    assert [str(v) for v in cut] == ["12345678901234567890.12", "1.99", "7.00"]

@@ -4,7 +4,15 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from starloom.operators import delete_using_anti
-from starloom.sinks import create_tables, pin, publish, scratch_root, truncate_table
+from starloom.sinks import (
+    clean_old,
+    create_tables,
+    pin,
+    publish,
+    scratch_root,
+    scratch_run,
+    truncate_table,
+)
 from starloom.sinks.publish import table_buckets
 from starloom.sources import drop_tables, list_tables
 
@@ -39,14 +47,79 @@ def test_swap_may_read_what_it_replaces(spark, db):
     assert values(spark, f"{db}.self") == [3, 4]
 
 
-def test_old_rows_are_deleted_or_kept(spark, db):
-    publish(spark.range(3), f"{db}.kept")
-    first = location(spark, f"{db}.kept")
-    publish(spark.range(4), f"{db}.kept", keep_old=True)
-    second = location(spark, f"{db}.kept")
-    publish(spark.range(5), f"{db}.kept")
-    assert first.exists() and not second.exists()
-    assert values(spark, f"{db}.kept") == [0, 1, 2, 3, 4]
+def test_old_rows_stay_until_they_are_cleaned(spark, db):
+    folders = []
+    for n in (3, 4, 5):
+        publish(spark.range(n), f"{db}.kept")
+        folders.append(location(spark, f"{db}.kept"))
+    assert all(f.exists() for f in folders)
+    assert len(clean_old(spark, f"{db}.kept")) == 2
+    assert [f.exists() for f in folders] == [False, False, True]
+    assert values(spark, f"{db}.kept") == [0, 1, 2, 3, 4] and clean_old(spark, f"{db}.kept") == []
+
+
+def test_a_reader_planned_before_the_swap_ends(spark, db):
+    publish(spark.range(3), f"{db}.read")
+    before = spark.table(f"{db}.read").filter("id >= 0")
+    before._jdf.queryExecution().executedPlan()
+    publish(spark.range(10, 14), f"{db}.read")
+    assert sorted(r.id for r in before.collect()) == [0, 1, 2]
+    assert values(spark, f"{db}.read") == [10, 11, 12, 13]
+
+
+@pytest.mark.parametrize("stop", ["SET TBLPROPERTIES", "SET LOCATION", "DROP TABLE"])
+def test_a_stop_at_any_step_leaves_a_whole_table(spark, db, monkeypatch, stop):
+    table = f"{db}.stopped_{stop.split()[0].lower()}_{stop.split()[1].lower()}"
+    publish(spark.range(7), table)
+    original = type(spark).sql
+
+    def sql(self, text, *args, **options):
+        if stop in text:
+            raise RuntimeError("stopped")
+        return original(self, text, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", sql)
+        with pytest.raises(RuntimeError):
+            publish(spark.range(20, 25), table)
+    expected = list(range(20, 25)) if stop == "DROP TABLE" else list(range(7))
+    assert values(spark, table) == expected
+    # Dropping what the stopped job left behind, and cleaning, keeps the table.
+    for left in list_tables(spark, db):
+        if left.startswith(f"{table.split('.')[1]}__"):
+            spark.sql(f"DROP TABLE {db}.{left}")
+    clean_old(spark, table)
+    assert values(spark, table) == expected
+    publish(spark.range(2), table)
+    assert values(spark, table) == [0, 1]
+
+
+def test_append_refuses_what_it_would_change(spark, db):
+    money = "cast(1.567 as decimal(18,{})) as price"
+    publish(spark.range(2).selectExpr(money.format(2)), f"{db}.priced")
+    for other in ([money.format(3)], [money.format(2), "1 as more"], ["1 as price"]):
+        with pytest.raises(ValueError, match="columns differ"):
+            publish(spark.range(2).selectExpr(*other), f"{db}.priced", "append")
+    assert spark.table(f"{db}.priced").count() == 2
+
+
+def test_append_keeps_the_layout(spark, db):
+    def rows(n):
+        return spark.range(0, n, 1, 40).selectExpr("concat('s', id % 100) as song_id", "id")
+
+    publish(rows(1000), f"{db}.laid", bucket_by=(2, ["song_id"]))
+    first = len(spark.table(f"{db}.laid").inputFiles())
+    publish(rows(4000), f"{db}.laid", "append")
+    assert spark.table(f"{db}.laid").count() == 5000
+    assert table_buckets(spark, f"{db}.laid") == (2, ["song_id"])
+    assert len(spark.table(f"{db}.laid").inputFiles()) <= first + 8
+
+
+def test_pins_of_a_run_go_with_it(spark):
+    with scratch_run(spark) as folder:
+        pinned = pin(spark.range(10), "numbers")
+        assert Path(folder).exists() and all(folder in f for f in pinned.inputFiles())
+    assert not Path(folder).exists()
 
 
 def test_failed_job_changes_nothing(spark, db):
@@ -139,7 +212,10 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_root(Session(**{"spark.master": "spark://host:7077"}))
     assert scratch_root(Session(**{"spark.checkpoint.dir": "s3a://b/x/"})) == "s3a://b/x"
-    assert scratch_root(Session(**{"spark.master": "local[2]"}))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session(**{"spark.master": "local-cluster[2,1,1024]"}))
+    own = scratch_root(Session(**{"spark.master": "local[2]"}))
+    assert own == scratch_root(Session(**{"spark.master": "local"})) and Path(own).exists()
 
 
 def test_null_keys_in_deletes(spark):

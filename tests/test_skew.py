@@ -15,6 +15,7 @@ from starloom.operators import (
     join_natural_key,
     latest_per_key,
     numbering,
+    repeated_keys,
     row_number_per_key,
     surrogate_key,
     topk_join_agg,
@@ -29,9 +30,11 @@ def settings(spark, **values):
     old = {k: spark.conf.get(k, None) for k in names}
     for k, v in names.items():
         spark.conf.set(k, v)
-    yield
-    for k, v in old.items():
-        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def small_scale(spark):
@@ -68,10 +71,11 @@ def rows(hot):
     return [tuple(r) for r in hot.collect()]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1000, 10**9])
-def test_count_per_key(hot, rows, hot_rows):
+def test_count_per_key(spark, hot, rows):
     sizes = Counter(k for k, _, _ in rows)
-    counted = count_per_key(hot, ["key"], hot_rows=hot_rows)
+    with small_scale(spark):
+        counted = count_per_key(hot, ["key"])
+        assert "skew=true" in final_plan(counted)
     found = [tuple(r) for r in counted.collect()]
     assert sorted(map(repr, found)) == sorted(repr((k, v, i, sizes[k])) for k, v, i in rows)
 
@@ -95,6 +99,18 @@ def test_anti_join_splits_the_hot_partition(spark, hot, rows):
     assert found == sorted(i for k, _, i in rows if k not in ("k1", None))
 
 
+def test_delete_by_repeated_keys_splits_the_hot_partition(spark, hot, rows):
+    sizes = Counter(k for k, _, _ in rows)
+    for null_safe in (True, False):
+        with small_scale(spark):
+            kept = delete_using_anti(hot, repeated_keys(hot, ["key"]), ["key"], null_safe)
+            assert "skew=true" in final_plan(kept)
+            found = sorted(r.id for r in kept.collect())
+        assert found == sorted(
+            i for k, _, i in rows if sizes[k] == 1 or (k is None and not null_safe)
+        )
+
+
 def by_value(rows):
     groups = {}
     for k, v, i in rows:
@@ -102,12 +118,28 @@ def by_value(rows):
     return {k: sorted(g) for k, g in groups.items()}
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1000, 1])
-def test_row_numbers(hot, rows, hot_rows):
+def largest_share(df):
+    """Share of the rows in the fullest task of the stage that returns them."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_counts_and_numbers_spread_at_default_settings(spark, tmp_path):
+    """A third of the rows on one key and no option set: no task has the whole key."""
+    path = str(tmp_path / "rows")
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000))
+    spark.range(0, 600_000, 1, 8).select(key.alias("key"), "id").write.parquet(path)
+    rows = spark.read.parquet(path)
+    with settings(spark, spark__sql__shuffle__partitions="8"):
+        assert largest_share(count_per_key(rows, ["key"])) < 0.3
+        assert largest_share(row_number_per_key(rows, ["key"], ["id"])) < 0.3
+
+
+def test_row_numbers(hot, rows):
     expected = {
         (k, v, i, n) for k, g in by_value(rows).items() for n, (v, i) in enumerate(g, 1)
     }
-    numbered = row_number_per_key(hot, ["key"], ["value", "id"], hot_rows=hot_rows)
+    numbered = row_number_per_key(hot, ["key"], ["value", "id"])
     assert dict(numbered.dtypes)["row_number"] == "bigint"
     found = [tuple(r) for r in numbered.collect()]
     assert len(found) == ROWS
