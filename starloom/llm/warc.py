@@ -14,6 +14,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from starloom.llm.maps import mark
+
 #: Fixed values of the format.
 VERSION = "WARC/1.1"
 BREAK = "\r\n"
@@ -21,8 +23,6 @@ END = BREAK + BREAK
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads below this many bytes are always stored.
 SMALL = 100
-#: Bits of the map that tells which payloads need to be shuffled: 16 MB, whatever the input.
-MAP_BITS = 1 << 27
 
 
 def _line(name: str, value: Column) -> Column:
@@ -43,26 +43,6 @@ def _record(kind: Column, headers: Column, block: Column) -> Column:
     return F.concat(F.encode(head, "UTF-8"), block)
 
 
-def _marked(rows: DataFrame, digests: DataFrame) -> DataFrame:
-    """``rows`` plus ``_again``: false if their ``_key`` is not among ``digests`` (``_digest``),
-    true if it is or shares a bit with one that is. The map is broadcast; its size is fixed,
-    and the fuller it gets the more rows are marked."""
-    bit = F.pmod(F.xxhash64("_digest"), F.lit(MAP_BITS))
-    bits = digests.groupBy(F.bitmap_bucket_number(bit).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits")
-    )
-    own = F.pmod(F.xxhash64("_key"), F.lit(MAP_BITS))
-    bucket = F.when(F.col("_key").isNotNull(), F.bitmap_bucket_number(own))
-    at = F.bitmap_bit_position(own).cast("int")
-    byte = F.conv(F.hex(F.substring("_bits", F.call_function("div", at, F.lit(8)).cast("int") + 1, F.lit(1))), 16, 10)
-    marked = F.call_function("shiftright", byte.cast("int"), (at % 8).cast("int")).bitwiseAND(1) == 1
-    return (
-        rows.join(F.broadcast(bits), bucket == F.col("_bucket"), "left")
-        .withColumn("_again", F.coalesce(marked, F.lit(False)))
-        .drop("_bucket", "_bits")
-    )
-
-
 def write_captures(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> None:
     """Write three records per row of ``pages`` (page_id, url, html) below ``path``.
 
@@ -85,7 +65,7 @@ def write_captures(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
         .drop("_rows")
     )
     # Payloads without a copy stay where they are; only the others are joined.
-    marked = _marked(rows, first)
+    marked = mark(rows, "_key", first.select("_digest"), "_again")
     single = marked.filter("NOT _again").withColumns(
         {"_digest": F.lit(None).cast("string"), "_first": F.lit(None).cast(rows.schema["page_id"].dataType)}
     )
