@@ -1,42 +1,53 @@
-"""Command line for spark-submit.
+"""Command line, with spark-submit or plain python.
 
-    spark-submit starloom/job.py create --db music
-    spark-submit starloom/job.py load   --db music --log PATH --catalogue PATH
-    spark-submit starloom/job.py check  --db music
-    spark-submit starloom/job.py report --db music
+    spark-submit starloom/job.py create   --db music [--buckets N] [--scale N]
+    spark-submit starloom/job.py load     --db music --log PATH --catalogue PATH
+    spark-submit starloom/job.py check    --db music
+    spark-submit starloom/job.py report   --db music
+    spark-submit starloom/job.py truncate --db music
+    spark-submit starloom/job.py clean    --db music
 
 ``load`` builds, checks, repairs and publishes the star schema and ends with the report;
-the others work on tables an earlier run left in the session's catalogue.
+the others work on tables an earlier run left in the session's catalogue. ``clean`` deletes the
+files of replaced rows.
 """
 
 from __future__ import annotations
 
 import argparse
+import sys
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from starloom.plans import schemas, star
-from starloom.session import SETTINGS
-from starloom.sinks import create_tables
-from starloom.sources import drop_tables, list_tables
+if __name__ == "__main__":  # started as a file: the package lies in the folder above
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from starloom.plans import schemas, star  # noqa: E402
+from starloom.session import SETTINGS  # noqa: E402
+from starloom.sinks import clean_old, create_tables, truncate_table  # noqa: E402
+from starloom.sources import drop_tables, list_tables  # noqa: E402
 
 
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="starloom")
     commands = root.add_subparsers(dest="command", required=True)
-    for name in ("create", "load", "check", "report"):
+    for name in ("create", "load", "check", "report", "truncate", "clean"):
         commands.add_parser(name).add_argument("--db", required=True)
-    create = commands.choices["create"]
-    create.add_argument("--scale", type=int, default=0, help="decimal digits to keep")
-    load = commands.choices["load"]
+    create, load = commands.choices["create"], commands.choices["load"]
+    for command in (create, load):
+        command.add_argument("--scale", type=int, default=0, help="decimal digits to keep")
+        command.add_argument("--buckets", type=int, help="buckets of songplays and songs")
     load.add_argument("--log", required=True, help="folder of the event log (JSON lines)")
     load.add_argument("--catalogue", required=True, help="folder of the song catalogue (JSON)")
     load.add_argument("--log-paths", help="JSONPaths file that maps the log to its columns")
-    load.add_argument("--scale", type=int, default=0, help="decimal digits to keep")
-    load.add_argument("--buckets", type=int, default=8, help="buckets of songplays and songs")
     load.add_argument("--append", action="store_true", help="add to the tables")
-    load.add_argument("--tolerant", action="store_true", help="load unreadable values as NULL")
-    load.add_argument("--unordered-ids", action="store_true", help="skip the sort of the plays")
+    load.add_argument(
+        "--tolerant", action="store_true", help="set broken lines and incomplete plays aside"
+    )
+    ids = load.add_mutually_exclusive_group()
+    ids.add_argument("--ordered-ids", action="store_true", help="number the plays in a fixed order")
+    ids.add_argument("--unordered-ids", action="store_true", help="number them as they lie (default)")
     load.add_argument("--keep-duplicates", action="store_true")
     load.add_argument("--keep-sentinels", action="store_true")
     load.add_argument("--keep-staging", action="store_true")
@@ -44,13 +55,14 @@ def parser() -> argparse.ArgumentParser:
     return root
 
 
-def create(spark: SparkSession, db: str, scale: int = 0) -> None:
+def create(spark: SparkSession, db: str, scale: int = 0, buckets: int | None = None) -> None:
     """Start over: drop the seven tables where any exist, and create them empty."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     tables = schemas.all_tables(scale)
     if list_tables(spark, db):
         drop_tables(spark, db, list(tables))
-    create_tables(spark, db, tables, star.layout())
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    create_tables(spark, db, tables, star.layout(buckets))
 
 
 def show_checks(duplicates: dict[str, list]) -> None:
@@ -66,7 +78,11 @@ def show_report(spark: SparkSession, db: str, mode: str = "reference") -> None:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "create":
-        create(spark, args.db, args.scale)
+        create(spark, args.db, args.scale, args.buckets)
+    elif args.command in ("truncate", "clean"):
+        work = truncate_table if args.command == "truncate" else clean_old
+        for name in [t for t in list_tables(spark, args.db) if t in schemas.all_tables()]:
+            work(spark, f"{args.db}.{name}")
     elif args.command == "check":
         tables = {name: spark.table(f"{args.db}.{name}") for name in star.STAR}
         show_checks({n: c.collect() for n, c in star.duplicate_checks(tables).items()})
@@ -86,9 +102,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             clean_sentinels=not args.keep_sentinels,
             drop_staging=not args.keep_staging,
             append=args.append,
-            ordered_ids=not args.unordered_ids,
+            ordered_ids=args.ordered_ids,
         )
         show_checks(done.duplicates)
+        for name, count in {**done.audits, **done.rejected}.items():
+            print(f"{name}: {count} rows")
         print(f"repaired: {', '.join(done.repaired) or 'nothing'}")
         show_report(spark, args.db)
 

@@ -146,6 +146,28 @@ ranked AS (
   FROM lines
 )"""
 
+def _row_text(columns: str) -> str:
+    parts = [f"coalesce({c.strip()}::VARCHAR, '~')" for c in columns.split(",")]
+    return " || '|' || ".join(parts)
+
+
+# (published table, its rows here, columns in order)
+_PUBLISHED = [
+    (
+        "songplays",
+        "star_plays",
+        "start_time, user_id, level, song_id, artist_id, session_id, location, user_agent",
+    ),
+    ("users", "star_users", "user_id, first_name, last_name, gender, level"),
+    (
+        "songs",
+        "(SELECT * REPLACE (nullif(year, 0) AS year) FROM star_songs)",
+        "song_id, title, artist_id, year, duration",
+    ),
+    ("artists", "clean_artists", "artist_id, name, location, latitude, longitude"),
+    ("time", "star_time", "start_time, hour, day, week, month, year, weekday"),
+]
+
 ALL: dict[str, str] = {
     "scan_json_mapped": """
 SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k, props->>'$.k' AS k_text FROM events""",
@@ -167,7 +189,10 @@ SELECT p_partkey, CAST(trunc(p_retailprice) AS DECIMAL(18,0)) AS whole_price,
        CAST(trunc(p_retailprice) AS BIGINT) AS price_floor, p_size AS size_text,
        CAST(NULL AS INTEGER) AS brand_number,
        CAST(trunc(-p_retailprice) AS DECIMAL(18,0)) AS negative,
-       CAST(NULL AS INTEGER) AS blank
+       CAST(NULL AS INTEGER) AS blank,
+       CAST(left('123456789012.' || (p_partkey + 1000) || '4567899', 23) AS DECIMAL(38,10))
+         AS long_cut,
+       CAST('-1234567890123' || (p_partkey + 1000000) AS DECIMAL(38,0)) AS long_whole
 FROM part""",
     "filter_equals": "SELECT * FROM lineitem WHERE l_returnflag = 'R'",
     "filter_not_null": f"WITH {_NULLABLE} SELECT * FROM lines WHERE l_tax IS NOT NULL",
@@ -356,4 +381,58 @@ HAVING count(*) > 1 OR start_time IS NULL OR user_id IS NULL OR session_id IS NU
     ),
     "star_year_zero": _star("SELECT count(*) AS num_sentinels FROM star_songs WHERE year = 0"),
     "star_job": _PLAY_IDS,
+    "star_job_tables": _star(
+        " UNION ALL ".join(
+            f"""SELECT '{table}' AS table_name, count(*) AS num_rows,
+  CAST(coalesce(sum(('0x' || left(md5({_row_text(columns)}), 8))::BIGINT), 0) AS BIGINT) AS checksum
+FROM {source}"""
+            for table, source, columns in _PUBLISHED
+        )
+    ),
+    "star_job_checks": _star(
+        f"""SELECT 'users' AS check_name, num_duplicates || '|' || coalesce(user_id::VARCHAR, '~') AS found
+FROM ({_leading_rows("star_users", "user_id", ", user_id", 5)})
+UNION ALL SELECT 'songs', num_duplicates || '|' || coalesce(song_id, '~')
+FROM ({_leading_rows("star_songs", "song_id", ", song_id", 5)})
+UNION ALL SELECT 'artists', num_duplicates::VARCHAR
+FROM ({_leading_rows("star_artists", "artist_id, name", "", 20)})
+UNION ALL SELECT 'songplays', num_duplicates || '|' || start_time
+FROM (SELECT count(*) AS num_duplicates, start_time FROM star_plays
+      GROUP BY start_time HAVING count(*) > 1
+      ORDER BY num_duplicates DESC, start_time LIMIT 5)
+UNION ALL SELECT 'repaired', 'songs' FROM star_songs HAVING count_if(year = 0) > 0
+UNION ALL SELECT 'repaired', 'artists'
+FROM (SELECT 1 FROM star_artists GROUP BY artist_id, name HAVING count(*) > 1) HAVING count(*) > 0
+UNION ALL SELECT 'sentinels', CAST(count_if(year = 0) AS VARCHAR) FROM star_songs
+UNION ALL SELECT 'songplays_key', '0'
+UNION ALL SELECT 'songplays_required', '0'
+UNION ALL SELECT 'time_key', '0'
+UNION ALL SELECT 'users_key', count(*)::VARCHAR
+FROM (SELECT 1 FROM star_users GROUP BY user_id HAVING count(*) > 1)
+UNION ALL SELECT 'songs_key', count(*)::VARCHAR
+FROM (SELECT 1 FROM star_songs GROUP BY song_id HAVING count(*) > 1 OR song_id IS NULL)
+UNION ALL SELECT 'artists_key', count(*)::VARCHAR
+FROM (SELECT 1 FROM clean_artists GROUP BY artist_id HAVING count(*) > 1)"""
+    ),
+    "table_life": """
+WITH sizes AS (
+  SELECT 'nation' AS table_name, count(*) AS n FROM nation
+  UNION ALL SELECT 'orders', count(*) FROM orders
+  UNION ALL SELECT 'supplier', count(*) FROM supplier
+)
+SELECT '1 created' AS step, table_name, 0::BIGINT AS num_rows FROM sizes
+UNION ALL SELECT '2 filled', table_name, CASE WHEN table_name = 'orders' THEN 2 * n ELSE n END FROM sizes
+UNION ALL SELECT '3 truncated', table_name, CASE WHEN table_name = 'orders' THEN 0 ELSE n END FROM sizes
+UNION ALL SELECT '4 dropped', table_name, CASE WHEN table_name = 'orders' THEN 0 ELSE n END FROM sizes
+WHERE table_name <> 'supplier'""",
+    "publish_append_bucketed": "SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem",
+    "scan_rejects": """
+SELECT 'row' AS kind, event_id, user_id, CAST(NULL AS VARCHAR) AS line FROM events
+WHERE event_id % 10 <> 0
+UNION ALL SELECT 'reject', NULL, NULL, '{"event_id":' || event_id || ', "user' FROM events
+WHERE event_id % 10 = 0
+UNION ALL SELECT 'strict', NULL, NULL, 'refused'""",
+    "surrogate_key_load_order_rows": """
+SELECT l_orderkey, l_linenumber, count(*) AS num_rows, count(*) AS num_ids
+FROM lineitem GROUP BY ALL""",
 }

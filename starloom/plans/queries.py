@@ -12,7 +12,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructType
 
@@ -48,9 +51,17 @@ from starloom.operators import (
     topk_join_agg,
 )
 from starloom.plans import schemas, star
-from starloom.sinks import publish, scratch_path
-from starloom.sources import cast_safe, parse_json_auto, parse_json_mapped
-from starloom.sources import read_json_auto, read_json_mapped
+from starloom.sinks import create_tables, pin, publish, scratch_path, truncate_table
+from starloom.sources import (
+    cast_safe,
+    drop_tables,
+    list_tables,
+    parse_json_auto,
+    parse_json_mapped,
+    read_json_auto,
+    read_json_mapped,
+    read_with_rejects,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,6 +199,8 @@ def cast_safe_(spark, sf_dir):
         F.col("p_brand").alias("brand_number"),
         F.concat(F.lit("-"), F.col("p_retailprice").cast("string")).alias("negative"),
         F.lit(" ").alias("blank"),
+        F.concat(F.lit("123456789012."), F.col("p_partkey") + 1000, F.lit("4567899")).alias("long_cut"),
+        F.concat(F.lit("-1234567890123"), F.col("p_partkey") + 1000000, F.lit(".99")).alias("long_whole"),
     )
     return cast_safe(
         parts,
@@ -198,6 +211,8 @@ def cast_safe_(spark, sf_dir):
             "brand_number": "int",
             "negative": "decimal",
             "blank": "int",
+            "long_cut": "decimal(38,10)",
+            "long_whole": "decimal(38,0)",
         },
     )
 
@@ -398,7 +413,7 @@ def row_number_hot_key(spark, sf_dir):
         "l_returnflag", *LINE_KEY, "l_shipdate", "l_partkey", "l_suppkey"
     )
     order = ["l_shipdate", *LINE_KEY, "l_partkey", "l_suppkey"]
-    return row_number_per_key(lines, ["l_returnflag"], order, hot_rows=1000)
+    return row_number_per_key(lines, ["l_returnflag"], order)
 
 
 def dup_survivors_(spark, sf_dir):
@@ -615,8 +630,8 @@ def star_year_zero(spark, sf_dir):
     return sentinel_probe(star.songs(staging_songs(spark, sf_dir)), "year")
 
 
-def star_job(spark, sf_dir):
-    """The whole job from JSON files to published tables; shows the published plays."""
+def _job(spark, sf_dir) -> star.StarRun:
+    """The whole job from JSON files to published tables."""
     constants = {"auth": "Logged In", "method": "PUT", "registration": "1540919166796"}
     events = staging_events(spark, sf_dir).withColumns(
         {
@@ -629,8 +644,115 @@ def star_job(spark, sf_dir):
     log, catalogue = scratch_path(spark, "log"), scratch_path(spark, "catalogue")
     events.write.json(log)
     staging_songs(spark, sf_dir).write.json(catalogue)
-    run = star.run_star(spark, log, catalogue, _scratch_db(spark, "star"))
-    return run.tables["songplays"].select("songplay_id", *star.PLAY_ORDER)
+    return star.run_star(spark, log, catalogue, _scratch_db(spark, "star"), ordered_ids=True)
+
+
+def star_job(spark, sf_dir):
+    """The published plays of the whole job."""
+    return _job(spark, sf_dir).tables["songplays"].select("songplay_id", *star.PLAY_ORDER)
+
+
+def _fingerprint(df: DataFrame, table: str) -> DataFrame:
+    """Rows of a table, and the sum of a 32-bit checksum of each."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns])
+    number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return df.agg(
+        F.lit(table).alias("table_name"),
+        F.count("*").alias("num_rows"),
+        F.coalesce(F.sum(number), F.lit(0)).alias("checksum"),
+    )
+
+
+def star_job_tables(spark, sf_dir):
+    """Every published table of the whole job."""
+    tables = _job(spark, sf_dir).tables
+    tables["songplays"] = tables["songplays"].drop("songplay_id")
+    return reduce(DataFrame.union, [_fingerprint(t, name) for name, t in tables.items()])
+
+
+def star_job_checks(spark, sf_dir):
+    """What the checks of the whole job found and repaired."""
+    run = _job(spark, sf_dir)
+    found = [
+        (name, "|".join("~" if v is None else str(v) for v in row))
+        for name, rows in run.duplicates.items()
+        for row in rows
+    ]
+    found += [("repaired", name) for name in run.repaired]
+    found += [("sentinels", str(run.sentinels))]
+    found += [(name, str(count)) for name, count in run.audits.items()]
+    # A few dozen rows: at most 40 duplicates and one per check.
+    return spark.createDataFrame(found, "check_name string, found string")
+
+
+# --- the life of a table ------------------------------------------------------------------
+
+
+def table_life(spark, sf_dir):
+    """Create, fill, append, truncate and drop; the tables and their rows after each step."""
+    db = _scratch_db(spark, "life")
+    schema = {t: _read(spark, sf_dir, t).schema for t in ("nation", "orders", "supplier")}
+    seen = []
+
+    def look(step: str) -> None:
+        for name in list_tables(spark, db):
+            rows = spark.table(f"{db}.{name}").agg(F.count("*").alias("num_rows"))
+            # Written down now, since the next step changes the table.
+            seen.append(pin(rows.select(F.lit(step).alias("step"), F.lit(name).alias("table_name"), "num_rows"), "look"))
+
+    buckets = {"orders": (4, ["o_orderkey"])}
+    create_tables(spark, db, schema, buckets)
+    create_tables(spark, db, schema, buckets)
+    look("1 created")
+    for name in schema:
+        publish(_read(spark, sf_dir, name), f"{db}.{name}", bucket_by=buckets.get(name))
+    publish(_read(spark, sf_dir, "orders"), f"{db}.orders", "append")
+    look("2 filled")
+    truncate_table(spark, f"{db}.orders")
+    look("3 truncated")
+    drop_tables(spark, db, ["supplier", "absent"])
+    look("4 dropped")
+    return reduce(DataFrame.union, seen)
+
+
+def publish_append_bucketed(spark, sf_dir):
+    """Line items stored by order, and appended once more in the same buckets."""
+    table = f"{_scratch_db(spark, 'more')}.lineitem"
+    lines = _read(spark, sf_dir, "lineitem")
+    publish(lines, table, bucket_by=(4, ["l_orderkey"]), sort_by=["l_orderkey"])
+    publish(lines, table, "append", sort_by=["l_orderkey"])
+    return spark.table(table)
+
+
+def scan_rejects(spark, sf_dir):
+    """Events as JSON lines, every tenth cut off: typed rows, broken lines, and whether a
+    strict load refuses them."""
+    events = _read(spark, sf_dir, "events")
+    whole = F.to_json(F.struct("event_id", F.col("user_id").cast("string").alias("user")))
+    broken = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(', "user'))
+    path = scratch_path(spark, "broken")
+    events.select(F.when(F.col("event_id") % 10 == 0, broken).otherwise(whole)).write.text(path)
+    mapping = [("$.event_id", "event_id", "bigint"), ("$.user", "user_id", "bigint")]
+    good, rejects = read_with_rejects(spark, path, mapping)
+    try:
+        read_json_mapped(spark, path, mapping).write.format("noop").mode("overwrite").save()
+        strict = "loaded"
+    except (PySparkException, Py4JJavaError):
+        strict = "refused"
+    none = F.lit(None).cast("bigint")
+    return (
+        good.select(F.lit("row").alias("kind"), "event_id", "user_id", F.lit(None).cast("string").alias("line"))
+        .union(rejects.select(F.lit("reject"), none, none, "line"))
+        .union(spark.range(1).select(F.lit("strict"), none, none, F.lit(strict)))
+    )
+
+
+def surrogate_key_load_order_rows(spark, sf_dir):
+    """Every row has one id of its own: ids per key, beside rows per key."""
+    lines = _read(spark, sf_dir, "lineitem").select(LINE_KEY)
+    return surrogate_key(lines, None, "line_id").groupBy(LINE_KEY).agg(
+        F.count("*").alias("num_rows"), F.countDistinct("line_id").alias("num_ids")
+    )
 
 
 ALL: dict[str, Query] = {
@@ -700,4 +822,10 @@ ALL: dict[str, Query] = {
     "star_songplays_true_duplicates": star_songplays_true_duplicates,
     "star_year_zero": star_year_zero,
     "star_job": star_job,
+    "star_job_tables": star_job_tables,
+    "star_job_checks": star_job_checks,
+    "table_life": table_life,
+    "publish_append_bucketed": publish_append_bucketed,
+    "scan_rejects": scan_rejects,
+    "surrogate_key_load_order_rows": surrogate_key_load_order_rows,
 }

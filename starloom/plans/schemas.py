@@ -123,8 +123,16 @@ def all_tables(scale: int = 0) -> dict[str, T.StructType]:
     }
 
 
-# Declared text lengths of the event log.
+# Declared text lengths of the event log, and the length of texts without a declared one.
 EVENT_LENGTHS = {"gender": 5, "level": 10, "method": 10, "page": 20}
+TEXT_LENGTH = 256
+
+
+def text_lengths(schema: T.StructType, declared: dict[str, int]) -> dict[str, int]:
+    """The longest value allowed in each text column."""
+    texts = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
+    return {name: declared.get(name, TEXT_LENGTH) for name in texts}
+
 
 # Columns that must not be NULL in the fact.
 REQUIRED = ("start_time", "user_id", "song_id", "artist_id", "session_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,13 +25,21 @@ from starloom.operators import (
     topk_join_agg,
 )
 from starloom.plans import schemas
-from starloom.sinks.publish import publish
+from starloom.sinks.publish import (
+    Bucketing,
+    check_layout,
+    drop_table,
+    publish,
+    table_buckets,
+)
+from starloom.sinks.scratch import scratch_run
 from starloom.sources import (
     drop_tables,
     path_mapping,
     read_json_auto,
     read_json_mapped,
     read_path_mapping,
+    read_with_rejects,
 )
 
 STAGING = ("staging_events", "staging_songs")
@@ -44,14 +53,14 @@ ARTIST_ORDER = [
     ("location", "desc", "last"),
 ]
 
-# Buckets of the tables that are joined by song.
-BUCKETS = 8
+# Plays per bucket, where the caller does not say how many buckets.
+BUCKET_ROWS = 4_000_000
 
 # Stable order of the plays for their ids.
 PLAY_ORDER = ["start_time", "user_id", "session_id", "song_id", "artist_id"]
 
 
-def layout(buckets: int = BUCKETS) -> dict[str, tuple[int, list[str]]]:
+def layout(buckets: int) -> dict[str, tuple[int, list[str]]]:
     """Tables stored in buckets; the other dimensions are small enough to broadcast."""
     return {name: (buckets, ["song_id"]) for name in ("songplays", "songs")}
 
@@ -133,16 +142,15 @@ def top_artists(plays: DataFrame, table: DataFrame, k: int = 5, mode: str = "ref
 
 
 def duplicate_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The bounded duplicate report of each star table."""
-    return {
-        "users": dup_check_window(tables["users"], ["user_id"], limit=5),
-        "songs": dup_check_window(tables["songs"], ["song_id"], limit=5),
-        "artists": dup_check_window(tables["artists"], ARTIST_KEYS, limit=20, out_cols=[]),
-        "time": dup_check_group(tables["time"], ["start_time"]),
-        "songplays": dup_check_group(
-            tables["songplays"], ["start_time"], count_col="songplay_id"
-        ),
+    """The bounded duplicate report of each of the given star tables."""
+    checks = {
+        "users": lambda t: dup_check_window(t, ["user_id"], limit=5),
+        "songs": lambda t: dup_check_window(t, ["song_id"], limit=5),
+        "artists": lambda t: dup_check_window(t, ARTIST_KEYS, limit=20, out_cols=[]),
+        "time": lambda t: dup_check_group(t, ["start_time"]),
+        "songplays": lambda t: dup_check_group(t, ["start_time"], count_col="songplay_id"),
     }
+    return {name: check(tables[name]) for name, check in checks.items() if name in tables}
 
 
 def key_audits(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -165,6 +173,13 @@ class StarRun:
     duplicates: dict[str, list] = field(default_factory=dict)
     repaired: list[str] = field(default_factory=list)
     sentinels: int = 0
+    # Rows per audit that break a declared key or have NULL in a required column.
+    audits: dict[str, int] = field(default_factory=dict)
+    # Rows a tolerant load set aside, per table that holds them.
+    rejected: dict[str, int] = field(default_factory=dict)
+
+
+REJECTED_LINES, REJECTED_PLAYS = "rejected_lines", "rejected_plays"
 
 
 def load_staging(
@@ -179,89 +194,183 @@ def load_staging(
     """Parse both JSON sets once into staging tables.
 
     The five builds read only the columns they need from Parquet; straight from JSON
-    each of them would parse the whole text again.
+    each of them would parse the whole text again. ``PERMISSIVE`` stores broken lines in the
+    table ``rejected_lines``; any other mode fails on them.
     """
-    event_schema = schemas.staging_events(scale)
+    event_schema, song_schema = schemas.staging_events(scale), schemas.staging_songs(scale)
     if log_paths_file:
         mapping = read_path_mapping(spark, log_paths_file, event_schema)
     else:
         mapping = path_mapping([f"$['{f.name}']" for f in event_schema.fields], event_schema)
-    loads = {
-        "staging_events": read_json_mapped(spark, log_path, mapping, mode=mode),
-        "staging_songs": read_json_auto(spark, catalogue_path, schemas.staging_songs(scale), mode=mode),
-    }
-    for name, frame in loads.items():
-        publish(frame, f"{db}.{name}")
+    if mode == "PERMISSIVE":
+        own_names = [(f.name, f.name, f.dataType) for f in song_schema.fields]
+        events, bad_events = read_with_rejects(spark, log_path, mapping)
+        songs_, bad_songs = read_with_rejects(spark, catalogue_path, own_names)
+        publish(bad_events.unionByName(bad_songs), f"{db}.{REJECTED_LINES}")
+    else:
+        events = read_json_mapped(spark, log_path, mapping, mode=mode)
+        songs_ = read_json_auto(spark, catalogue_path, song_schema, mode=mode)
+    loads = {"staging_events": (events, event_schema), "staging_songs": (songs_, song_schema)}
+    for name, (frame, schema) in loads.items():
+        typed = frame.select([F.col(f.name).cast(f.dataType) for f in schema.fields])
+        _make_room(spark, f"{db}.{name}", typed)
+        publish(typed, f"{db}.{name}")
     staged = {name: spark.table(f"{db}.{name}") for name in loads}
     if mode == "FAILFAST":
-        over = dq_max_length(staged["staging_events"], schemas.EVENT_LENGTHS).first().asDict()
-        too_long = {name: n for name, n in over.items() if n}
-        if too_long:
-            raise ValueError(f"event values exceed their declared length: {too_long}")
+        for name, (_, schema) in loads.items():
+            limits = schemas.text_lengths(schema, schemas.EVENT_LENGTHS)
+            over = dq_max_length(staged[name], limits).first().asDict()
+            too_long = {column: n for column, n in over.items() if n}
+            if too_long:
+                raise ValueError(f"values of {name} exceed their declared length: {too_long}")
     return staged
 
 
-def run_star(
+def _make_room(
+    spark: SparkSession, table: str, frame: DataFrame, bucket_by: Bucketing | None = None
+) -> None:
+    """Refuse rows an existing table cannot take. One without rows, as ``create`` leaves it,
+    is dropped and gets the new columns and buckets."""
+    if not spark.catalog.tableExists(table):
+        return
+    try:
+        check_layout(frame, table, bucket_by)
+    except ValueError:
+        if not spark.table(table).isEmpty():
+            raise
+        drop_table(spark, table)
+
+
+def run_star(spark: SparkSession, log_path: str, catalogue_path: str, db: str, **options) -> StarRun:
+    """Load, build, check, repair and publish; a second run gives the same tables.
+
+    Options: ``log_paths_file`` maps the log's paths; ``scale`` decimal digits are kept;
+    ``buckets`` of plays and songs (default: those of the tables, or by the number of plays);
+    ``load_mode`` FAILFAST, or PERMISSIVE to set broken lines and incomplete plays aside in
+    tables of their own; ``append=True`` adds this load's rows to the star tables instead of
+    replacing them; ``ordered_ids=True`` numbers the plays in a fixed order, which sorts the
+    fact, otherwise as they lie; ``remove_duplicates``, ``clean_sentinels`` and
+    ``drop_staging`` (all True).
+
+    All five tables are checked for columns and buckets before the first is written.
+    Intermediate results are gone when the run ends.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    with scratch_run(spark):
+        return _run(spark, log_path, catalogue_path, db, **options)
+
+
+def _run(
     spark: SparkSession,
     log_path: str,
     catalogue_path: str,
     db: str,
     log_paths_file: str | None = None,
     scale: int = 0,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     load_mode: str = "FAILFAST",
     remove_duplicates: bool = True,
     clean_sentinels: bool = True,
     drop_staging: bool = True,
     append: bool = False,
-    ordered_ids: bool = True,
+    ordered_ids: bool = False,
 ) -> StarRun:
-    """Load, build, check, repair and publish; a second run gives the same tables.
-
-    ``append=True`` adds this load's rows to the star tables instead of replacing them.
-    ``ordered_ids=False`` numbers the plays as they lie: no sort of the fact, but the
-    ids may differ in a second run.
-    """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    bucketed = layout(buckets)
     star = {name: schemas.all_tables(scale)[name] for name in STAR}
-
-    staged = load_staging(spark, log_path, catalogue_path, db, log_paths_file, scale, load_mode)
-    events, catalogue = staged["staging_events"], staged["staging_songs"]
+    run = StarRun(tables={})
 
     def table(name: str) -> DataFrame:
         return spark.table(f"{db}.{name}")
 
-    def put(name: str, frame: DataFrame, how: str) -> None:
-        # Sorted files let scans skip; bucketed files are sorted within the bucket.
-        key = star[name].fields[0].name
-        typed = frame.select([F.col(f.name).cast(f.dataType) for f in star[name].fields])
-        publish(typed, f"{db}.{name}", how, bucketed.get(name), [key])
+    def filled(name: str) -> bool:
+        return spark.catalog.tableExists(f"{db}.{name}") and not table(name).isEmpty()
 
-    how = "append" if append else "swap"
-    plays = require_not_null(songplays(events, catalogue), schemas.REQUIRED)
+    if append and filled("songplays"):
+        # Plain questions to the catalogue, before anything is parsed.
+        for name in STAR:
+            if filled(name):
+                check_layout(spark.createDataFrame([], star[name]), f"{db}.{name}", buckets_too=False)
+
+    staged = load_staging(spark, log_path, catalogue_path, db, log_paths_file, scale, load_mode)
+    events, catalogue = staged["staging_events"], staged["staging_songs"]
+    if load_mode == "PERMISSIVE":
+        run.rejected[REJECTED_LINES] = table(REJECTED_LINES).count()
+
+    matched = songplays(events, catalogue)
+    if load_mode == "PERMISSIVE":
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in schemas.REQUIRED])
+        publish(matched.filter(~complete), f"{db}.{REJECTED_PLAYS}")
+        run.rejected[REJECTED_PLAYS] = table(REJECTED_PLAYS).count()
+        plays = matched.filter(complete)
+    else:
+        plays = require_not_null(matched, schemas.REQUIRED)
     first_id = 1
-    if append and spark.catalog.tableExists(f"{db}.songplays"):
+    if append and filled("songplays"):
         first_id += table("songplays").agg(F.coalesce(F.max("songplay_id"), F.lit(0))).first()[0]
-    order = PLAY_ORDER if ordered_ids else None
-    put("songplays", surrogate_key(plays, order, "songplay_id", first_id), how)
-    put("users", users(events), how)
-    put("songs", songs(catalogue), how)
-    put("artists", artists(catalogue), how)
-    put("time", time(events), how)
+    if buckets is None:
+        known = table_buckets(spark, f"{db}.songplays") if filled("songplays") else None
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = known[0] if known else max(least, events.count() // BUCKET_ROWS)
+    bucketed = layout(buckets)
 
-    run = StarRun(tables={})
-    # At most 20 rows per check come back.
-    for name, check in duplicate_checks({n: table(n) for n in STAR}).items():
-        run.duplicates[name] = check.collect()
+    frames = {
+        "users": users(events),
+        "songs": songs(catalogue),
+        "artists": artists(catalogue),
+        "time": time(events),
+    }
+    frames = {
+        name: frame.select([F.col(f.name).cast(f.dataType) for f in star[name].fields])
+        for name, frame in frames.items()
+    }
+    for name in STAR:
+        frame = frames.get(name)
+        if frame is None:
+            frame = spark.createDataFrame([], star[name])
+        if append and filled(name):
+            check_layout(frame, f"{db}.{name}", buckets_too=False)
+        else:
+            _make_room(spark, f"{db}.{name}", frame, bucketed.get(name))
+
+    how = "append" if append else "swap"
+
+    def put(name: str, frame: DataFrame, mode: str) -> None:
+        # Sorted files let scans skip; bucketed files are sorted within the bucket.
+        spec = table_buckets(spark, f"{db}.{name}") if filled(name) else bucketed.get(name)
+        publish(frame, f"{db}.{name}", mode, spec, [star[name].fields[0].name])
+
+    # What the tables will hold is checked and repaired before it is published.
+    whole = {
+        name: table(name).unionByName(frames[name]) if append and filled(name) else frames[name]
+        for name in ("songs", "artists")
+    }
+    # At most 20 rows come back.
+    run.duplicates["artists"] = duplicate_checks({"artists": whole["artists"]})["artists"].collect()
+    run.sentinels = sentinel_probe(whole["songs"], "year").first()[0]
+    changed = {}
     if remove_duplicates and run.duplicates["artists"]:
-        put("artists", clean_artists(table("artists")), "swap")
-        run.repaired.append("artists")
-    run.sentinels = sentinel_probe(table("songs"), "year").first()[0]
+        changed["artists"] = clean_artists(whole["artists"])
     if clean_sentinels and run.sentinels:
-        put("songs", clean_songs(table("songs")), "swap")
-        run.repaired.append("songs")
+        changed["songs"] = clean_songs(whole["songs"])
+    run.repaired = list(changed)
+
+    order = PLAY_ORDER if ordered_ids else None
+    numbered = surrogate_key(plays, order, "songplay_id", first_id)
+    typed = numbered.select([F.col(f.name).cast(f.dataType) for f in star["songplays"].fields])
+    put("songplays", typed, how)
+    for name, frame in frames.items():
+        put(name, changed.get(name, frame), "swap" if name in changed else how)
+
+    tables = {name: table(name) for name in STAR}
+    # At most 5 rows per check come back.
+    checks = duplicate_checks({n: t for n, t in tables.items() if n != "artists"})
+    found = {name: check.collect() for name, check in checks.items()}
+    run.duplicates = {n: {**run.duplicates, **found}[n] for n in ("users", "songs", "artists", "time", "songplays")}
+    for name, audit in key_audits(tables).items():
+        if name.endswith("_key"):
+            run.audits[name] = audit.count()
+        else:
+            run.audits[name] = sum(audit.first())
     if drop_staging:
         drop_tables(spark, db, STAGING)
-    run.tables = {name: table(name) for name in STAR}
+    run.tables = tables
     return run

@@ -155,6 +155,13 @@ def clean_old(spark: SparkSession, table: str) -> list[str]:
     return gone
 
 
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop a table with all its files. Those of replaced rows go first: the oldest lie where a
+    new table of that name would be created."""
+    clean_old(spark, table)
+    spark.sql(f"DROP TABLE {table}")
+
+
 def create_tables(
     spark: SparkSession,
     db: str,

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from starloom.sinks.publish import drop_table
+
 
 def list_tables(spark: SparkSession, db: str) -> list[str]:
     """Distinct table names of one database."""
@@ -13,8 +15,9 @@ def list_tables(spark: SparkSession, db: str) -> list[str]:
 
 
 def drop_tables(spark: SparkSession, db: str, tables: Sequence[str]) -> list[str]:
-    """Drop the named tables where they exist; returns those that did."""
+    """Drop the named tables where they exist, files of replaced rows included; returns those
+    that did."""
     found = [t for t in tables if spark.catalog.tableExists(f"{db}.{t}")]
     for name in found:
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+        drop_table(spark, f"{db}.{name}")
     return found

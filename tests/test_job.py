@@ -1,5 +1,15 @@
+import json
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
 from golden import write_golden
 from starloom import job
+from starloom.plans import star
+from starloom.sinks.publish import table_buckets
 
 
 def call(spark, *words):
@@ -27,3 +37,55 @@ def test_create_load_check_report(spark, tmp_path, capsys):
 
     call(spark, "create", "--db", "cli")
     assert spark.table("cli.songplays").isEmpty()
+
+
+def test_the_command_starts_from_any_folder(tmp_path):
+    """As documented, in a process of its own that does not know the package."""
+    log, catalogue = write_golden(tmp_path)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    command = [sys.executable, str(Path(job.__file__)), "load", "--db", "own"]
+    done = subprocess.run(
+        [*command, "--log", log, "--catalogue", catalogue],
+        cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "repaired: artists, songs" in done.stdout and "('Band One', 4)" in done.stdout
+    asked = subprocess.run([*command[:2], "--help"], cwd=tmp_path, env=env, capture_output=True, timeout=120)
+    assert asked.returncode == 0
+
+
+def test_load_after_create_with_other_options(spark, tmp_path, capsys):
+    log, catalogue = write_golden(tmp_path)
+    call(spark, "create", "--db", "cli_layout", "--buckets", "4")
+    assert table_buckets(spark, "cli_layout.songplays") == (4, ["song_id"])
+    load = ["load", "--db", "cli_layout", "--log", log, "--catalogue", catalogue]
+    call(spark, *load, "--buckets", "16", "--scale", "5")
+    assert table_buckets(spark, "cli_layout.songplays") == (16, ["song_id"])
+    assert spark.table("cli_layout.songplays").count() == 6
+    assert "users_key: 1 rows" in capsys.readouterr().out
+    # Tables with rows keep their columns: refused before anything is written.
+    before = {t: spark.table(f"cli_layout.{t}").count() for t in star.STAR}
+    for options in (["--scale", "0"], ["--append", "--scale", "0"]):
+        with pytest.raises(ValueError, match="columns differ"):
+            call(spark, *load, *options)
+    assert {t: spark.table(f"cli_layout.{t}").count() for t in star.STAR} == before
+    call(spark, "truncate", "--db", "cli_layout")
+    assert all(spark.table(f"cli_layout.{t}").isEmpty() for t in star.STAR)
+    call(spark, "clean", "--db", "cli_layout")
+
+
+def test_tolerant_load_sets_rows_aside(spark, tmp_path, capsys):
+    log, catalogue = write_golden(tmp_path)
+    file = next(p for p in Path(log).rglob("*") if p.is_file() and p.read_text().strip())
+    lines = file.read_text().splitlines()
+    play = next(json.loads(text) for text in lines if json.loads(text)["page"] == "NextSong")
+    file.write_text("\n".join([*lines, json.dumps({**play, "userId": "who?"}), '{"broken": ']))
+    load = ["load", "--db", "cli_tolerant", "--log", log, "--catalogue", catalogue]
+    with pytest.raises(Exception):
+        call(spark, *load)
+    call(spark, *load, "--tolerant")
+    out = capsys.readouterr().out
+    assert "rejected_lines: 1 rows" in out and "rejected_plays: " in out
+    assert spark.table("cli_tolerant.rejected_lines").first().line == '{"broken": '
+    assert {r.user_id for r in spark.table("cli_tolerant.rejected_plays").collect()} == {None}
+    assert spark.table("cli_tolerant.songplays").count() == 7

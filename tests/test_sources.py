@@ -85,3 +85,11 @@ def test_only_mapped_fields_are_read(spark, tmp_path):
     log, _ = write_golden(tmp_path)
     df = read_json_mapped(spark, log, [("$.ts", "ts", "bigint")])
     assert "ReadSchema: struct<ts:string>" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("paths", [("$.a", "$.a.b"), ("$.a.b", "$['a']"), ("$.a.b", "$.a.b.c")])
+def test_overlapping_paths_are_refused(spark, tmp_path, paths):
+    (tmp_path / "x.json").write_text('{"a": {"b": 1}}')
+    mapping = [(path, f"c{k}", "string") for k, path in enumerate(paths)]
+    with pytest.raises(ValueError, match="path"):
+        read_json_mapped(spark, str(tmp_path), mapping)
