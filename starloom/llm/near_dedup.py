@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm.arrays import FOLD, runs, shingles, utf8, words
 from starloom.llm.components import components
+from starloom.llm.maps import mark
 from starloom.sinks.scratch import pin
 
 WORDS = 5
@@ -200,12 +201,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .agg(F.first("n_shingles").alias("n_shingles")),
         "members",
     )
-    sizes = members.groupBy(F.col("leader").alias("_leader")).agg(
-        F.greatest(
-            F.ceil(F.count("*") / BLOCK_DOCUMENTS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
-        )
-        .cast("int")
-        .alias("_blocks")
+    blocks = F.greatest(
+        F.ceil(F.count("*") / BLOCK_DOCUMENTS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
+    )
+    # Stored, so that the join below has plain shuffles and may split a large leader's members.
+    sizes = pin(
+        members.groupBy(F.col("leader").alias("_leader")).agg(blocks.cast("int").alias("_blocks")),
+        "leaders",
     )
     dealt = members.join(sizes, F.col("leader") == F.col("_leader")).select(
         "leader",
@@ -221,8 +223,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.least("_block", "_other").alias("_a"),
         F.greatest("_block", "_other").alias("_b"),
     )
-    texts = rows.filter("doc_id IS NOT NULL")
-    work = texts.join(paired, F.col("doc_id") == F.col("_id")).select(
+    # Texts without a near copy in sight are not shuffled.
+    texts = mark(rows, "doc_id", members.select("class"), "_wanted").filter("_wanted")
+    work = texts.join(paired.hint("merge"), F.col("doc_id") == F.col("_id")).select(
         "leader", "_a", "_b", "_block", "_id", "text"
     )
     links = work.groupBy("leader", "_a", "_b").applyInPandas(_confirm, "u long, v long")
