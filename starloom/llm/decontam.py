@@ -174,22 +174,27 @@ def _scan(shared: Broadcast):
 
 
 def find_benchmark(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    text: str = "text",
+    name: str = "_hits",
 ) -> DataFrame:
-    """Add ``_hits`` to ``docs``: a struct of ``n_words``, ``n_hit`` (words inside any
+    """Add ``name`` to ``docs``: a struct of ``n_words``, ``n_hit`` (words inside any
     occurrence of a window), ``spans`` (byte ranges of the hit runs in the UTF-8 text),
     ``items`` and ``hit_words`` (indices).
 
     Null and empty texts have no words and no hits; items without words have no windows; an
     item id that is null counts for the hits and is not listed; a repeated item counts once;
-    an empty benchmark hits nothing. Other columns pass through.
+    an empty benchmark hits nothing. Other columns pass through, one called ``name`` is
+    replaced.
     """
     spark = docs.sparkSession
     patterns = _patterns(benchmark, window).persist()
     size = patterns.agg(F.coalesce(F.sum(F.octet_length("window") + 2), F.lit(0))).first()[0]
     passes = max(1, -(-size // AUTOMATON_BYTES))
     # The document's own columns travel as one, so that their names cannot clash.
-    kept = [c for c in docs.columns if c != "_hits"]
+    kept = [c for c in docs.columns if c != name]
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_own"))
     for k in range(passes):
         mine = patterns.filter(F.pmod(F.xxhash64("window"), F.lit(passes)) == k)
@@ -200,7 +205,7 @@ def find_benchmark(
             out = pin(out, "scanned")
     patterns.unpersist()
     if passes == 1:
-        return out.select("_own.*", F.col("_hits0").alias("_hits"))
+        return out.select("_own.*", F.col("_hits0").alias(name))
     parts = [F.col(f"_hits{k}") for k in range(passes)]
     words = F.array_sort(F.array_distinct(F.concat(*[p["hit_words"] for p in parts])))
     items = F.array_sort(F.array_distinct(F.concat(*[p["items"] for p in parts])))
@@ -211,7 +216,7 @@ def find_benchmark(
         items.alias("items"),
         words.alias("hit_words"),
     )
-    return out.select("_own.*", merged.alias("_hits"))
+    return out.select("_own.*", merged.alias(name))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Bits of the map: 16 MB, whatever the input.
-BITS = 1 << 27
+#: Bits of the map: 4 MB, whatever the input.
+BITS = 1 << 25
 
 
 def mark(rows: DataFrame, key: str, among: DataFrame, name: str) -> DataFrame:

@@ -28,6 +28,8 @@ BLOCK_BYTES = 64 * 1024
 TEMPER = 0.9
 #: Rows of a source in one part of its order.
 PART_ROWS = 20_000
+#: Columns that the mixture adds.
+ADDED = ("mix_slot", "mix_offset", "mix_block", "mix_epoch", "mix_release", "mix_deadline")
 
 
 def quotas(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -101,8 +103,7 @@ def mix(
     of the row; repeated rows follow each other. Null and empty texts take one byte. An empty
     table gives no rows. All columns pass through, those with the names above are replaced.
     """
-    added = ["mix_slot", "mix_offset", "mix_block", "mix_epoch", "mix_release", "mix_deadline"]
-    docs = docs.drop(*added)
+    docs = docs.drop(*ADDED)
     own = [F.col(f"`{c}`") for c in docs.columns]
     shuffled = F.xxhash64(F.col(key).cast("string"), F.lit("mix"))
     # The document's own columns travel as one, so that their names cannot clash.
@@ -171,5 +172,5 @@ def mix(
             }
         )
         .filter(F.col("mix_slot") < end)
-        .select("_row.*", *added)
+        .select("_row.*", *ADDED)
     )
