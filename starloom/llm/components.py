@@ -7,22 +7,24 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.sinks.scratch import pin
 
 
-def _pointed(links: DataFrame, at: str, to: str) -> DataFrame:
-    """(at, least): the smallest of a node and its neighbours on one side; map-side minima."""
-    return links.groupBy(F.col(at).alias("_at")).agg(F.min(to).alias("_least"))
+def _pointed(links: DataFrame) -> DataFrame:
+    """(_at, _least): the smallest neighbour of each node, by map-side minima. Stored, so that
+    a join with it has plain shuffles and the links of a large star can be split."""
+    least = links.groupBy(F.col("u").alias("_at")).agg(F.min("v").alias("_least"))
+    return pin(least, "least")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to its smallest neighbour instead."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _pointed(both, "u", "v").withColumn("_least", F.least("_at", "_least"))
+    least = _pointed(both).withColumn("_least", F.least("_at", "_least"))
     moved = both.filter("v > u").join(least, F.col("u") == F.col("_at"))
     return moved.select(F.col("v").alias("u"), F.col("_least").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, is linked to the smallest of them."""
-    least = _pointed(links, "u", "v")
+    least = _pointed(links)
     moved = links.join(least, F.col("u") == F.col("_at"))
     beside = moved.filter("v <> _least").select(F.col("v").alias("u"), F.col("_least").alias("v"))
     own = least.select(F.col("_at").alias("u"), F.col("_least").alias("v"))
