@@ -16,11 +16,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of the documents has it."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line field scores 0.5 or more."""
     labels = _table(spark, sf_dir, "labels").filter(~quality.held_out())
-    scored = quality.add_scores(docs, quality.train(docs, labels), "_quality")
-    return scored.filter("_quality >= 0.5").select(docs.columns)
+    score = _free(docs, "_score")
+    scored = quality.add_scores(docs, quality.train(docs, labels), score)
+    return scored.filter(F.col(score) >= 0.5).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,26 +36,31 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of rows with the same id and text one stays. Rows without an id stay.
     """
-    found = near_dedup.near_duplicates(docs)
-    kept = found.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept"))
-    known = docs.join(kept.distinct(), F.col("doc_id") == F.col("_kept"), "left_semi")
+    kept, copy = _free(docs, "_kept"), _free(docs, "_copy")
+    found = near_dedup.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL")
+    known = docs.join(
+        found.select(F.col("doc_id").alias(kept)).distinct(), F.col("doc_id") == F.col(kept), "left_semi"
+    )
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
-    once = known.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1")
+    once = known.withColumn(copy, F.row_number().over(same)).filter(F.col(copy) == 1)
     return once.select(docs.columns).union(docs.filter("doc_id IS NULL"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of ten words with a benchmark item."""
-    found = decontam.find_benchmark(docs, _table(spark, sf_dir, "benchmark"))
-    return found.filter("_hits.n_hit = 0").select(docs.columns)
+    hits = _free(docs, "_hits")
+    found = decontam.find_benchmark(docs, _table(spark, sf_dir, "benchmark"), name=hits)
+    return found.filter(F.col(hits)["n_hit"] == 0).select(docs.columns)
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of a mixture to tempered weights, those of sources below
     their weight once more; every document stays."""
-    mixed = mixing.mix(docs)
+    aside = {c: _free(docs, f"_{c}") for c in docs.columns if c in mixing.ADDED}
+    mixed = mixing.mix(docs.withColumnsRenamed(aside))
     ordered = mixed.repartitionByRange("mix_slot", "mix_offset")
-    return ordered.sortWithinPartitions("mix_slot", "mix_offset").select(docs.columns)
+    ordered = ordered.sortWithinPartitions("mix_slot", "mix_offset").drop(*mixing.ADDED)
+    return ordered.withColumnsRenamed({new: old for old, new in aside.items()}).select(docs.columns)
 
 
 def training_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
