@@ -54,7 +54,9 @@ def _positions(
         "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
     )
     local = F.col("_place").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    return placed.join(starts, F.shiftright("_place", _LOCAL_BITS) == F.col("_part")).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + local).alias(position))
+    joined = placed.join(starts, F.shiftright("_place", _LOCAL_BITS) == F.col("_part"))
+    own = [F.col(f"`{c}`") for c in df.columns]
+    return joined.select(*own, (F.col("_start") + local).alias(position))
 
 
 def surrogate_key(

@@ -698,7 +698,8 @@ def table_life(spark, sf_dir):
         for name in list_tables(spark, db):
             rows = spark.table(f"{db}.{name}").agg(F.count("*").alias("num_rows"))
             # Written down now, since the next step changes the table.
-            seen.append(pin(rows.select(F.lit(step).alias("step"), F.lit(name).alias("table_name"), "num_rows"), "look"))
+            named = rows.select(F.lit(step).alias("step"), F.lit(name).alias("table_name"), "num_rows")
+            seen.append(pin(named, "look"))
 
     buckets = {"orders": (4, ["o_orderkey"])}
     create_tables(spark, db, schema, buckets)
@@ -739,9 +740,9 @@ def scan_rejects(spark, sf_dir):
         strict = "loaded"
     except (PySparkException, Py4JJavaError):
         strict = "refused"
-    none = F.lit(None).cast("bigint")
+    none, no_line = F.lit(None).cast("bigint"), F.lit(None).cast("string").alias("line")
     return (
-        good.select(F.lit("row").alias("kind"), "event_id", "user_id", F.lit(None).cast("string").alias("line"))
+        good.select(F.lit("row").alias("kind"), "event_id", "user_id", no_line)
         .union(rejects.select(F.lit("reject"), none, none, "line"))
         .union(spark.range(1).select(F.lit("strict"), none, none, F.lit(strict)))
     )

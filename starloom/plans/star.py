@@ -364,7 +364,8 @@ def _run(
     # At most 5 rows per check come back.
     checks = duplicate_checks({n: t for n, t in tables.items() if n != "artists"})
     found = {name: check.collect() for name, check in checks.items()}
-    run.duplicates = {n: {**run.duplicates, **found}[n] for n in ("users", "songs", "artists", "time", "songplays")}
+    found |= run.duplicates
+    run.duplicates = {name: found[name] for name in (*STAR[1:], STAR[0])}
     for name, audit in key_audits(tables).items():
         if name.endswith("_key"):
             run.audits[name] = audit.count()
