@@ -16,8 +16,8 @@ sized AS (
 ),
 coded AS (
   SELECT doc_id, size,
-    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h), 2),
-          lambda i: (instr('0123456789ABCDEF', h[i]) - 1) * 16 + instr('0123456789ABCDEF', h[i + 1]) - 1)),
+    xor(list_reduce(list_prepend(4294967295::BIGINT,
+          list_transform(regexp_extract_all(h, '..'), lambda p: ('0x' || p)::BIGINT)),
         lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32
   FROM sized, steps
 ),
