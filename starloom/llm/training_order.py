@@ -7,6 +7,8 @@ range-partitioned into shards of equal size, and a shard is one file of records
 length, so slot s lies at (s mod slots per shard) * stride in shard s div slots per shard. A
 trainer reads slots in order, and goes on at any slot after a stop.
 
+Tokens are stored once, to count them before slots are given out, and move once, pieces of a
+shard together; both times they are compressed, and a shard is put together by one task.
 Shards go through Spark's text writer, bytes as they are, one line break after each record; so
 they can lie in any store that Spark writes.
 """
@@ -20,15 +22,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from starloom.llm.arrays import mix
+from starloom.llm.arrays import bound_batches, mix
 from starloom.sinks.scratch import pin
 
 #: Tokens of a sequence; slots of a shard, more once there would be over MOST_SHARDS.
 SEQUENCE, SHARD_SLOTS, MOST_SHARDS = 1024, 4096, 100_000
 KEY = 0x5EED_0F_0DE12
 ROUNDS = 6
+#: Bytes of tokens a task holds before it passes them on; slots written as one row.
+HELD_BYTES, CHUNK_SLOTS = 16 << 20, 1024
 #: Input splits up to which their offsets (16 bytes each) are broadcast.
 MOST_BROADCAST = 500_000
 
@@ -93,39 +98,62 @@ def encoding(file: str) -> tiktoken.Encoding:
     return _encodings[file]
 
 
+def _kind(end: int) -> np.dtype:
+    """Numbers of a record: two bytes each if the vocabulary allows."""
+    return np.dtype("<u2" if end < 1 << 16 else "<u4")
+
+
+STORED = "part long, n long, starts array<long>, sizes array<long>, ids array<long>, tokens binary"
+
+
 def _tokenized(docs: DataFrame, file: str, end: int, key: str, text: str) -> DataFrame:
-    """(part, start, n, id, ids): the token stream as it lies, stored once. ``start`` counts
-    from the beginning of the part."""
-    kind = np.dtype("<u2" if end < 1 << 16 else "<u4")
+    """The token stream as it lies, stored once: a row per batch of documents with their
+    starts (from the beginning of the part), sizes and ids, and all their tokens, compressed."""
+    kind = _kind(end)
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, at = encoding(file).encode_ordinary, 0
+        squeeze = zstandard.ZstdCompressor(level=6).compress
         for batch in batches:
-            starts, sizes, ids = [], [], []
-            for value in batch.column(2).to_pylist():
-                own = encode(value) if value else []
-                own.append(end)
-                starts.append(at)
-                sizes.append(len(own))
-                ids.append(np.array(own, kind).tobytes())
-                at += len(own)
+            parts = [
+                np.array([*(encode(value) if value else ()), end], kind)
+                for value in batch.column(2).to_pylist()
+            ]
+            if not parts:
+                continue
+            sizes = np.array([len(p) for p in parts], np.int64)
+            ends = at + np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    pa.array(starts, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    batch.column(1),
-                    pa.array(ids, pa.binary()),
+                    batch.column(0)[:1],
+                    pa.array([int(sizes.sum())], pa.int64()),
+                    pa.array([ends - sizes], pa.list_(pa.int64())),
+                    pa.array([sizes], pa.list_(pa.int64())),
+                    pa.array([batch.column(1).to_pylist()], pa.list_(pa.int64())),
+                    pa.array([squeeze(np.concatenate(parts).tobytes())], pa.binary()),
                 ],
-                ["part", "start", "n", "id", "ids"],
+                ["part", "n", "starts", "sizes", "ids", "tokens"],
             )
+            at = int(ends[-1])
 
     rows = docs.select(
         F.spark_partition_id().cast("bigint").alias("part"),
         F.col(key).cast("bigint").alias("id"),
         F.col(text).alias("text"),
     )
-    return pin(rows.mapInArrow(tokenize, "part long, start long, n long, id long, ids binary"), "token-ids")
+    return pin(rows.mapInArrow(tokenize, STORED), "token-ids")
+
+
+PIECES = "shard long, slots array<long>, offsets array<long>, sizes array<long>, pieces binary"
+PIECE_FIELDS = pa.schema(
+    [
+        ("shard", pa.int64()),
+        ("slots", pa.list_(pa.int64())),
+        ("offsets", pa.list_(pa.int64())),
+        ("sizes", pa.list_(pa.int64())),
+        ("pieces", pa.binary()),
+    ]
+)
 
 
 @dataclass
@@ -171,75 +199,116 @@ def write_training_order(
     and ids come as often as they are there; a null id is listed as NULL. An empty table
     writes no shard. Other columns are not written.
     """
+    bound_batches(docs.sparkSession)
     stored = _tokenized(docs, file, end, id, text)
-    width = 2 if end < 1 << 16 else 4
+    kind = _kind(end)
     sizes = stored.groupBy(F.col("part").alias("_part")).agg(F.sum("n").alias("_n"))
     parts, tokens = sizes.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
     total = -(-tokens // sequence)
     shard_slots = shard_slots or max(SHARD_SLOTS, -(-total // MOST_SHARDS))
-    layout = Layout(path, total, tokens, sequence, shard_slots, width, key)
+    layout = Layout(path, total, tokens, sequence, shard_slots, kind.itemsize, key)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per input split.
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     if parts <= MOST_BROADCAST:
         offsets = F.broadcast(offsets)
     stream = stored.join(offsets, F.col("part") == F.col("_part")).select(
-        (F.col("start") + F.col("_before")).alias("start"), "n", "id", "ids"
+        F.col("_before").alias("before"), "starts", "sizes", "ids", "tokens"
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Stored batches to pieces of sequences, those of a shard together."""
+        expand = zstandard.ZstdDecompressor().decompress
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        waiting: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+        held = 0
+
+        def flush() -> pa.RecordBatch:
+            rows = [
+                {
+                    "shard": shard,
+                    "slots": [slot for slot, _, _ in pieces],
+                    "offsets": [offset for _, offset, _ in pieces],
+                    "sizes": [len(p) for _, _, p in pieces],
+                    "pieces": squeeze(np.concatenate([p for _, _, p in pieces]).tobytes()),
+                }
+                for shard, pieces in waiting.items()
+            ]
+            waiting.clear()
+            return pa.RecordBatch.from_pylist(rows, PIECE_FIELDS)
+
         for batch in batches:
-            start, n = (batch.column(k).to_numpy() for k in (0, 1))
-            first = start // sequence
-            counts = (start + n - 1) // sequence - first + 1
-            row = np.repeat(np.arange(len(n)), counts)
-            number = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-            begin = np.maximum(start[row], number * sequence)
-            stop = np.minimum((start + n)[row], (number + 1) * sequence)
-            slot = slots_of(number, total, key)
-            ids = batch.column(3)
-            pieces = []
-            for r, a, b in zip(row.tolist(), (begin - start[row]).tolist(), (stop - start[row]).tolist()):
-                pieces.append(ids[r].as_buffer()[a * width : b * width])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(slot // shard_slots),
-                    pa.array(slot),
-                    pa.array(begin - number * sequence),
-                    pa.array([p.to_pybytes() for p in pieces], pa.binary()),
-                ],
-                ["shard", "slot", "offset", "piece"],
-            )
+            for before, starts, packed in zip(*(batch.column(k) for k in (0, 1, 4))):
+                own = np.frombuffer(expand(packed.as_py()), kind)
+                first = before.as_py() + starts[0].as_py()
+                numbers = np.arange(first // sequence, (first + len(own) - 1) // sequence + 1)
+                for number, slot in zip(numbers.tolist(), slots_of(numbers, total, key).tolist()):
+                    begin = max(first, number * sequence)
+                    piece = own[begin - first : (number + 1) * sequence - first]
+                    waiting.setdefault(slot // shard_slots, []).append(
+                        (slot, begin - number * sequence, piece)
+                    )
+                held += own.nbytes
+                if held >= HELD_BYTES:
+                    yield flush()
+                    held = 0
+        yield flush()
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pieces of whole shards, in the order of shards, to their records."""
+        expand = zstandard.ZstdDecompressor().decompress
+        now, records = -1, np.zeros((0, 0), np.uint8)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(records) if now >= 0 else 0, CHUNK_SLOTS):
+                # The writer adds the last line break of a chunk.
+                chunk = records[a : a + CHUNK_SLOTS].tobytes()[:-1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([now]), pa.array([a]), pa.array([chunk], pa.binary())],
+                    ["shard", "chunk", "records"],
+                )
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["shard"] != now:
+                    yield from flush()
+                    now = row["shard"]
+                    size = min(shard_slots, total - now * shard_slots)
+                    whole = np.full((size, sequence), end, kind)
+                    records = np.full((size, layout.stride), 10, np.uint8)
+                    records[:, :-1] = whole.view(np.uint8)
+                    del whole
+                data, at = np.frombuffer(expand(row["pieces"]), np.uint8), 0
+                for slot, offset, n in zip(row["slots"], row["offsets"], row["sizes"]):
+                    to, n = offset * kind.itemsize, n * kind.itemsize
+                    records[slot - now * shard_slots, to : to + n] = data[at : at + n]
+                    at += n
+        yield from flush()
 
     shards = -(-total // shard_slots)
-    filler = np.array([end], "<u2" if width == 2 else "<u4").tobytes() * (total * sequence - tokens)
     if total:
-        cuts = stream.select("start", "n", "id", "ids").mapInArrow(
-            cut, "shard long, slot long, offset long, piece binary"
+        spread = stream.mapInArrow(cut, PIECES).repartitionByRange(shards, "shard")
+        chunks = spread.sortWithinPartitions("shard").mapInArrow(
+            assemble, "shard long, chunk long, records binary"
         )
-        spread = cuts.repartitionByRange(shards, "shard")
-        # A sequence has as many pieces as documents, at most one per token.
-        joined = F.aggregate(
-            F.array_sort(F.collect_list(F.struct("offset", "piece"))),
-            F.lit(b""),
-            lambda whole, p: F.concat(whole, p["piece"]),
-        )
-        records = spread.groupBy("shard", "slot").agg(joined.alias("record"))
-        last = int(slots_of(np.array([total - 1]), total, key)[0])
-        whole = F.when(F.col("slot") == last, F.concat("record", F.lit(filler))).otherwise(F.col("record"))
         (
-            records.withColumn("record", whole.cast("string"))
-            .sortWithinPartitions("shard", "slot")
-            .select("record", "shard")
+            chunks.sortWithinPartitions("shard", "chunk")
+            .select(F.col("records").cast("string"), "shard")
             .write.partitionBy("shard")
             .option("lineSep", "\n")
             .text(path)
         )
+    documents = stream.select("before", F.explode(F.arrays_zip("starts", "sizes", "ids")).alias("d"))
+    documents = documents.select(
+        (F.col("d.starts") + F.col("before")).alias("start"),
+        F.col("d.sizes").alias("n"),
+        F.col("d.ids").alias("id"),
+    )
     numbers = F.sequence(
         F.call_function("div", "start", F.lit(sequence)),
         F.call_function("div", F.col("start") + F.col("n") - 1, F.lit(sequence)),
     )
-    held = stream.select("start", "id", F.explode(numbers).alias("sequence"))
+    held = documents.select("start", "id", F.explode(numbers).alias("sequence"))
 
     @F.arrow_udf("long")
     def slot_column(numbers: pa.Array) -> pa.Array:
@@ -272,16 +341,20 @@ def read_slots(spark: SparkSession, layout: Layout, first: int = 0, last: int |
                 data = content.as_buffer()
                 if data.size % stride:
                     raise ValueError(f"shard {shard} has {data.size} bytes, not a multiple of {stride}")
-                rows = [k for k in range(data.size // stride) if first <= shard * shard_slots + k < last]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([shard * shard_slots + k for k in rows], pa.int64()),
-                        pa.array([shard] * len(rows), pa.int64()),
-                        pa.array([k * stride for k in rows], pa.int64()),
-                        pa.array([data[k * stride : (k + 1) * stride - 1].to_pybytes() for k in rows], pa.binary()),
-                    ],
-                    ["slot", "shard", "offset", "ids"],
-                )
+                begin = shard * shard_slots
+                places = range(max(0, first - begin), min(data.size // stride, last - begin))
+                for a in range(places.start, places.stop, 1000):
+                    rows = places[a - places.start : a - places.start + 1000]
+                    records = [data[k * stride : (k + 1) * stride - 1].to_pybytes() for k in rows]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([begin + k for k in rows], pa.int64()),
+                            pa.array([shard] * len(rows), pa.int64()),
+                            pa.array([k * stride for k in rows], pa.int64()),
+                            pa.array(records, pa.binary()),
+                        ],
+                        ["slot", "shard", "offset", "ids"],
+                    )
 
     files = spark.read.format("binaryFile").load(layout.path)
     wanted = files.filter(F.col("shard").between(first // shard_slots, (last - 1) // shard_slots))
