@@ -13,8 +13,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 RUN_BYTES = 1 << 20
+#: Bytes of an Arrow batch; a longer text is a batch of its own.
+BATCH_BYTES = 4 << 20
+DEFAULT_BATCH = "67108864b"
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32  # A-Z to a-z; other code points stay
@@ -46,6 +50,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session hold at most ``BATCH_BYTES``. By default 64 MB of text
+    lie in a batch, several times over on both sides of the pipe to Python."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    # A size that the user chose stays.
+    if spark.conf.get(name) == DEFAULT_BATCH:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrays import FOLD
+from starloom.llm.arrays import FOLD, bound_batches
 from starloom.sinks.scratch import pin
 
 WINDOW = 10
@@ -190,6 +190,7 @@ def find_benchmark(
     replaced.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     patterns = _patterns(benchmark, window).persist()
     size = patterns.agg(F.coalesce(F.sum(F.octet_length("window") + 2), F.lit(0))).first()[0]
     passes = max(1, -(-size // AUTOMATON_BYTES))

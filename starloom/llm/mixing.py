@@ -26,8 +26,8 @@ PERIOD = 4096
 BLOCK_BYTES = 64 * 1024
 #: Default weights: shares of the bytes to this power, which moves weight to small sources.
 TEMPER = 0.9
-#: Rows of a source in one part of its order.
-PART_ROWS = 20_000
+#: Rows of a source in one part of its order, more once there would be over MOST_PARTS.
+PART_ROWS, MOST_PARTS = 2_000, 100_000
 #: Columns that the mixture adds.
 ADDED = ("mix_slot", "mix_offset", "mix_block", "mix_epoch", "mix_release", "mix_deadline")
 
@@ -140,7 +140,7 @@ def mix(
         table, "p_of string, p_block long, p_release long, p_due long, p_slot long"
     )
     sources = spark.createDataFrame(
-        [(s, quota[s], blocks[s], max(1, totals[s][1] // PART_ROWS)) for s in quota],
+        [(s, quota[s], blocks[s], max(1, min(MOST_PARTS, totals[s][1] // PART_ROWS))) for s in quota],
         "s_of string, s_quota long, s_blocks long, s_parts long",
     )
     known = rows.join(F.broadcast(sources), F.col("_of") == F.col("s_of")).withColumn(

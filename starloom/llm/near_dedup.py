@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrays import FOLD, runs, shingles, utf8, words
+from starloom.llm.arrays import FOLD, bound_batches, runs, shingles, utf8, words
 from starloom.llm.components import components
 from starloom.llm.maps import mark
 from starloom.sinks.scratch import pin
@@ -174,6 +174,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     one node. A row without an id is linked with nothing, has no component, and is kept. An
     empty table gives no rows; other columns are not returned.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     signed = pin(
         rows.mapInArrow(_signed, "doc_id long, n_shingles long, digest binary, bands array<long>"),

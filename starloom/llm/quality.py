@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrays import FOLD, runs, utf8, words
+from starloom.llm.arrays import bound_batches, runs, utf8, words
 
 #: Bound of the training sample: documents of each label, and lines of a training document.
 PER_LABEL, MOST_LINES = 1500, 64
@@ -59,9 +59,9 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     breaks = np.flatnonzero(data == 10)
     of = np.searchsorted(offsets, breaks, "right") - 1
     start = np.concatenate([offsets[:-1], breaks + 1])
-    order = np.lexsort((np.concatenate([np.full(docs, -1), np.arange(len(breaks))]), np.concatenate([np.arange(docs), of])))
-    start = start[order]
-    doc = np.concatenate([np.arange(docs), of])[order]
+    owner = np.concatenate([np.arange(docs), of])
+    order = np.lexsort((np.concatenate([np.full(docs, -1), np.arange(len(breaks))]), owner))
+    start, doc = start[order], owner[order]
     at = np.searchsorted(doc, np.arange(docs + 1))
     end = np.concatenate([start[1:] - 1, [len(data)]])
     end[at[1:] - 1] = offsets[1:]
@@ -86,7 +86,8 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     # Lines that occur before in their document.
     sums = np.zeros(n + 1, np.uint64)
     if len(line):
-        np.add.at(sums, line, w.hash * (np.arange(len(line)) - np.searchsorted(line, line) + 1).astype(np.uint64))
+        place = np.arange(len(line)) - np.searchsorted(line, line) + 1
+        np.add.at(sums, line, w.hash * place.astype(np.uint64))
     key = np.stack([doc[: n].astype(np.uint64), sums[:n]], axis=1)
     ranks = np.lexsort((np.arange(n), key[:, 1], key[:, 0]))
     repeat = np.zeros(n)
@@ -284,6 +285,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Fie
     ids with labels that disagree do not count. Without documents of both labels there is
     nothing to learn, and every text that shows something scores 0.5.
     """
+    bound_batches(docs.sparkSession)
     known = (
         labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -292,7 +294,10 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Fie
     )
     turn = F.xxhash64(F.col("doc_id").cast("string"), F.lit("train"))
     chosen = [
-        known.filter(F.col("quality") == q).orderBy(turn, "doc_id").limit(per_label).select("doc_id", "quality")
+        known.filter(F.col("quality") == q)
+        .orderBy(turn, "doc_id")
+        .limit(per_label)
+        .select("doc_id", "quality")
         for q in (0, 1)
     ]
     # At most 2 * per_label ids and numbers.
@@ -327,6 +332,7 @@ def add_scores(docs: DataFrame, field: Field, name: str = "score", text: str = "
             ]
             yield pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
 
+    bound_batches(docs.sparkSession)
     return docs.withColumn(name, score(text))
 
 

@@ -50,9 +50,11 @@ def _spans(text: Column, pattern: str, kind: str, value: int = 0, least: int = 0
     """
     regex = F.lit(pattern)
     between = F.split(text, pattern, -1)
-    whole, values = F.regexp_extract_all(text, regex, F.lit(0)), F.regexp_extract_all(text, regex, F.lit(value))
+    whole = F.regexp_extract_all(text, regex, F.lit(0))
+    values = F.regexp_extract_all(text, regex, F.lit(value))
+    gaps = F.slice(between, 1, F.size(whole))
     sizes = F.transform(
-        F.arrays_zip(F.slice(between, 1, F.size(whole)).alias("gap"), whole.alias("whole"), values.alias("value")),
+        F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), values.alias("value")),
         lambda m: F.struct(
             F.length(m["gap"]).cast("bigint").alias("gap"),
             F.length(m["whole"]).cast("bigint").alias("size"),

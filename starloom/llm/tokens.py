@@ -24,6 +24,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
+from starloom.llm.arrays import bound_batches
 from starloom.sinks.scratch import pin
 
 #: Bounds of the broadcast list and of the documents it is taken from.
@@ -115,6 +116,7 @@ def count_tokens(docs: DataFrame, file: str, text: str = "text") -> DataFrame:
     replaced.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = docs.drop("n_bytes", "n_tokens")
     kept = [c for c in docs.columns if c != text]
     listed = spark.sparkContext.broadcast(_listed(docs, text, file))

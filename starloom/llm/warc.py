@@ -110,7 +110,8 @@ def write_captures(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     url = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), "[\\r\\n ]+", "%20")
     host = F.regexp_extract(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)
     target = F.regexp_replace(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", "")
-    asked = F.concat(F.lit("GET /"), F.regexp_replace(target, "^/", ""), F.lit(f" HTTP/1.1{BREAK}Host: "), host, F.lit(END))
+    place = F.regexp_replace(target, "^/", "")
+    asked = F.concat(F.lit("GET /"), place, F.lit(f" HTTP/1.1{BREAK}Host: "), host, F.lit(END))
     request = _record(
         F.lit("request"),
         F.concat(other, at, concurrent, F.lit(f"Content-Type: application/http; msgtype=request{BREAK}")),
