@@ -16,6 +16,7 @@ they can lie in any store that Spark writes.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -33,7 +34,9 @@ SEQUENCE, SHARD_SLOTS, MOST_SHARDS = 1024, 4096, 100_000
 KEY = 0x5EED_0F_0DE12
 ROUNDS = 6
 #: Bytes of tokens a task holds before it passes them on; slots written as one row.
-HELD_BYTES, CHUNK_SLOTS = 16 << 20, 1024
+HELD_BYTES, CHUNK_SLOTS = 16 << 20, 128
+#: Tokens of a stored row and of a row of pieces; rows of megabytes would fill the JVM's heap.
+ROW_TOKENS = 1 << 17
 #: Input splits up to which their offsets (16 bytes each) are broadcast.
 MOST_BROADCAST = 500_000
 
@@ -106,35 +109,46 @@ def _kind(end: int) -> np.dtype:
 STORED = "part long, n long, starts array<long>, sizes array<long>, ids array<long>, tokens binary"
 
 
+STORED_FIELDS = pa.schema(
+    [
+        ("part", pa.int64()),
+        ("n", pa.int64()),
+        ("starts", pa.list_(pa.int64())),
+        ("sizes", pa.list_(pa.int64())),
+        ("ids", pa.list_(pa.int64())),
+        ("tokens", pa.binary()),
+    ]
+)
+
+
 def _tokenized(docs: DataFrame, file: str, end: int, key: str, text: str) -> DataFrame:
-    """The token stream as it lies, stored once: a row per batch of documents with their
+    """The token stream as it lies, stored once: a row for every few documents with their
     starts (from the beginning of the part), sizes and ids, and all their tokens, compressed."""
-    kind = _kind(end)
+    width = _kind(end).itemsize
+    code = "H" if width == 2 else "I"
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, at = encoding(file).encode_ordinary, 0
-        squeeze = zstandard.ZstdCompressor(level=6).compress
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            parts = [
-                np.array([*(encode(value) if value else ()), end], kind)
-                for value in batch.column(2).to_pylist()
-            ]
-            if not parts:
-                continue
-            sizes = np.array([len(p) for p in parts], np.int64)
-            ends = at + np.cumsum(sizes)
+            rows, parts, own, held = [], [], [], 0
+            part = batch.column(0)[0].as_py() if batch.num_rows else None
+            for k, value in enumerate(batch.column(2).to_pylist()):
+                found = encode(value) if value else []
+                found.append(end)
+                parts.append(array(code, found).tobytes())
+                own.append(batch.column(1)[k].as_py())
+                held += len(found)
+                if k + 1 < batch.num_rows and held < ROW_TOKENS:
+                    continue
+                sizes = np.array([len(p) // width for p in parts], np.int64)
+                ends = at + np.cumsum(sizes)
+                rows.append((part, held, ends - sizes, sizes, own, squeeze(b"".join(parts))))
+                at, parts, own, held = int(ends[-1]), [], [], 0
+            fields = dict(zip(STORED_FIELDS.names, zip(*rows))) if rows else {}
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0)[:1],
-                    pa.array([int(sizes.sum())], pa.int64()),
-                    pa.array([ends - sizes], pa.list_(pa.int64())),
-                    pa.array([sizes], pa.list_(pa.int64())),
-                    pa.array([batch.column(1).to_pylist()], pa.list_(pa.int64())),
-                    pa.array([squeeze(np.concatenate(parts).tobytes())], pa.binary()),
-                ],
-                ["part", "n", "starts", "sizes", "ids", "tokens"],
+                [pa.array(fields.get(f.name, ()), f.type) for f in STORED_FIELDS], schema=STORED_FIELDS
             )
-            at = int(ends[-1])
 
     rows = docs.select(
         F.spark_partition_id().cast("bigint").alias("part"),
@@ -220,6 +234,7 @@ def write_training_order(
         """Stored batches to pieces of sequences, those of a shard together."""
         expand = zstandard.ZstdDecompressor().decompress
         squeeze = zstandard.ZstdCompressor(level=3).compress
+        step = max(1, ROW_TOKENS // sequence)
         waiting: dict[int, list[tuple[int, int, np.ndarray]]] = {}
         held = 0
 
@@ -232,7 +247,8 @@ def write_training_order(
                     "sizes": [len(p) for _, _, p in pieces],
                     "pieces": squeeze(np.concatenate([p for _, _, p in pieces]).tobytes()),
                 }
-                for shard, pieces in waiting.items()
+                for shard, whole in waiting.items()
+                for pieces in (whole[k : k + step] for k in range(0, len(whole), step))
             ]
             waiting.clear()
             return pa.RecordBatch.from_pylist(rows, PIECE_FIELDS)
