@@ -6,33 +6,49 @@ In each slot the released block with the earliest deadline runs. Since the weigh
 one, every block meets its window, so at any time each source is less than one block away
 from its share.
 
-Weights are rounded to whole numbers out of ``PERIOD``; the schedule then repeats every
-``PERIOD`` slots. One period is computed on the driver, a table of fixed size, and every block
-looks up its slot there: slot = period * PERIOD + place in the period. No other task depends
-on what ran before.
+Weights are ratios of whole numbers, exactly those that were given: nothing is rounded, so
+the distance does not grow with the number of slots or of sources. One task deals the slots
+in their order. It holds a block per source and a few rows, and passes on a row of numbers per
+``BLOCK_BYTES`` of documents; these rows are stored and joined to the documents' blocks.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm.ranges import running_totals
+from starloom.sinks.scratch import pin
 
-PERIOD = 4096
 BLOCK_BYTES = 64 * 1024
-#: Default weights: shares of the bytes to this power, which moves weight to small sources.
+#: Default weights: shares of the bytes to this power, which moves weight to small sources. Bytes
+#: count in whole blocks, as a slot is one: a source of a few bytes would otherwise be due once in
+#: so many slots that the others had to repeat for it without end.
 TEMPER = 0.9
 #: Rows of a source in one part of its order, more once there would be over MOST_PARTS.
 PART_ROWS, MOST_PARTS = 2_000, 100_000
+#: Slots that are passed on together, and the last slot a column can hold.
+SLOT_ROWS, LAST_SLOT = 10_000, (1 << 63) - 1
 #: Columns that the mixture adds.
 ADDED = ("mix_slot", "mix_offset", "mix_block", "mix_epoch", "mix_release", "mix_deadline")
 
 
-def quotas(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
+def ratios(weights: Mapping[str, float]) -> dict[str, int]:
+    """Positive weights as whole numbers in exactly the same ratios."""
+    exact = {s: Fraction(w) for s, w in weights.items() if w > 0}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    whole = {s: x.numerator * (scale // x.denominator) for s, x in exact.items()}
+    common = math.gcd(*whole.values()) or 1
+    return {s: n // common for s, n in whole.items()}
+
+
+def quotas(weights: Mapping[str, float], period: int) -> dict[str, int]:
     """Weights as whole numbers that add up to ``period``, by largest remainder; each source
     of positive weight gets one at least."""
     wanted = {s: w for s, w in weights.items() if w > 0}
@@ -52,22 +68,59 @@ def quotas(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]
     return whole
 
 
-def one_period(quota: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, block, release, deadline, slot) of a period, earliest deadline first."""
-    period = sum(quota.values())
-    waiting = [(0, s, 0) for s in sorted(quota)]  # by release
+def schedule(shares: Mapping[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of all slots, earliest deadline first."""
+    total = sum(shares.values())
+    waiting = [(0, s, 0) for s in sorted(shares)]  # by release
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int, int]] = []  # by deadline
-    found = []
-    for slot in range(period):
+    slot = 0
+    while waiting or ready:
         while waiting and waiting[0][0] <= slot:
             release, s, block = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(block + 1) * period // quota[s]), s, block, release))
+            heapq.heappush(ready, (-(-(block + 1) * total // shares[s]), s, block, release))
         due, s, block, release = heapq.heappop(ready)
-        found.append((s, block, release, due, slot))
-        if block + 1 < quota[s]:
-            heapq.heappush(waiting, ((block + 1) * period // quota[s], s, block + 1))
-    return found
+        yield s, block, release, due, slot
+        heapq.heappush(waiting, ((block + 1) * total // shares[s], s, block + 1))
+        slot += 1
+
+
+def one_period(quota: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """The slots after which the schedule repeats."""
+    return list(islice(schedule(quota), sum(quota.values())))
+
+
+SLOTS = "p_of int, p_block long, p_epoch long, p_release long, p_due long, p_slot long"
+SLOT_FIELDS = pa.schema(
+    [("p_of", pa.int32())]
+    + [(name, pa.int64()) for name in ("p_block", "p_epoch", "p_release", "p_due", "p_slot")]
+)
+
+
+def slots_until_done(
+    shares: Mapping[str, int], blocks: Mapping[str, int], number: Mapping[str, int]
+) -> Iterator[pa.RecordBatch]:
+    """The schedule up to the slot in which the last source has run all its ``blocks`` once;
+    a block's number goes on from epoch to epoch. Sources go by their ``number``."""
+    left, rows = len(blocks), []
+
+    def batch() -> pa.RecordBatch:
+        columns = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, SLOT_FIELDS)], schema=SLOT_FIELDS
+        )
+
+    for s, block, release, due, slot in schedule(shares):
+        epoch, own = divmod(block, blocks[s])
+        rows.append((number[s], own, epoch, release, min(due, LAST_SLOT), slot))
+        left -= block + 1 == blocks[s]
+        if not left:
+            break
+        if len(rows) == SLOT_ROWS:
+            yield batch()
+            rows = []
+    if rows:
+        yield batch()
 
 
 def text_size(text: str = "text") -> Column:
@@ -87,15 +140,18 @@ def mix(
     key: str = "doc_id",
     size: Column | None = None,
     block_bytes: int = BLOCK_BYTES,
-    period: int = PERIOD,
+    period: int | None = None,
 ) -> DataFrame:
     """``docs`` in the order of a mixture: adds ``mix_slot``, ``mix_offset`` (order within the
     slot), ``mix_block`` (in the source), ``mix_epoch``, ``mix_release`` and ``mix_deadline``.
 
     Every document comes at least once. The mixture ends when the last source has been used
-    up; sources used up before begin again, so their documents come once more with the next
-    epoch. ``weights`` (default: tempered shares of the bytes) must name every source that
-    is to be used; rows of others, or of weight 0, are left out. NULL is a source of its own.
+    up, for a source of small weight after its blocks / weight slots; sources used up before
+    begin again, so their documents come once more with the next epoch. ``weights``
+    (default: tempered shares of the bytes, in whole blocks) must name every source that is to
+    be used; rows of others, or of weight 0, are left out. NULL is a source of its own.
+    Weights are kept exactly; only where the caller names a ``period`` they become whole
+    shares of that many slots, so that the schedule repeats.
 
     A document takes ``size`` (positive; default the UTF-8 bytes of its ``text`` plus one); it
     belongs to the block where it begins, so a long one leaves the blocks that it covers
@@ -121,27 +177,25 @@ def mix(
         for r in rows.groupBy("_of").agg(F.sum("_size").alias("bytes"), F.count("*").alias("rows")).collect()
     }
     if weights is None:
-        named = {s: float(b) ** TEMPER for s, (b, _) in totals.items()}
+        named = {s: float(-(-b // block_bytes) * block_bytes) ** TEMPER for s, (b, _) in totals.items()}
     else:
         named = {"NULL" if s is None else f"={s}": w for s, w in weights.items()}
         named = {s: w for s, w in named.items() if s in totals}
-    quota = quotas(named, period)
-    blocks = {s: -(-totals[s][0] // block_bytes) for s in quota}
-    table = one_period(quota)
-    slot_of = {(s, b): slot for s, b, _, _, slot in table}
-    # The slot in which the last source has run its last block for the first time.
-    end = max(
-        ((n - 1) // quota[s] * period + slot_of[s, (n - 1) % quota[s]] + 1 for s, n in blocks.items()),
-        default=0,
-    )
+    shares = ratios(named) if period is None else quotas(named, period)
+    blocks = {s: -(-totals[s][0] // block_bytes) for s in shares}
+    number = {s: k for k, s in enumerate(sorted(shares))}
     spark = docs.sparkSession
-    # At most ``period`` rows each.
-    places = spark.createDataFrame(
-        table, "p_of string, p_block long, p_release long, p_due long, p_slot long"
-    )
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            yield from slots_until_done(shares, blocks, number)
+
+    # A row per block, in the order of slots, which one after the other depend on those before.
+    one = spark.range(0, 1 if shares else 0, 1, 1)
+    places = pin(one.mapInArrow(deal, SLOTS), "slots")
     sources = spark.createDataFrame(
-        [(s, quota[s], blocks[s], max(1, min(MOST_PARTS, totals[s][1] // PART_ROWS))) for s in quota],
-        "s_of string, s_quota long, s_blocks long, s_parts long",
+        [(s, number[s], max(1, min(MOST_PARTS, totals[s][1] // PART_ROWS))) for s in shares],
+        "s_of string, s_number int, s_parts long",
     )
     known = rows.join(F.broadcast(sources), F.col("_of") == F.col("s_of")).withColumn(
         "_part", F.pmod(F.shiftrightunsigned("_turn", 20), F.col("s_parts"))
@@ -149,28 +203,15 @@ def mix(
     order = ["_turn", "_id", "_tie"]
     placed = running_totals(known, ["_of"], "_part", order, {"_size": "mix_offset"})
     placed = placed.withColumn("mix_block", F.call_function("div", "mix_offset", F.lit(block_bytes)))
-    # Block i of epoch e is the source's block i + e * blocks; all those before the end run.
-    most = F.lit(-(-end // period)) * F.col("s_quota") - 1 - F.col("mix_block")
-    last = F.call_function("div", most, F.col("s_blocks"))
-    epochs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(last, F.lit(0).cast("bigint"))))
-    repeated = placed.withColumn("mix_epoch", epochs)
-    number = F.col("mix_block") + F.col("mix_epoch") * F.col("s_blocks")
-    repeated = repeated.withColumns(
-        {"_period": F.call_function("div", number, F.col("s_quota")), "_in": number % F.col("s_quota")}
-    )
-    looked = repeated.join(
-        F.broadcast(places),
-        (F.col("_of") == F.col("p_of")) & (F.col("_in") == F.col("p_block")),
-    )
-    begin = F.col("_period") * period
-    return (
-        looked.withColumns(
-            {
-                "mix_slot": begin + F.col("p_slot"),
-                "mix_release": begin + F.col("p_release"),
-                "mix_deadline": begin + F.col("p_due"),
-            }
-        )
-        .filter(F.col("mix_slot") < end)
-        .select("_row.*", *ADDED)
+    # A block has one slot in each epoch in which it runs.
+    looked = placed.join(
+        places, (F.col("s_number") == F.col("p_of")) & (F.col("mix_block") == F.col("p_block"))
     )
+    return looked.withColumns(
+        {
+            "mix_slot": F.col("p_slot"),
+            "mix_epoch": F.col("p_epoch"),
+            "mix_release": F.col("p_release"),
+            "mix_deadline": F.col("p_due"),
+        }
+    ).select("_row.*", *ADDED)

@@ -1,4 +1,6 @@
 from collections import Counter
+from fractions import Fraction
+from itertools import islice
 
 import pytest
 
@@ -108,3 +110,48 @@ def test_null_is_a_source(spark):
 
 def test_empty_table(spark):
     assert mixing.mix(empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "weights",
+    [
+        {"hot": 10e9**0.9, **{f"s{k}": 1e9**0.9 for k in range(19)}, "tiny": 20e3**0.9},
+        {f"s{k}": (1.0 + k) ** 0.9 for k in range(5000)},
+    ],
+)
+def test_true_weights_hold_over_many_slots(weights):
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    total = sum(exact.values())
+    shares = mixing.ratios(weights)
+    whole = sum(shares.values())
+    assert all(Fraction(n, whole) == exact[s] / total for s, n in shares.items())
+    done: Counter = Counter()
+    for source, block, _, _, slot in islice(mixing.schedule(shares), 300_000):
+        # Just before a block begins and just after it ends a source is farthest away.
+        assert block == done[source]
+        assert slot * shares[source] - block * whole < whole
+        assert (block + 1) * whole - (slot + 1) * shares[source] < whole
+        done[source] += 1
+    assert all(abs(done[s] * whole - 300_000 * n) < whole for s, n in shares.items())
+
+
+def test_tiny_source_and_many_sources(spark):
+    """One document of one block beside 20,000 blocks: it comes as often as its weight asks.
+    More sources than any period are mixed as well."""
+    big = spark.range(20_000).selectExpr("id as doc_id", "'big' as source", "64L as size")
+    tiny = spark.sql("select 99999L as doc_id, 'tiny' as source, 64L as size")
+    docs = big.union(tiny)
+    mixed = mixing.mix(docs, {"big": 20_000.0, "tiny": 1.0}, size=docs["size"], block_bytes=64)
+    assert mixed.filter("source = 'tiny'").count() == 1
+    assert mixed.filter("source = 'big'").count() == 20_000
+    many = spark.range(5000).selectExpr("id as doc_id", "concat('s', id) as source", "64L as size")
+    found = mixing.mix(many, size=many["size"], block_bytes=64).collect()
+    assert sorted(r.mix_slot for r in found) == list(range(5000))
+
+
+def test_source_of_a_few_bytes_does_not_repeat_the_others(spark):
+    docs = spark.range(3000).selectExpr(
+        "id as doc_id", "if(id = 0, 'tiny', 'big') as source", "if(id = 0, 14L, 65536L) as size"
+    )
+    found = mixing.mix(docs, size=docs["size"])
+    assert found.select("doc_id").distinct().count() == 3000 and found.count() < 3100
