@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 import zstandard
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from starloom.llm.arrays import bound_batches, mix
@@ -37,7 +38,7 @@ ROUNDS = 6
 HELD_BYTES, CHUNK_SLOTS = 16 << 20, 128
 #: Tokens of a stored row and of a row of pieces; rows of megabytes would fill the JVM's heap.
 ROW_TOKENS = 1 << 17
-#: Input splits up to which their offsets (16 bytes each) are broadcast.
+#: Blocks of files up to which their offsets (16 bytes each) are broadcast.
 MOST_BROADCAST = 500_000
 
 #: Fixed value: the pre-token pattern of the byte-level vocabulary.
@@ -106,12 +107,17 @@ def _kind(end: int) -> np.dtype:
     return np.dtype("<u2" if end < 1 << 16 else "<u4")
 
 
-STORED = "part long, n long, starts array<long>, sizes array<long>, ids array<long>, tokens binary"
+STORED = (
+    "part long, file string, block long, n long, starts array<long>, sizes array<long>, "
+    "ids array<long>, tokens binary"
+)
 
 
 STORED_FIELDS = pa.schema(
     [
         ("part", pa.int64()),
+        ("file", pa.string()),
+        ("block", pa.int64()),
         ("n", pa.int64()),
         ("starts", pa.list_(pa.int64())),
         ("sizes", pa.list_(pa.int64())),
@@ -121,41 +127,61 @@ STORED_FIELDS = pa.schema(
 )
 
 
+def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(task, file, block, id, text): the block of the file that a row is read from, no file
+    and block where the rows come out of a shuffle or not from files."""
+    columns = [F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")]
+    task = F.spark_partition_id().cast("bigint").alias("task")
+    try:
+        return docs.select(
+            task,
+            F.input_file_name().alias("file"),
+            F.input_file_block_start().alias("block"),
+            *columns,
+        )
+    except AnalysisException:  # rows joined from several tables have no file of their own
+        none = F.lit(""), F.lit(-1).cast("bigint")
+        return docs.select(task, none[0].alias("file"), none[1].alias("block"), *columns)
+
+
 def _tokenized(docs: DataFrame, file: str, end: int, key: str, text: str) -> DataFrame:
     """The token stream as it lies, stored once: a row for every few documents with their
-    starts (from the beginning of the part), sizes and ids, and all their tokens, compressed."""
+    starts (from the beginning of the part), sizes and ids, and all their tokens, compressed.
+
+    A part is what a task reads from one block of a file. Its number is the task's times 2^32
+    plus a running one: which blocks a task gets, and in which order, depends on their sizes.
+    """
     width = _kind(end).itemsize
     code = "H" if width == 2 else "I"
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, at = encoding(file).encode_ordinary, 0
         squeeze = zstandard.ZstdCompressor(level=3).compress
+        run, now = -1, None
         for batch in batches:
             rows, parts, own, held = [], [], [], 0
-            part = batch.column(0)[0].as_py() if batch.num_rows else None
-            for k, value in enumerate(batch.column(2).to_pylist()):
+            places = list(zip(*(batch.column(k).to_pylist() for k in range(3))))
+            for k, value in enumerate(batch.column(4).to_pylist()):
+                if places[k] != now:
+                    run, now, at = run + 1, places[k], 0
                 found = encode(value) if value else []
                 found.append(end)
                 parts.append(array(code, found).tobytes())
-                own.append(batch.column(1)[k].as_py())
+                own.append(batch.column(3)[k].as_py())
                 held += len(found)
-                if k + 1 < batch.num_rows and held < ROW_TOKENS:
+                if k + 1 < len(places) and places[k + 1] == now and held < ROW_TOKENS:
                     continue
                 sizes = np.array([len(p) // width for p in parts], np.int64)
                 ends = at + np.cumsum(sizes)
-                rows.append((part, held, ends - sizes, sizes, own, squeeze(b"".join(parts))))
+                part = (now[0] << 32) + run
+                rows.append((part, *now[1:], held, ends - sizes, sizes, own, squeeze(b"".join(parts))))
                 at, parts, own, held = int(ends[-1]), [], [], 0
             fields = dict(zip(STORED_FIELDS.names, zip(*rows))) if rows else {}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(fields.get(f.name, ()), f.type) for f in STORED_FIELDS], schema=STORED_FIELDS
             )
 
-    rows = docs.select(
-        F.spark_partition_id().cast("bigint").alias("part"),
-        F.col(key).cast("bigint").alias("id"),
-        F.col(text).alias("text"),
-    )
-    return pin(rows.mapInArrow(tokenize, STORED), "token-ids")
+    return pin(_placed(docs, key, text).mapInArrow(tokenize, STORED), "token-ids")
 
 
 PIECES = "shard long, slots array<long>, offsets array<long>, sizes array<long>, pieces binary"
@@ -207,7 +233,9 @@ def write_training_order(
     ``sequence``, ``slot``, ``n_tokens`` and ``doc_ids`` in stream order.
 
     ``file`` holds the ranks of a byte-level vocabulary, ``end`` is the id of the end mark.
-    The stream has the documents in the order in which they are stored; null and empty texts
+    The stream has the documents in the order in which they are stored: by file name, shorter
+    names first, then by place in the file, however files are split and packed into tasks; rows
+    that do not come straight from files stay in the order of their partitions. Null and empty texts
     are an end mark alone, special tokens written out in a text are ordinary text there. The
     last sequence is filled up with end marks, which ``n_tokens`` does not count. Repeated rows
     and ids come as often as they are there; a null id is listed as NULL. An empty table
@@ -216,13 +244,17 @@ def write_training_order(
     bound_batches(docs.sparkSession)
     stored = _tokenized(docs, file, end, id, text)
     kind = _kind(end)
-    sizes = stored.groupBy(F.col("part").alias("_part")).agg(F.sum("n").alias("_n"))
+    sizes = stored.groupBy(F.col("part").alias("_part")).agg(
+        F.sum("n").alias("_n"), F.first("file").alias("_file"), F.first("block").alias("_block")
+    )
     parts, tokens = sizes.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
     total = -(-tokens // sequence)
     shard_slots = shard_slots or max(SHARD_SLOTS, -(-total // MOST_SHARDS))
     layout = Layout(path, total, tokens, sequence, shard_slots, kind.itemsize, key)
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per input split.
+    # Numbers of files that Spark writes get longer, so longer names come later.
+    lying = (F.length("_file"), "_file", "_block", "_part")
+    earlier = Window.orderBy(*lying).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per block of a file.
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     if parts <= MOST_BROADCAST:
         offsets = F.broadcast(offsets)

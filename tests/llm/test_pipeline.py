@@ -1,8 +1,10 @@
 """Each stage against a plain version of it, on the rows that the stage before kept."""
 
 from collections import Counter
+from itertools import groupby
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ import corpus_pipeline as pipeline
 import test_decontam
 import test_near_dedup
 from cases import awkward
-from starloom.llm import queries, quality, training_order
+from starloom.llm import mixing, queries, quality, training_order
 from starloom.llm.arrays import utf8
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -114,3 +116,23 @@ def test_empty_documents_and_further_columns(spark, tables):
             assert found.columns[:5] == COLUMNS and found.count() > 0
             assert found.columns == further.columns
             assert set(found.select(names).distinct().first()) == set(names)
+
+
+def test_tokens_follow_the_order_of_the_mixture(spark, tables, tmp_path):
+    """The mixture in several files of unequal sizes, the later ones the larger."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet").filter("doc_id IS NOT NULL")
+    mixed = pipeline.source_mixture(spark, docs, tables).collect()
+    expected = [r.doc_id for r in mixing.mix(docs).orderBy("mix_slot", "mix_offset").collect()]
+    assert [r.doc_id for r in mixed] == expected
+    ends = [0, 5, 30, 100, 300, len(mixed)]
+    for k, (a, b) in enumerate(zip(ends, ends[1:])):
+        fields = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+        part = pa.Table.from_pylist([{"doc_id": r.doc_id, "text": r.text} for r in mixed[a:b]], fields)
+        (tmp_path / "mixed").mkdir(exist_ok=True)
+        pq.write_table(part, tmp_path / "mixed" / f"part-{k:05d}.parquet")
+    ranks = queries.tokenizer_file("byte_bpe_50k.tiktoken")
+    stored = spark.read.parquet(str(tmp_path / "mixed"))
+    _, index = training_order.write_training_order(stored, str(tmp_path / "shards"), ranks, queries.END)
+    found = [d for r in sorted(index.collect(), key=lambda r: r.sequence) for d in r.doc_ids]
+    # A document in several sequences is listed by each.
+    assert [d for d, _ in groupby(found)] == [d for d, _ in groupby(expected)]

@@ -1,6 +1,8 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import public_tokenizers
 
@@ -95,3 +97,42 @@ def test_query_shows_what_lies_in_the_shards(spark):
             }
             if n == order.SEQUENCE:
                 assert r.ids_crc32 in parts
+
+
+def stream_ids(docs, path):
+    _, index = order.write_training_order(docs, path, FILE, queries.END, 16, 8)
+    ids = []
+    for r in sorted(index.collect(), key=lambda r: r.sequence):
+        # A document in several sequences is listed by each.
+        ids += r.doc_ids[1:] if ids and r.doc_ids[0] == ids[-1] else r.doc_ids
+    return ids
+
+
+def test_stream_keeps_the_order_of_many_unequal_files(spark, tmp_path):
+    """Spark reads large files first, packs small ones together and splits large ones."""
+    rng, at = np.random.default_rng(5), 0
+    folder = str(tmp_path / "docs")
+    for k, n in enumerate([3, 40, 1, 200, 7, 90, 2, 400, 11, 5]):
+        rows = [(at + d, " ".join(str(v) for v in rng.integers(0, 9999, 20))) for d in range(n)]
+        table = pa.table({"doc_id": [d for d, _ in rows], "text": [t for _, t in rows]})
+        (tmp_path / "docs").mkdir(exist_ok=True)
+        pq.write_table(table, f"{folder}/part-{k:05d}-x.parquet", row_group_size=50)
+        at += n
+    # Beyond five digits numbers get longer.
+    more = pa.table({"doc_id": list(range(at, at + 60)), "text": ["more words"] * 60})
+    pq.write_table(more, f"{folder}/part-100000-x.parquet")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for most, cost in (("8k", "0"), ("100k", "0"), ("1g", "1k")):
+            spark.conf.set(names[0], most)
+            spark.conf.set(names[1], cost)
+            docs = spark.read.parquet(folder)
+            assert stream_ids(docs, str(tmp_path / f"shards-{most}")) == list(range(at + 60))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    turned = spark.read.parquet(folder).orderBy("doc_id", ascending=False)
+    assert stream_ids(turned, str(tmp_path / "turned")) == list(range(at + 60))[::-1]
+    joined = spark.read.parquet(folder).join(spark.read.parquet(folder).select("doc_id"), "doc_id")
+    assert sorted(stream_ids(joined, str(tmp_path / "joined"))) == list(range(at + 60))
