@@ -5,14 +5,16 @@ lines beside it, a transition weight ties neighbours together, and forward-backw
 line's probability of being good given the whole document. A document's quality is the mean of
 these probabilities weighted by line length, put on a scale where 0.5 separates the labels.
 
-The field is trained on a bounded sample of labelled documents (``PER_LABEL`` of each label):
-lines start with their document's label; then lines of bad documents that look like those of
-good ones are set right, and it is trained again. Scores depend on the text alone.
+The field is trained on a bounded sample of labelled documents (``PER_LABEL`` of each label),
+on all their lines: lines start with their document's label; then lines of bad documents that
+look like those of good ones are set right, and it is trained again. Gradients are sums over
+documents; the driver takes them itself while the lines are few, and beyond that sums those
+of tasks, so it never holds more than ``DRIVER_LINES``. Scores depend on the text alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,9 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm.arrays import bound_batches, runs, utf8, words
+from starloom.sinks.scratch import pin
 
-#: Bound of the training sample: documents of each label, and lines of a training document.
-PER_LABEL, MOST_LINES = 1500, 64
+#: Bound of the training sample: documents of each label.
+PER_LABEL = 1500
+#: Lines up to which the driver trains alone; lines worked on at a time, whole documents.
+DRIVER_LINES, CHUNK_LINES = 400_000, 20_000
 
 _upper = np.zeros(256, bool)
 _upper[65:91] = True
@@ -209,20 +214,58 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def _fit(x: np.ndarray, at: np.ndarray, state: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights that maximise the likelihood of the line states, with a penalty on their size
-    (Adam on the exact gradient)."""
-    n, f = x.shape
+@dataclass
+class Lines:
+    """Lines of some documents, their bytes, and the documents' labels."""
+
+    x: np.ndarray
+    size: np.ndarray
+    at: np.ndarray
+    label: np.ndarray
+
+
+def _states(part: Lines, rich: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+    """States that lines are trained to: their document's label, or set right by the weights
+    of a round before."""
+    own = np.repeat(part.label, np.diff(part.at)).astype(np.int64)
+    if before is None:
+        return own
+    # Without ties a line speaks for itself and its neighbours' looks.
+    alone = 1 / (1 + np.exp(-np.clip(rich @ before, -50, 50)))
+    state = np.where((own == 0) & (alone > 0.5), 1, own)
+    worst = np.add.reduceat(1 - state, part.at[:-1]) == 0
+    for d in np.flatnonzero(worst & (part.label == 0)):
+        state[part.at[d] + int(np.argmin(alone[part.at[d] : part.at[d + 1]]))] = 0
+    return state
+
+
+def _slope(part: Lines, parameters: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+    """Gradient of the likelihood of some documents, and their number of lines."""
+    rich = with_neighbours(part.x, part.at)
+    n, f = rich.shape
+    state = _states(part, rich, before)
     pair = np.ones(n, bool)
-    pair[at[:-1]] = False  # lines with a line before
+    pair[part.at[:-1]] = False  # lines with a line before
     seen = np.zeros((2, 2))
     np.add.at(seen, (state[np.flatnonzero(pair) - 1], state[pair]), 1)
+    good, expected, _ = marginals(rich @ parameters[:f], part.at, parameters[f:].reshape(2, 2))
+    return np.concatenate([rich.T @ (state - good), (seen - expected).ravel(), [n]])
+
+
+#: Runs a function over all parts and returns its results.
+Each = Callable[[Callable[[Lines], np.ndarray]], list[np.ndarray]]
+
+
+def _fit(each: Each, before: np.ndarray | None, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights that maximise the likelihood of the line states, with a penalty on their size
+    (Adam on the exact gradient)."""
+    f = 3 * FEATURES + 3
     parameters = np.zeros(f + 4)
     first, second = np.zeros_like(parameters), np.zeros_like(parameters)
     for k in range(1, rounds + 1):
-        good, expected, _ = marginals(x @ parameters[:f], at, parameters[f:].reshape(2, 2))
-        slope = np.concatenate([x.T @ (state - good), (seen - expected).ravel()]) / n
-        slope -= 1e-3 * parameters
+        now = parameters.copy()
+        total = np.sum(each(lambda part: _slope(part, now, before)), axis=0)
+        slope = total[:-1] / total[-1] - 1e-3 * parameters
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
         step = first / (1 - 0.9**k) / (np.sqrt(second / (1 - 0.99**k)) + 1e-8)
@@ -242,24 +285,44 @@ def _scale(raw: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return max(0.05, slope), shift
 
 
-def fit_field(x: np.ndarray, size: np.ndarray, at: np.ndarray, label: np.ndarray) -> Field:
-    """Train on documents with lines ``at`` and a label of 0 or 1 each."""
-    rich = with_neighbours(x, at)
-    own = np.repeat(label, np.diff(at)).astype(np.int64)
-    weight, tie = _fit(rich, at, own, 40)
-    # Without ties a line speaks for itself and its neighbours' looks.
-    alone = 1 / (1 + np.exp(-np.clip(rich @ weight, -50, 50)))
-    state = np.where((own == 0) & (alone > 0.5), 1, own)
-    worst = np.add.reduceat(1 - state, at[:-1]) == 0
-    for d in np.flatnonzero(worst & (label == 0)):
-        state[at[d] + int(np.argmin(alone[at[d] : at[d + 1]]))] = 0
-    weight, tie = _fit(rich, at, state, 100)
+def fit_field(each: Each) -> Field:
+    """Train on documents with a label of 0 or 1 each."""
+    weight, _ = _fit(each, None, 40)
+    weight, tie = _fit(each, weight, 100)
     field = Field(weight, tie)
-    raw = _weighted(field.lines(x, at), size, at)
+    scored = each(
+        lambda part: np.stack(
+            [_weighted(field.lines(part.x, part.at), part.size, part.at), part.label], axis=1
+        )
+    )
+    raw, label = np.concatenate(scored).T
     field.slope, field.shift = _scale(raw, label)
     return field
 
 
+def _parts(rows: Iterator[tuple[int, bytes, bytes]]) -> Iterator[Lines]:
+    """(quality, features, sizes) of documents, some thousands of lines at a time."""
+    held, lines = [], 0
+
+    def part() -> Lines:
+        x = [np.frombuffer(f, np.float32).reshape(-1, FEATURES) for _, f, _ in held]
+        return Lines(
+            np.concatenate(x).astype(np.float64),
+            np.concatenate([np.frombuffer(s, np.float32) for _, _, s in held]).astype(np.float64),
+            np.concatenate([[0], np.cumsum([len(p) for p in x])]),
+            np.array([q for q, _, _ in held], np.int64),
+        )
+
+    for row in rows:
+        held.append(row)
+        lines += len(row[2]) // 4
+        if lines >= CHUNK_LINES:
+            yield part()
+            held, lines = [], 0
+    if held:
+        yield part()
+
+
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(quality, text) to (quality, features, bytes) of each document's lines."""
     for batch in batches:
@@ -268,7 +331,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in runs(offsets):
             x, size, at = line_features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             for d in range(b - a):
-                lines = slice(at[d], min(at[d + 1], at[d] + MOST_LINES))
+                lines = slice(at[d], at[d + 1])
                 features.append(x[lines].astype(np.float32).tobytes())
                 sizes.append(size[lines].astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays(
@@ -302,20 +365,43 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Fie
     ]
     # At most 2 * per_label ids and numbers.
     sample = F.broadcast(chosen[0].union(chosen[1]).withColumnRenamed("doc_id", "_labelled"))
-    rows = (
+    rows = pin(
         docs.select("doc_id", "text")
         .join(sample, F.col("doc_id") == F.col("_labelled"))
         .select("quality", "text")
-        .mapInArrow(_extracted, "quality int, features binary, sizes binary")
-        .collect()
+        .mapInArrow(_extracted, "quality int, features binary, sizes binary"),
+        "lines",
     )
-    label = np.array([r["quality"] for r in rows], np.int64)
-    if len(set(label.tolist())) < 2:
+    # One row per label.
+    counted = rows.groupBy("quality").agg(F.sum(F.octet_length("sizes") / 4).alias("lines")).collect()
+    if len(counted) < 2:
         return Field(np.zeros(3 * FEATURES + 3), np.zeros((2, 2)))
-    x = [np.frombuffer(r["features"], np.float32).reshape(-1, FEATURES) for r in rows]
-    size = np.concatenate([np.frombuffer(r["sizes"], np.float32) for r in rows]).astype(np.float64)
-    at = np.concatenate([[0], np.cumsum([len(p) for p in x])])
-    return fit_field(np.concatenate(x).astype(np.float64), size, at, label)
+    if sum(r["lines"] for r in counted) <= DRIVER_LINES:
+        # Documents of like length lie together, as a part takes as many steps as its longest.
+        own = sorted(rows.collect(), key=lambda r: (len(r["sizes"]), r["features"], r["quality"]))
+        parts = list(_parts((r["quality"], r["features"], r["sizes"]) for r in own))
+        return fit_field(lambda work: [work(part) for part in parts])
+
+    def each(work: Callable[[Lines], np.ndarray]) -> list[np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            documents = (
+                row
+                for batch in batches
+                for row in zip(*(batch.column(k).to_pylist() for k in range(3)))
+            )
+            for part in _parts(documents):
+                found = work(part)
+                data, width = found.astype(np.float64).tobytes(), found.shape[-1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([data], pa.binary()), pa.array([width], pa.int64()), pa.array([found.ndim], pa.int64())],
+                    ["data", "width", "ndim"],
+                )
+
+        found = rows.mapInArrow(run, "data binary, width long, ndim long").collect()
+        arrays = [np.frombuffer(r["data"], np.float64) for r in found]
+        return [a if r["ndim"] == 1 else a.reshape(-1, r["width"]) for a, r in zip(arrays, found)]
+
+    return fit_field(each)
 
 
 def add_scores(docs: DataFrame, field: Field, name: str = "score", text: str = "text") -> DataFrame:

@@ -95,3 +95,32 @@ def test_nothing_to_learn(spark):
     found = quality.score_documents(awkward(spark), labels).collect()
     assert {r.score for r in found} == {0.0, 0.5}
     assert quality.score_documents(empty(spark), labels.limit(0)).collect() == []
+
+
+def long_documents(spark, n=40):
+    """Every document begins with 80 good lines; the bad ones go on with junk."""
+    good = "The river was high that spring, and the ferry waited for the morning mail."
+    junk = "BUY NOW!!! $$$ ### 1234 5678 <<>> {{}} || == CLICK"
+    texts = [
+        "\n".join([f"{good} {k} {d}" for k in range(80)] + [good if d % 2 else junk] * 120) for d in range(n)
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) as quality", "0 as toxic")
+    return docs, labels
+
+
+def test_lines_far_down_are_learnt(spark):
+    docs, labels = long_documents(spark)
+    field = quality.train(docs, labels.filter("doc_id < 20"))
+    found = quality.add_scores(docs.filter("doc_id >= 20"), field).collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in found)
+
+
+def test_gradients_of_tasks_equal_those_of_the_driver(spark, monkeypatch):
+    docs, labels = long_documents(spark, 12)
+    alone = quality.train(docs, labels)
+    monkeypatch.setattr(quality, "DRIVER_LINES", 0)
+    summed = quality.train(docs.repartition(3), labels)
+    assert np.allclose(alone.weight, summed.weight, atol=1e-6)
+    assert np.allclose(alone.tie, summed.tie, atol=1e-6)
+    assert np.allclose([alone.slope, alone.shift], [summed.slope, summed.shift], atol=1e-6)
