@@ -38,9 +38,9 @@ PERCENT = 75
 #: A pair at the threshold misses all of 40 bands of 4 coordinates with probability 2e-7.
 BANDS, ROWS = 40, 4
 COORDINATES = BANDS * ROWS
-#: Share of equal coordinates below which a pair is not confirmed: more than four standard
-#: deviations under the threshold.
-LEAST_SHARE = 0.59
+#: Share of equal coordinates below which a pair is not confirmed: a pair at the threshold falls
+#: under it (fewer than 88 of 160) with probability 1e-8, less than the bands miss.
+LEAST_SHARE = 0.55
 
 #: Bounds of a block: documents, and shingles in it.
 BLOCK_DOCUMENTS, BLOCK_SHINGLES = 512, 1_000_000

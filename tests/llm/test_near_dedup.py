@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -102,3 +103,9 @@ def test_components_of_paths_and_stars(spark):
     assert {found[k] for k in range(41)} == {0} and {found[100 + k] for k in range(30)} == {100}
     assert found[301] == found[300] == 300 and 200 not in found
     assert rows(components(spark.createDataFrame([], "u long, v long"))) == []
+
+
+def test_the_filter_misses_less_than_the_bands():
+    n, least = near_dedup.COORDINATES, math.ceil(near_dedup.LEAST_SHARE * near_dedup.COORDINATES)
+    tail = sum(math.comb(n, k) * 0.75**k * 0.25 ** (n - k) for k in range(least))
+    assert tail < (1 - 0.75**near_dedup.ROWS) ** near_dedup.BANDS < 3e-7
