@@ -164,6 +164,30 @@ def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"u": ids[linked], "v": ids[roots[linked]]})
 
 
+def _several(signed: DataFrame) -> DataFrame:
+    """(_several, _first, _last, _blank) of ids with several texts: the smallest and the largest
+    set digest, and whether there is a text without shingles beside. Hardly any ids, as a rule."""
+    groups = signed.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_several"))
+    found = groups.agg(
+        F.min("digest").alias("_first"),
+        F.max("digest").alias("_last"),
+        (F.count("*") > F.count("digest")).alias("_blank"),
+    )
+    # Stored, so that rows of other ids are not shuffled.
+    return pin(found.filter("_first < _last OR _first IS NOT NULL AND _blank"), "several")
+
+
+def _same_id(known: DataFrame, several: DataFrame, classes: DataFrame) -> DataFrame:
+    """(u, v): links of ids that have several texts to the classes of these texts."""
+    ids = several.filter("_first < _last").select("_several")
+    texts = mark(known.select("doc_id", "digest"), "doc_id", ids, "_again").filter("_again")
+    texts = texts.join(ids, F.col("doc_id") == F.col("_several"))
+    named = classes.select(F.col("digest").alias("_digest"), "class")
+    return texts.join(named, F.col("digest") == F.col("_digest")).select(
+        F.col("doc_id").alias("u"), F.col("class").alias("v")
+    )
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its id, ``n_shingles``, ``component_id`` (smallest id reachable
     over links, its own included) and ``kept`` (it is that smallest id).
@@ -230,8 +254,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "leader", "_a", "_b", "_block", "_id", "text"
     )
     links = work.groupBy("leader", "_a", "_b").applyInPandas(_confirm, "u long, v long")
-    found = components(links)
-    # Documents of a class, and several texts of one id, are links as well.
+    several = _several(signed)
+    found = components(links.union(_same_id(known, several, classes)))
+    # Documents of a class are links as well.
     joined = classes.select("digest", "class").join(
         found.select(F.col("node").alias("class"), F.col("component")), "class", "left"
     )
@@ -241,7 +266,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     component = F.when(
         F.col("doc_id").isNotNull(), F.coalesce(F.col("_component"), F.col("doc_id"))
     )
-    return signed.join(named, F.col("digest") == F.col("_digest"), "left").select(
+    # A text without shingles goes with the other texts of its id.
+    lent = several.filter("_blank").select("_several", "_first")
+    blank = signed.filter("digest IS NULL AND doc_id IS NOT NULL")
+    blank = blank.join(lent, F.col("doc_id") == F.col("_several"), "left")
+    every = signed.filter("digest IS NOT NULL OR doc_id IS NULL").select("doc_id", "n_shingles", "digest")
+    every = every.union(blank.select("doc_id", "n_shingles", "_first"))
+    return every.join(named, F.col("digest") == F.col("_digest"), "left").select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),

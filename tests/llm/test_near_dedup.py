@@ -105,6 +105,17 @@ def test_components_of_paths_and_stars(spark):
     assert rows(components(spark.createDataFrame([], "u long, v long"))) == []
 
 
+def test_several_texts_of_one_id_are_one_node(spark):
+    first, second = (" ".join(f"{x}{k}" for k in range(30)) for x in "ab")
+    third, fourth = (" ".join(f"{x}{k}" for k in range(30)) for x in "cd")
+    # 5 ties 3 to its second text; 8 ties the classes of 6 and 7 together.
+    docs = [(3, first), (5, first), (5, second), (6, third), (7, fourth), (8, third), (8, fourth)]
+    docs += [(9, "alone with " + second[:20]), (10, None), (10, first + " x")]
+    found = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert rows(found) == brute(docs)
+    assert {r.component_id for r in found.collect() if r.doc_id in (3, 5)} == {3}
+
+
 def test_the_filter_misses_less_than_the_bands():
     n, least = near_dedup.COORDINATES, math.ceil(near_dedup.LEAST_SHARE * near_dedup.COORDINATES)
     tail = sum(math.comb(n, k) * 0.75**k * 0.25 ** (n - k) for k in range(least))
