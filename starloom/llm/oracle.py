@@ -3,24 +3,27 @@
 _ASCII = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 # CRC-32 has no function there: the table of its 256 steps, then one step per byte.
-SHARDS = """
-WITH steps AS (
+_STEPS = """steps AS (
   SELECT list(crc ORDER BY b) AS t FROM (
     SELECT b, list_reduce(list_prepend(b, range(8)),
       lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS crc
     FROM (SELECT unnest(range(256)) AS b))
-),
+)"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned checksum of a text, where ``steps`` is joined."""
+    digits = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda p: ('0x' || p)::BIGINT)"
+    step = "xor(a >> 8, t[(xor(a, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda a, b: {step}), 4294967295)"
+
+
+SHARDS = f"""
+WITH {_STEPS},
 sized AS (
-  SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, hex(encode(coalesce(text, ''))) AS h
-  FROM documents
-),
-coded AS (
-  SELECT doc_id, size,
-    xor(list_reduce(list_prepend(4294967295::BIGINT,
-          list_transform(regexp_extract_all(h, '..'), lambda p: ('0x' || p)::BIGINT)),
-        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32
-  FROM sized, steps
+  SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, coalesce(text, '') AS whole FROM documents
 ),
+coded AS (SELECT doc_id, size, {_crc32("whole")} AS text_crc32 FROM sized, steps),
 placed AS (
   SELECT *, sum(size) OVER (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING) - size AS before,
     sum(size) OVER () AS total
@@ -113,3 +116,63 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id
 FROM documents LEFT JOIN size USING (doc_id) JOIN reach ON doc_id = node
 GROUP BY doc_id, n
 """
+
+
+def _leaf(n_chars: str) -> str:
+    values = ["doc_id", "source", "lang", n_chars, "text"]
+    fields = [f"coalesce(strlen(({v})::VARCHAR)::VARCHAR || ':' || ({v})::VARCHAR, '-')" for v in values]
+    return f"sha256({' || '.join(fields)})"
+
+
+MERKLE = f"""
+WITH RECURSIVE {_STEPS},
+leaf AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf("n_chars")} AS own,
+    CASE WHEN {_crc32("doc_id::VARCHAR")} % 7 = 0 THEN {_leaf("n_chars + 1")} END AS claim
+  FROM documents, steps
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, own) - 1 AS i, count(*) OVER (PARTITION BY g) AS n
+  FROM leaf
+),
+tree AS (
+  SELECT g, 0 AS lvl, i, n, own AS h FROM placed
+  UNION ALL
+  SELECT g, lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM tree WHERE n > 1 GROUP BY g, lvl, i // 2, n
+),
+sub AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+crown AS (
+  SELECT 0 AS lvl, i, n, h FROM sub
+  UNION ALL
+  SELECT lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM crown WHERE n > 1 GROUP BY lvl, i // 2, n
+),
+above AS (
+  SELECT doc_id, 0 AS stage, lvl, i, (i >> lvl) % 2 AS odd, xor(i >> lvl, 1) AS beside, p.g
+  FROM (SELECT doc_id, g, i, unnest(range((SELECT max(lvl) FROM tree t WHERE t.g = placed.g))) AS lvl FROM placed) p
+),
+step AS (
+  SELECT a.doc_id, 0 AS stage, a.lvl, odd, h FROM above a LEFT JOIN tree t ON t.g = a.g AND t.lvl = a.lvl AND t.i = beside
+  UNION ALL
+  SELECT doc_id, 1, u.lvl, u.odd, c.h
+  FROM placed JOIN (
+    SELECT g, lvl, (i >> lvl) % 2 AS odd, xor(i >> lvl, 1) AS beside
+    FROM (SELECT g, i, unnest(range((SELECT max(lvl) FROM crown))) AS lvl FROM sub)) u USING (g)
+  LEFT JOIN crown c ON c.lvl = u.lvl AND c.i = beside
+),
+path AS (
+  SELECT doc_id, coalesce(string_agg(h, '' ORDER BY stage, lvl), '') AS beside,
+    list(CASE WHEN h IS NULL THEN '-' WHEN odd = 1 THEN 'l' || h ELSE 'r' || h END ORDER BY stage, lvl) AS steps
+  FROM step GROUP BY doc_id
+),
+folded AS (
+  SELECT p.*, coalesce(beside, '') AS beside,
+    list_reduce(list_prepend(coalesce(claim, own), coalesce(path.steps, [])), lambda a, s:
+      sha256(CASE s[1:1] WHEN '-' THEN a WHEN 'l' THEN s[2:] || a ELSE a || s[2:] END)) AS folded_root
+  FROM placed p LEFT JOIN path USING (doc_id)
+)
+SELECT doc_id, own AS leaf, sub.h AS subroot, crown.h AS root, sha256(beside) AS proof_sha256,
+  folded_root, folded_root = crown.h AS verified
+FROM folded JOIN sub USING (g) JOIN crown ON crown.n = 1
+"""

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.llm import (
     decontam,
     fingerprints,
+    merkle,
     mixing,
     near_dedup,
     oracle,
@@ -97,6 +98,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, labels)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof in the manifest, and what a changed length does to it."""
+    docs = _table(spark, sf_dir, "documents")
+    stored = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    longer = F.when(changed, F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(F.col("n_chars"))
+    return merkle.manifest(docs, stored, claimed=[*stored[:3], longer, stored[4]])
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -108,6 +118,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 SQL: dict[str, str] = {
@@ -115,4 +126,5 @@ SQL: dict[str, str] = {
     "op4_shards": oracle.SHARDS,
     "op6_near_duplicates": oracle.NEAR_DUPLICATES,
     "op7_warc": oracle.WARC,
+    "op12_merkle_manifest": oracle.MERKLE,
 }

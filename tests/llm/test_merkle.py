@@ -1,0 +1,141 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from cases import AWKWARD, awkward, empty, rows
+from compare import connect, duck_rows, spark_rows
+from starloom.llm import merkle, queries
+
+SF = "/root/testdata/sf0.001"
+STORED = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf_of(values):
+    fields = ["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values]
+    return digest("".join(fields))
+
+
+def climb(nodes):
+    """The levels above a list of nodes."""
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([digest("".join(out[-1][i : i + 2])) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def siblings(tree, i):
+    found = []
+    for level in tree[:-1]:
+        found.append((i % 2, level[i ^ 1] if i ^ 1 < len(level) else None))
+        i //= 2
+    return found
+
+
+def brute(docs):
+    """docs: (doc_id, text, lang, source, n_chars)"""
+    groups = {}
+    for d, text, lang, source, n in docs:
+        bad = n is not None and d is not None and zlib.crc32(str(d).encode()) % 7 == 0
+        own = leaf_of((d, source, lang, n, text))
+        claim = leaf_of((d, source, lang, n + 1, text)) if bad else own
+        groups.setdefault(lang, []).append((d, own, claim))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for g in order:
+        groups[g].sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        trees[g] = climb([r[1] for r in groups[g]])
+    crown = climb([trees[g][-1][0] for g in order]) if order else [[None]]
+    out = []
+    for k, g in enumerate(order):
+        for i, (d, own, claim) in enumerate(groups[g]):
+            path = siblings(trees[g], i) + siblings(crown, k)
+            node = claim
+            for odd, beside in path:
+                node = digest(node if beside is None else beside + node if odd else node + beside)
+            proof = digest("".join(b for _, b in path if b is not None))
+            root = crown[-1][0]
+            out.append((d, own, trees[g][-1][0], root, proof, node, node == root))
+    return sorted(out, key=repr)
+
+
+def audited(docs):
+    stored = [F.col(c) for c in STORED]
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    longer = F.when(changed, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.manifest(docs, stored, claimed=[*stored[:3], longer, stored[4]])
+
+
+def table(spark, docs):
+    return spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_whole_table_equals_sql(spark):
+    df = queries.op12_merkle_manifest(spark, SF)
+    assert spark_rows(df) == duck_rows(connect(SF), queries.SQL["op12_merkle_manifest"])
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark, leaf="x", g="y", slot=3, root=1, id=4, n=9)
+    assert rows(audited(docs)) == brute(AWKWARD)
+
+
+def test_empty_table(spark):
+    found = audited(empty(spark))
+    assert found.collect() == []
+    assert found.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def test_one_row(spark):
+    docs = [(3, "text", None, "a", 4)]
+    assert rows(audited(table(spark, docs))) == brute(docs)
+
+
+@pytest.mark.parametrize("bits", [1, 3])
+def test_several_rounds_and_groups(spark, monkeypatch, bits):
+    monkeypatch.setattr(merkle, "BITS", bits)
+    monkeypatch.setattr(merkle, "PART", 2)
+    rng = random.Random(bits)
+    ids = rng.sample(range(-(2**40), 2**40), 20) + list(range(60)) + [-(2**63), 2**63 - 1, 63, 64, 1023, 1024]
+    docs = [(d, f"t{d}", rng.choice(["en", "en", "en", None, "Ä", "zz", ""]), "s", d % 50) for d in ids]
+    docs += [(70, "only", "one row", "s", 1)]
+    assert rows(audited(table(spark, docs))) == brute(docs)
+
+
+def test_hot_ids(spark, monkeypatch):
+    """A third of the rows on one id, a third without an id, half of both copies."""
+    monkeypatch.setattr(merkle, "BITS", 4)
+    docs = [(k, f"t{k}", "en", "s", k) for k in range(100)]
+    docs += [(7, f"other {k // 2}", "en", "s", 1) for k in range(100)]
+    docs += [(None, f"none {k // 2}", "en", "s", 1) for k in range(100)]
+    assert rows(audited(table(spark, docs))) == brute(docs)
+
+
+def test_ranks_equal_sorted_places(spark):
+    rng = random.Random(5)
+    ids = sorted({rng.randrange(-5000, 5000) for _ in range(700)})
+    nodes = [("a", d, b"n", None) for d in ids]
+    stored = spark.createDataFrame(nodes, "g string, id long, node binary, claim binary")
+    placed, sizes = merkle.ranked(stored)
+    assert {r["id"]: r["index"] for r in placed.collect()} == {d: i for i, d in enumerate(ids)}
+    assert [tuple(r) for r in sizes.collect()] == [("a", len(ids))]
+
+
+def test_paths_are_the_siblings(spark):
+    docs = [(k, f"t{k}", "en" if k else "de", "s", k) for k in range(12)]
+    stored = [F.col(c) for c in STORED]
+    found = merkle.manifest(table(spark, docs), stored, paths=True).collect()
+    for r in found:
+        node = r.leaf
+        assert digest("".join(s.digest for s in r.path)) == r.proof_sha256
+        if r.doc_id == 5:  # no lone node on its way
+            for s in r.path:
+                node = digest(s.digest + node if s.side == "left" else node + s.digest)
+            assert node == r.root == r.folded_root
+    assert all(r.verified for r in found)
