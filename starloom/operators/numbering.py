@@ -15,6 +15,9 @@ _LOCAL_BITS = 33
 # Rows of a range. More ranges than partitions of a shuffle are made where there are more rows.
 RANGE_ROWS = 1_000_000
 
+# Most rows of a key that one task numbers.
+HOT_ROWS = 100_000
+
 
 def _positions(
     df: DataFrame, order: Order | None, position: str, stable_input: bool = False
@@ -84,19 +87,33 @@ def row_number_per_key(
 ) -> DataFrame:
     """Number the rows of each key from 1 in the given order; NULL keys form a group.
 
-    Rows are placed in one global order of key and ``order``; a row's number is its position
-    minus that of the first row of its key. A key of any size spreads over as many ranges as
-    its rows fill, and its first position is a map-side minimum.
+    A window numbers the rows of a key in one task, which is right for keys of up to
+    ``HOT_ROWS`` rows. Larger ones, found by a count that combines map-side, are set apart:
+    their rows are placed in one global order of key and ``order``, spread over as many ranges
+    as they fill, and a row's number is its position minus that of the first row of its key.
+    ``df`` is read twice, with hot keys three times, and must give the same rows each time.
     """
-    placed = pin(_positions(df, [*keys, *order], "_position"), "positions")
+    by = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    counted = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.count("*").alias("_rows"))
+    hot = pin(counted.filter(F.col("_rows") > HOT_ROWS).drop("_rows"), "hot")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        return rows.select(*columns, F.row_number().over(by).cast("bigint").alias(name))
+
+    if hot.isEmpty():
+        return numbered(df)
+    pairs = [(k, f"_key_{k}") for k in keys]
+    among = null_safe_match(df, hot, pairs)
+    placed = _positions(df.join(hot, among, "left_semi"), [*keys, *order], "_position")
     firsts = pin(
         placed.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
             F.min("_position").alias("_first")
         ),
         "firsts",
     )
-    matched = placed.join(
-        firsts, null_safe_match(placed, firsts, [(k, f"_key_{k}") for k in keys])
-    )
+    matched = placed.join(firsts, null_safe_match(placed, firsts, pairs))
     number = F.col("_position") - F.col("_first") + 1
-    return matched.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))
+    return numbered(df.join(hot, among, "left_anti")).union(
+        matched.select(*columns, number.alias(name))
+    )

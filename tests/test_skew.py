@@ -135,7 +135,9 @@ def test_counts_and_numbers_spread_at_default_settings(spark, tmp_path):
         assert largest_share(row_number_per_key(rows, ["key"], ["id"])) < 0.3
 
 
-def test_row_numbers(hot, rows):
+@pytest.mark.parametrize("hot_rows", [numbering.HOT_ROWS, 5_000, 100])
+def test_row_numbers(hot, rows, monkeypatch, hot_rows):
+    monkeypatch.setattr(numbering, "HOT_ROWS", hot_rows)
     expected = {
         (k, v, i, n) for k, g in by_value(rows).items() for n, (v, i) in enumerate(g, 1)
     }
@@ -146,6 +148,23 @@ def test_row_numbers(hot, rows):
     assert set(found) == expected
 
 
+def test_row_numbers_write_hot_keys_only(spark, hot, rows, monkeypatch):
+    written = {}
+    original = numbering.pin
+
+    def keep(df, label):
+        written[label] = original(df, label)
+        return written[label]
+
+    monkeypatch.setattr(numbering, "pin", keep)
+    row_number_per_key(hot, ["key"], ["value", "id"])
+    assert set(written) == {"hot"} and written["hot"].isEmpty()
+    monkeypatch.setattr(numbering, "HOT_ROWS", 5_000)
+    row_number_per_key(hot, ["key"], ["value", "id"])
+    sizes = Counter(k for k, _, _ in rows)
+    assert written["tagged"].count() == written["placed"].count() == sizes["hot"]
+
+
 def test_surrogate_key_is_dense_in_order(hot, rows):
     keyed = surrogate_key(hot, [("value", "desc", "last"), "id"], "row_id", start=5)
     expected = sorted(rows, key=lambda r: (-r[1], r[2]))
