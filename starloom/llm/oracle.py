@@ -176,3 +176,50 @@ SELECT doc_id, own AS leaf, sub.h AS subroot, crown.h AS root, sha256(beside) AS
   folded_root, folded_root = crown.h AS verified
 FROM folded JOIN sub USING (g) JOIN crown ON crown.n = 1
 """
+
+PREFIX_TRIE = f"""
+WITH {_STEPS},
+placed AS (
+  SELECT conv_id AS c, sha256(strlen(role) || ':' || role || ':' || strlen(text) || ':' || text) AS t,
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(strlen(role) || ':' || role || ':' || strlen(text) || ':' || text)) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)
+),
+conv AS (
+  SELECT c, c - c % 20 AS head, {_crc32("c::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT c FROM placed), steps
+),
+kept AS (
+  SELECT conv.c, head, h, least(h, count(p.c)) AS k FROM conv LEFT JOIN placed p ON p.c = head GROUP BY conv.c, head, h
+),
+rebuilt AS (
+  SELECT k.c, pos AS depth, t, words FROM kept k JOIN placed p ON p.c = head AND pos <= k
+  UNION ALL
+  SELECT c, k + pos - h, t, words FROM kept JOIN placed p USING (c) WHERE pos > h
+  UNION ALL
+  SELECT c, 0, '', 0 FROM kept
+),
+path AS (
+  SELECT c, depth, words, sha256(string_agg(t, ',') OVER (PARTITION BY c ORDER BY depth)) AS id,
+    max(depth) OVER (PARTITION BY c) = depth AS ends
+  FROM rebuilt
+),
+linked AS (SELECT *, lag(id) OVER (PARTITION BY c ORDER BY depth) AS above FROM path),
+node AS (
+  SELECT id, above, depth, words, min(c) AS conv, count(*) AS n,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends
+  FROM linked GROUP BY id, above, depth, words
+),
+children AS (SELECT above, count(*) AS n FROM node GROUP BY above),
+whole AS (
+  SELECT n.*, coalesce(children.n, 0) AS children FROM node n LEFT JOIN children ON children.above = n.id
+),
+below AS (
+  SELECT p.id, count(*) FILTER (children = 0) AS leaves, sum((n - 1) * w.words)::BIGINT AS saved
+  FROM whole w JOIN path p ON p.c = w.conv AND p.depth <= w.depth GROUP BY p.id
+)
+SELECT w.conv AS conv_id, w.depth, up.conv AS parent_conv_id, w.n AS n_convs, w.children AS n_children,
+  leaves AS n_leaves, saved AS saved_tokens, w.ends AS ends_sha256
+FROM whole w JOIN below USING (id) LEFT JOIN node up ON up.id = w.above
+"""

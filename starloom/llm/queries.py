@@ -13,6 +13,7 @@ from starloom.llm import (
     mixing,
     near_dedup,
     oracle,
+    prefix_trie,
     quality,
     secrets,
     shards,
@@ -107,6 +108,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, stored, claimed=[*stored[:3], longer, stored[4]])
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix of rebuilt conversations with the totals of its subtree."""
+    turns = _table(spark, sf_dir, "conversations")
+    return prefix_trie.prefix_trie(turns).drop("node", "parent")
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -119,6 +126,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
@@ -127,4 +135,5 @@ SQL: dict[str, str] = {
     "op6_near_duplicates": oracle.NEAR_DUPLICATES,
     "op7_warc": oracle.WARC,
     "op12_merkle_manifest": oracle.MERKLE,
+    "op13_prefix_trie": oracle.PREFIX_TRIE,
 }
