@@ -20,6 +20,7 @@ from starloom.llm import (
     tokens,
     training_order,
     warc,
+    weak_rules,
 )
 from starloom.sinks.scratch import scratch_path
 
@@ -99,6 +100,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, labels)
 
 
+def op11_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures and the verdict of all rules together."""
+    return weak_rules.judge(_table(spark, sf_dir, "documents"))[0]
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf and proof in the manifest, and what a changed length does to it."""
     docs = _table(spark, sf_dir, "documents")
@@ -125,6 +131,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op11_weak_rules": op11_weak_rules,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_prefix_trie": op13_prefix_trie,
 }
