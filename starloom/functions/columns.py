@@ -6,6 +6,8 @@ zone: instants are handled as zone-less timestamps counted from the epoch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
@@ -48,45 +50,92 @@ def truncate_decimal(
 ) -> Column:
     """Cut a number toward zero to ``scale`` digits; a plain cast would round.
 
-    Up to 18 digits, whole numbers go through a 64-bit integer, which cuts by itself; binary
-    floats get there without a detour over wide decimals. Wider targets are cut in their own
-    precision.
+    Text is cut as text, whatever its length and notation. Up to 18 digits, numbers and short
+    plain texts take shorter ways: whole ones go through a 64-bit integer, which cuts by itself,
+    and binary floats get there without a detour over wide decimals.
     """
     target = f"decimal({precision},{scale})"
-    fraction = isinstance(source, T.FractionalType) and not isinstance(source, T.DecimalType)
-    if precision > 18:
-        return _cut_wide(value, precision, scale, source)
-    if scale == 0:
-        whole = value if fraction else value.try_cast(WIDE)
-        return whole.try_cast("bigint").try_cast(target)
-    return _toward_zero(value.try_cast(WIDE), scale).try_cast(target)
+    if isinstance(source, T.StringType):
+        exact = _cut_text(value, scale).try_cast(target)
+        if precision > 18:
+            return exact
+        # Too short for a digit that the detour would lose, and without an exponent.
+        text = F.trim(value, F.lit(WHITE))
+        plain = (F.length(text) <= 18) & text.rlike(r"^[+-]?[0-9]*\.?[0-9]*$")
+        return F.when(plain, _cut_number(text, scale, target)).otherwise(exact)
+    if isinstance(source, T.IntegralType):
+        return value.try_cast(target)
+    if isinstance(source, T.DecimalType):
+        return (_toward_zero(value, scale) if source.scale > scale else value).try_cast(target)
+    if precision > 18 or scale:  # a binary number of at most 17 digits
+        return _cut_text(value.cast("string"), scale).try_cast(target)
+    return value.try_cast("bigint").try_cast(target)
 
 
 def _toward_zero(value: Column, scale: int) -> Column:
     return F.when(value < 0, F.ceil(value, F.lit(scale))).otherwise(F.floor(value, F.lit(scale)))
 
 
-def _cut_wide(value: Column, precision: int, scale: int, source: T.DataType) -> Column:
-    """Cut to more than 18 digits. Text loses the digits beyond ``scale`` before it becomes a
-    number, as no decimal type could hold all of them on the way."""
-    target = f"decimal({precision},{scale})"
-    if isinstance(source, T.DecimalType):
-        return (_toward_zero(value, scale) if source.scale > scale else value).try_cast(target)
-    if not isinstance(source, T.StringType):
-        # Whole, or a binary number of at most 17 digits.
-        return value.try_cast(target) if isinstance(source, T.IntegralType) else _cut_wide(
-            value.cast("string"), precision, scale, T.StringType()
-        )
-    plain = F.trim(value).rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$")
-    pattern = r"\.[0-9]*$" if scale == 0 else rf"(\.[0-9]{{{scale}}})[0-9]+$"
-    padded = F.regexp_replace(F.trim(value), r"^([+-]?)\.", "$10.")
-    kept = F.regexp_replace(padded, pattern, "" if scale == 0 else "$1")
-    # Other notations, such as exponents, have no such digits in sight.
-    return F.when(plain, kept.try_cast(target)).otherwise(
-        _toward_zero(value.try_cast(WIDE), min(scale, 18)).try_cast(target)
+def _cut_number(value: Column, scale: int, target: str) -> Column:
+    wide = value.try_cast(WIDE)
+    return (wide.try_cast("bigint") if scale == 0 else _toward_zero(wide, scale)).try_cast(target)
+
+
+#: What may stand around a number.
+WHITE = " \t\n\r\f\x0b"
+#: A number in plain notation, and sign, digits before and after the point, exponent of any.
+PLAIN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+NUMBER = r"^([+-]?)(?=\.?[0-9])([0-9]*)\.?([0-9]*)[eE]([+-]?[0-9]+)$"
+#: More places than any decimal has: what lies beyond is out of range, or 0.
+_PLACES = 100
+_FAR = 999_999_999
+
+
+def _cut_text(value: Column, scale: int) -> Column:
+    """A number's text in plain notation with at most ``scale`` digits after the point, the
+    others cut off; NULL if it is no number. No digit goes through a type that could round or
+    overflow."""
+    text = F.trim(value, F.lit(WHITE))
+    padded = F.regexp_replace(text, r"^([+-]?)\.", "$10.")
+    pattern, kept = (r"\.[0-9]*$", "") if scale == 0 else (rf"(\.[0-9]{{{scale}}})[0-9]+$", "$1")
+    return F.when(text.rlike(PLAIN), F.regexp_replace(padded, pattern, kept)).when(
+        text.rlike(NUMBER), _moved(text, scale)
     )
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _moved(text: Column, scale: int) -> Column:
+    """A number with an exponent in plain notation: the point is moved within the digits.
+    More than 100 places before the point are cut to 100, which no decimal holds either."""
+
+    def parts(t: Column) -> Column:
+        sign, whole, fraction, power = (F.regexp_extract(t, NUMBER, k) for k in (1, 2, 3, 4))
+        # An exponent of very many digits is as good as one of nine.
+        far = F.when(F.startswith(power, F.lit("-")), -_FAR).otherwise(_FAR)
+        power = F.greatest(F.lit(-_FAR), F.least(F.coalesce(power.try_cast("int"), far), F.lit(_FAR)))
+        written = F.concat(whole, fraction)
+        return F.struct(
+            sign.alias("sign"),
+            F.ltrim(written, F.lit("0")).alias("digits"),
+            (F.length(whole) - F.length(written) + power).alias("point"),
+        )
+
+    def shown(n: Column) -> Column:
+        digits = n["digits"]
+        point = n["point"] + F.length(digits)  # digits before the point, or zeros behind it
+        before = F.when(point > 0, F.rpad(digits, F.least(point, F.lit(_PLACES)), "0")).otherwise("0")
+        zeros = F.repeat(F.lit("0"), F.greatest(F.lit(0), F.least(-point, F.lit(_PLACES))))
+        behind = F.concat(zeros, F.substring(digits, F.greatest(point, F.lit(0)) + 1, F.lit(scale)))
+        plain = F.concat(n["sign"], before, F.lit("."), F.substring(behind, 1, scale), F.lit("0"))
+        return F.when(digits == "", F.lit("0")).otherwise(plain if scale else F.concat(n["sign"], before))
+
+    return _bound(_bound(text, parts), shown)
+
+
 def safe_cast(
     column: Column | str,
     source: T.DataType,

@@ -192,7 +192,12 @@ SELECT p_partkey, CAST(trunc(p_retailprice) AS DECIMAL(18,0)) AS whole_price,
        CAST(NULL AS INTEGER) AS blank,
        CAST(left('123456789012.' || (p_partkey + 1000) || '4567899', 23) AS DECIMAL(38,10))
          AS long_cut,
-       CAST('-1234567890123' || (p_partkey + 1000000) AS DECIMAL(38,0)) AS long_whole
+       CAST('-1234567890123' || (p_partkey + 1000000) AS DECIMAL(38,0)) AS long_whole,
+       CAST(['150000000000000000000', '10000000000000000000000000', '0', '-5', '0'][p_partkey % 5 + 1]
+         AS DECIMAL(38,0)) AS power_whole,
+       CAST(['150000000000000000000', '10000000000000000000000000', '0.001', '-5', '-0.0000000072']
+         [p_partkey % 5 + 1] AS DECIMAL(38,10)) AS power_cut,
+       CAST(p_partkey || '000000000000000000' AS DECIMAL(38,0)) AS large_double
 FROM part""",
     "filter_equals": "SELECT * FROM lineitem WHERE l_returnflag = 'R'",
     "filter_not_null": f"WITH {_NULLABLE} SELECT * FROM lines WHERE l_tax IS NOT NULL",

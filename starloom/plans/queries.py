@@ -191,6 +191,8 @@ def scan_json_files_auto(spark, sf_dir):
 
 
 def cast_safe_(spark, sf_dir):
+    texts = F.array(*[F.lit(t) for t in ("1.5e20", "1E25", "1e-3", "-.5E1", "-7.25e-9")])
+    notation = F.element_at(texts, (F.col("p_partkey") % 5 + 1).cast("int"))
     parts = _read(spark, sf_dir, "part").select(
         "p_partkey",
         F.col("p_retailprice").alias("whole_price"),
@@ -201,6 +203,10 @@ def cast_safe_(spark, sf_dir):
         F.lit(" ").alias("blank"),
         F.concat(F.lit("123456789012."), F.col("p_partkey") + 1000, F.lit("4567899")).alias("long_cut"),
         F.concat(F.lit("-1234567890123"), F.col("p_partkey") + 1000000, F.lit(".99")).alias("long_whole"),
+        # Five notations in turn, and a double whose text has an exponent.
+        notation.alias("power_whole"),
+        notation.alias("power_cut"),
+        F.concat("p_partkey", F.lit("e18")).cast("double").alias("large_double"),
     )
     return cast_safe(
         parts,
@@ -213,6 +219,9 @@ def cast_safe_(spark, sf_dir):
             "blank": "int",
             "long_cut": "decimal(38,10)",
             "long_whole": "decimal(38,0)",
+            "power_whole": "decimal(38,0)",
+            "power_cut": "decimal(38,10)",
+            "large_double": "decimal(38,0)",
         },
     )
 

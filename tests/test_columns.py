@@ -1,5 +1,7 @@
+import random
+import re
 from datetime import datetime
-from decimal import Decimal
+from decimal import ROUND_DOWN, Decimal, localcontext
 
 import pytest
 from pyspark.errors import PySparkException
@@ -149,3 +151,53 @@ def test_wide_decimals_of_numbers(spark):
         *[safe_cast(c, df.schema[c].dataType, "decimal(38,2)").alias(c) for c in df.columns]
     ).first()
     assert [str(v) for v in cut] == ["12345678901234567890.12", "1.99", "7.00"]
+
+
+def number_texts(count=600, seed=11):
+    """Numbers in every notation, and texts that are none."""
+    rng = random.Random(seed)
+
+    def digits(most):
+        return "".join(rng.choice("0012345679") for _ in range(rng.randrange(most)))
+
+    out = ["1.5e20", "1E25", "1e-3", "-.5E1", "0e99999999999", "-0.0", "1e99999999999", "5e-99999999999"]
+    out += ["1e38", "9.99999999999999999999999999999999999999e37", "000123.4500e2", "0.000001e7", "." * 2]
+    out += ["e5", "1e", "+", ".", "1e+", "--1", "1 2", "0x10", "NaN", "Infinity", "1d", "٣", "1_000", "\t7\n"]
+    for _ in range(count):
+        text = rng.choice(["", "+", "-"]) + digits(rng.choice([4, 25])) + rng.choice(["", "."]) + digits(rng.choice([3, 40]))
+        if rng.random() < 0.5:
+            text += rng.choice("eE") + rng.choice(["", "+", "-"]) + str(rng.randrange(rng.choice([5, 45])))
+        out.append(text)
+    return out
+
+
+def cut_by_hand(text, digits, scale):
+    text = text.strip(" \t\n")
+    if not re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?", text):
+        return None
+    with localcontext() as exact:
+        exact.prec, exact.Emax, exact.Emin = 2000, 10**15, -(10**15)
+        number = Decimal(text)
+        if number and number.adjusted() > 60:
+            return None
+        if not number or number.adjusted() < -60:
+            return Decimal(0)
+        cut = number.quantize(Decimal(1).scaleb(-scale), rounding=ROUND_DOWN)
+        return cut if abs(cut) < Decimal(10) ** (digits - scale) else None
+
+
+@pytest.mark.parametrize("target", [(38, 0), (38, 10), (38, 38), (18, 0), (18, 5), (18, 18), (20, 2)])
+def test_any_number_text_is_cut_exactly(spark, target):
+    texts = number_texts()
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    kind = f"decimal({target[0]},{target[1]})"
+    found = df.select("t", safe_cast("t", T.StringType(), kind).alias("d")).collect()
+    assert {r.t: r.d for r in found} == {t: cut_by_hand(t, *target) for t in texts}
+
+
+def test_large_and_small_doubles_become_wide_decimals(spark):
+    df = spark.createDataFrame([(1.0e20,), (-1.5e25,), (1e-3,), (1e300,), (float("nan"),), (None,)], "d double")
+    for scale in (0, 10):
+        wide = df.select(safe_cast("d", T.DoubleType(), f"decimal(38,{scale})").alias("w")).collect()
+        small = Decimal("0.001") if scale else Decimal(0)
+        assert [r.w for r in wide] == [Decimal(10) ** 20, Decimal(-15) * 10**24, small, None, None, None]
