@@ -6,8 +6,6 @@ zone: instants are handled as zone-less timestamps counted from the epoch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
@@ -103,37 +101,29 @@ def _cut_text(value: Column, scale: int) -> Column:
     )
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with the value computed once however often it is used."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _moved(text: Column, scale: int) -> Column:
     """A number with an exponent in plain notation: the point is moved within the digits.
-    More than 100 places before the point are cut to 100, which no decimal holds either."""
-
-    def parts(t: Column) -> Column:
-        sign, whole, fraction, power = (F.regexp_extract(t, NUMBER, k) for k in (1, 2, 3, 4))
-        # An exponent of very many digits is as good as one of nine.
-        far = F.when(F.startswith(power, F.lit("-")), -_FAR).otherwise(_FAR)
-        power = F.greatest(F.lit(-_FAR), F.least(F.coalesce(power.try_cast("int"), far), F.lit(_FAR)))
-        written = F.concat(whole, fraction)
-        return F.struct(
-            sign.alias("sign"),
-            F.ltrim(written, F.lit("0")).alias("digits"),
-            (F.length(whole) - F.length(written) + power).alias("point"),
-        )
-
-    def shown(n: Column) -> Column:
-        digits = n["digits"]
-        point = n["point"] + F.length(digits)  # digits before the point, or zeros behind it
-        before = F.when(point > 0, F.rpad(digits, F.least(point, F.lit(_PLACES)), "0")).otherwise("0")
-        zeros = F.repeat(F.lit("0"), F.greatest(F.lit(0), F.least(-point, F.lit(_PLACES))))
-        behind = F.concat(zeros, F.substring(digits, F.greatest(point, F.lit(0)) + 1, F.lit(scale)))
-        plain = F.concat(n["sign"], before, F.lit("."), F.substring(behind, 1, scale), F.lit("0"))
-        return F.when(digits == "", F.lit("0")).otherwise(plain if scale else F.concat(n["sign"], before))
-
-    return _bound(_bound(text, parts), shown)
+
+    More than 100 places before the point are cut to 100, which no decimal holds either. Each
+    step is bound to a name by an array of one, so that it is computed once.
+    """
+    # Sign, digits before and after the point, exponent.
+    fields = F.split(F.regexp_replace(text, NUMBER, "$1,$2,$3,$4"), ",")
+    # An exponent of very many digits is as good as one of nine.
+    power = f"""greatest(-{_FAR}, least({_FAR},
+        coalesce(try_cast(p[3] AS int), if(startswith(p[3], '-'), -{_FAR}, {_FAR}))))"""
+    number = f"""p -> named_struct('sign', p[0], 'digits', ltrim('0', concat(p[1], p[2])),
+        'point', {power} - length(p[2]))"""
+    # Digits before the point; if negative, zeros behind it.
+    place = "n -> named_struct('sign', n.sign, 'digits', n.digits, 'point', n.point + length(n.digits))"
+    before = f"if(n.point > 0, rpad(n.digits, least(n.point, {_PLACES}), '0'), '0')"
+    zeros = f"repeat('0', greatest(0, least(-n.point, {_PLACES})))"
+    behind = f"substring(concat({zeros}, substring(n.digits, greatest(n.point, 0) + 1, {scale})), 1, {scale})"
+    plain = f"concat(n.sign, {before}, '.', {behind}, '0')" if scale else f"concat(n.sign, {before})"
+    steps = F.array(fields)
+    for step in (number, place, f"n -> if(n.digits = '', '0', {plain})"):
+        steps = F.call_function("transform", steps, F.expr(step))
+    return F.element_at(steps, 1)
 
 
 def safe_cast(
