@@ -43,7 +43,7 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--log-paths", help="JSONPaths file that maps the log to its columns")
     load.add_argument("--append", action="store_true", help="add to the tables")
     load.add_argument(
-        "--tolerant", action="store_true", help="set broken lines and incomplete plays aside"
+        "--tolerant", action="store_true", help="set lines with an error and incomplete plays aside"
     )
     ids = load.add_mutually_exclusive_group()
     ids.add_argument("--ordered-ids", action="store_true", help="number the plays in a fixed order")

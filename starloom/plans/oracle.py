@@ -432,11 +432,20 @@ UNION ALL SELECT '4 dropped', table_name, CASE WHEN table_name = 'orders' THEN 0
 WHERE table_name <> 'supplier'""",
     "publish_append_bucketed": "SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem",
     "scan_rejects": """
-SELECT 'row' AS kind, event_id, user_id, CAST(NULL AS VARCHAR) AS line FROM events
-WHERE event_id % 10 <> 0
-UNION ALL SELECT 'reject', NULL, NULL, '{"event_id":' || event_id || ', "user' FROM events
-WHERE event_id % 10 = 0
-UNION ALL SELECT 'strict', NULL, NULL, 'refused'""",
+WITH sent AS (
+  SELECT event_id, user_id, event_id % 10 = 0 AS broken, event_id % 7 = 0 AS no_number,
+    event_id % 11 = 0 AS too_long FROM events
+)
+SELECT 'row' AS kind, event_id, user_id, CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS wrong
+FROM sent WHERE NOT (broken OR no_number OR too_long)
+UNION ALL SELECT 'reject', NULL, NULL, '{"event_id":' || event_id || ', "user', '' FROM sent WHERE broken
+UNION ALL SELECT 'reject', NULL, NULL, '{"event_id":' || event_id || ',"user":"'
+    || CASE WHEN no_number THEN 'u' ELSE '' END || user_id || '","kind":"'
+    || CASE WHEN too_long THEN 'much too long' ELSE 'short' END || '"}',
+  concat_ws(', ', CASE WHEN no_number THEN 'user_id u' || user_id || ' does not fit bigint' END,
+    CASE WHEN too_long THEN 'kind much too long longer than 8' END)
+FROM sent WHERE NOT broken AND (no_number OR too_long)
+UNION ALL SELECT 'strict', NULL, NULL, 'refused', NULL""",
     "surrogate_key_load_order_rows": """
 SELECT l_orderkey, l_linenumber, count(*) AS num_rows, count(*) AS num_ids
 FROM lineitem GROUP BY ALL""",

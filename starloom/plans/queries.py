@@ -735,25 +735,30 @@ def publish_append_bucketed(spark, sf_dir):
 
 
 def scan_rejects(spark, sf_dir):
-    """Events as JSON lines, every tenth cut off: typed rows, broken lines, and whether a
-    strict load refuses them."""
+    """Events as JSON lines, every tenth cut off, every seventh with a user that is no number,
+    every eleventh with a kind that is too long: typed rows, rejected lines with what is wrong,
+    and whether a strict load refuses them."""
     events = _read(spark, sf_dir, "events")
-    whole = F.to_json(F.struct("event_id", F.col("user_id").cast("string").alias("user")))
-    broken = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(', "user'))
+    n = F.col("event_id")
+    user = F.when(n % 7 == 0, F.concat(F.lit("u"), "user_id")).otherwise(F.col("user_id").cast("string"))
+    label = F.when(n % 11 == 0, F.lit("much too long")).otherwise(F.lit("short"))
+    whole = F.to_json(F.struct("event_id", user.alias("user"), label.alias("kind")))
+    broken = F.concat(F.lit('{"event_id":'), n.cast("string"), F.lit(', "user'))
     path = scratch_path(spark, "broken")
-    events.select(F.when(F.col("event_id") % 10 == 0, broken).otherwise(whole)).write.text(path)
-    mapping = [("$.event_id", "event_id", "bigint"), ("$.user", "user_id", "bigint")]
-    good, rejects = read_with_rejects(spark, path, mapping)
+    events.select(F.when(n % 10 == 0, broken).otherwise(whole)).write.text(path)
+    mapping = [("$.event_id", "event_id", "bigint"), ("$.user", "user_id", "bigint"), ("$.kind", "kind", "string")]
+    good, rejects = read_with_rejects(spark, path, mapping, lengths={"kind": 8})
     try:
         read_json_mapped(spark, path, mapping).write.format("noop").mode("overwrite").save()
         strict = "loaded"
     except (PySparkException, Py4JJavaError):
         strict = "refused"
-    none, no_line = F.lit(None).cast("bigint"), F.lit(None).cast("string").alias("line")
+    none, no_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    wrong = F.transform("problems", lambda p: F.concat_ws(" ", p["column"], p["value"], p["problem"]))
     return (
-        good.select(F.lit("row").alias("kind"), "event_id", "user_id", no_line)
-        .union(rejects.select(F.lit("reject"), none, none, "line"))
-        .union(spark.range(1).select(F.lit("strict"), none, none, F.lit(strict)))
+        good.select(F.lit("row").alias("kind"), "event_id", "user_id", no_text.alias("line"), no_text.alias("wrong"))
+        .union(rejects.select(F.lit("reject"), none, none, "line", F.array_join(wrong, ", ")))
+        .union(spark.range(1).select(F.lit("strict"), none, none, F.lit(strict), no_text))
     )
 
 

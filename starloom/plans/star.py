@@ -194,8 +194,9 @@ def load_staging(
     """Parse both JSON sets once into staging tables.
 
     The five builds read only the columns they need from Parquet; straight from JSON
-    each of them would parse the whole text again. ``PERMISSIVE`` stores broken lines in the
-    table ``rejected_lines``; any other mode fails on them.
+    each of them would parse the whole text again. ``PERMISSIVE`` stores broken lines, and those
+    with values that do not fit or are too long, in the table ``rejected_lines`` with what is
+    wrong with them; any other mode fails on them.
     """
     event_schema, song_schema = schemas.staging_events(scale), schemas.staging_songs(scale)
     if log_paths_file:
@@ -204,8 +205,9 @@ def load_staging(
         mapping = path_mapping([f"$['{f.name}']" for f in event_schema.fields], event_schema)
     if mode == "PERMISSIVE":
         own_names = [(f.name, f.name, f.dataType) for f in song_schema.fields]
-        events, bad_events = read_with_rejects(spark, log_path, mapping)
-        songs_, bad_songs = read_with_rejects(spark, catalogue_path, own_names)
+        limits = [schemas.text_lengths(t, schemas.EVENT_LENGTHS) for t in (event_schema, song_schema)]
+        events, bad_events = read_with_rejects(spark, log_path, mapping, lengths=limits[0])
+        songs_, bad_songs = read_with_rejects(spark, catalogue_path, own_names, lengths=limits[1])
         publish(bad_events.unionByName(bad_songs), f"{db}.{REJECTED_LINES}")
     else:
         events = read_json_mapped(spark, log_path, mapping, mode=mode)
@@ -246,8 +248,8 @@ def run_star(spark: SparkSession, log_path: str, catalogue_path: str, db: str, *
 
     Options: ``log_paths_file`` maps the log's paths; ``scale`` decimal digits are kept;
     ``buckets`` of plays and songs (default: those of the tables, or by the number of plays);
-    ``load_mode`` FAILFAST, or PERMISSIVE to set broken lines and incomplete plays aside in
-    tables of their own; ``append=True`` adds this load's rows to the star tables instead of
+    ``load_mode`` FAILFAST, or PERMISSIVE to set lines with an error and incomplete plays aside
+    in tables of their own; ``append=True`` adds this load's rows to the star tables instead of
     replacing them; ``ordered_ids=True`` numbers the plays in a fixed order, which sorts the
     fact, otherwise as they lie; ``remove_duplicates``, ``clean_sentinels`` and
     ``drop_staging`` (all True).

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from starloom.functions.columns import safe_cast
+from starloom.sinks.scratch import pin
 
 # (path in the document, column name, type)
 Mapping = Sequence[tuple[str, str, T.DataType | str]]
@@ -68,15 +69,17 @@ def _text_schema(mapping: Mapping) -> T.StructType:
     return build(tree)
 
 
+def _source(path: str, root: str | None = None) -> Column:
+    """The text at a path of a parsed document."""
+    quoted = ".".join(f"`{key}`" for key in _steps(path))
+    return F.col(f"`{root}`.{quoted}" if root else quoted)
+
+
 def _typed(mapping: Mapping, strict: bool, decimal_scale: int, root: str | None = None) -> list[Column]:
-    columns = []
-    for path, name, target in mapping:
-        quoted = ".".join(f"`{key}`" for key in _steps(path))
-        source = F.col(f"`{root}`.{quoted}" if root else quoted)
-        columns.append(
-            safe_cast(source, T.StringType(), target, decimal_scale, strict).alias(name)
-        )
-    return columns
+    return [
+        safe_cast(_source(path, root), T.StringType(), target, decimal_scale, strict).alias(name)
+        for path, name, target in mapping
+    ]
 
 
 def _auto_mapping(schema: T.StructType) -> list[tuple[str, str, T.DataType]]:
@@ -125,14 +128,44 @@ def read_json_auto(
     )
 
 
+def _problems(
+    mapping: Mapping, typed: Sequence[Column], lengths: dict[str, int], root: str
+) -> Column:
+    """The columns of a row whose text is no value of their type, or is longer than allowed."""
+    found = []
+    for (path, name, target), value in zip(mapping, typed):
+        text = _source(path, root)
+        kind = target if isinstance(target, str) else target.simpleString()
+        if kind != "string":
+            wrong, what = (F.trim(text) != "") & value.isNull(), f"does not fit {kind}"
+        elif name in lengths:
+            wrong, what = F.length(value) > lengths[name], f"longer than {lengths[name]}"
+        else:
+            continue
+        problem = [F.lit(name).alias("column"), text.alias("value"), F.lit(what).alias("problem")]
+        found.append(F.when(wrong, F.struct(*problem)))
+    none = F.array().cast("array<struct<column: string, value: string, problem: string>>")
+    return F.filter(F.array(*found), lambda p: p.isNotNull()) if found else none
+
+
 def read_with_rejects(
     spark: SparkSession,
     path: str,
     mapping: Mapping,
     decimal_scale: int = 0,
     recursive: bool = True,
+    lengths: dict[str, int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Tolerant load of JSON lines: (typed good rows, file and text of broken lines)."""
+    """Tolerant load of JSON lines: (typed good rows, rejected lines).
+
+    A line is rejected if it is broken, if a value is no value of its column's type, or if a
+    text is longer than ``lengths`` allows its column. Rejects have ``file``, ``line`` and
+    ``problems``, a list of column, value and problem; a broken line has an empty list. Blank
+    text is NULL and no problem.
+
+    The text is parsed once: typed rows and rejects are stored together in the scratch folder,
+    and both results read from there.
+    """
     schema = _text_schema(mapping).add(REJECT_COLUMN, T.StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECT_COLUMN}
     # Parsed from text lines: a JSON scan may not be asked for its broken lines alone.
@@ -141,14 +174,28 @@ def read_with_rejects(
         .text(path)
         .filter(F.trim("value") != "")
         .select(
-            F.input_file_name().alias("file"),
-            F.col("value").alias("line"),
+            F.input_file_name().alias("_file"),
+            F.col("value").alias("_line"),
             F.from_json("value", schema, options).alias("_doc"),
         )
     )
-    broken = F.col(f"_doc.{REJECT_COLUMN}").isNotNull()
-    good = lines.filter(~broken).select(_typed(mapping, False, decimal_scale, root="_doc"))
-    return good, lines.filter(broken).select("file", "line")
+    # Columns may have any name, so the row travels as one struct.
+    typed = _typed(mapping, False, decimal_scale, root="_doc")
+    read = lines.select(
+        "_file",
+        "_line",
+        F.col(f"_doc.{REJECT_COLUMN}").isNotNull().alias("_broken"),
+        _problems(mapping, typed, lengths or {}, "_doc").alias("_problems"),
+        F.struct(*typed).alias("_row"),
+    )
+    rejected = F.col("_broken") | (F.size("_problems") > 0)
+    kept = [F.when(rejected, F.col(c)).alias(c) for c in ("_file", "_line")]
+    stored = pin(read.select(*kept, F.when(rejected, F.col("_problems")).alias("_problems"), "_row"), "parsed")
+    good = stored.filter("_line IS NULL").select("_row.*")
+    rejects = stored.filter("_line IS NOT NULL").select(
+        F.col("_file").alias("file"), F.col("_line").alias("line"), F.col("_problems").alias("problems")
+    )
+    return good, rejects
 
 
 def parse_json_mapped(

@@ -79,13 +79,29 @@ def test_tolerant_load_sets_rows_aside(spark, tmp_path, capsys):
     file = next(p for p in Path(log).rglob("*") if p.is_file() and p.read_text().strip())
     lines = file.read_text().splitlines()
     play = next(json.loads(text) for text in lines if json.loads(text)["page"] == "NextSong")
-    file.write_text("\n".join([*lines, json.dumps({**play, "userId": "who?"}), '{"broken": ']))
+    file.write_text("\n".join([*lines, json.dumps({**play, "userId": "who?"}), json.dumps({**play, "userId": ""}), '{"broken": ']))
+    song = next(p for p in Path(catalogue).rglob("*.json") if json.loads(p.read_text())["song_id"] == "SO7")
+    document = {**json.loads(song.read_text()), "song_id": "SO70"}
+    song.write_text(
+        song.read_text()
+        + "\n" + json.dumps({**document, "duration": "abc"})
+        + "\n" + json.dumps({**document, "title": "t" * 257})
+    )
     load = ["load", "--db", "cli_tolerant", "--log", log, "--catalogue", catalogue]
     with pytest.raises(Exception):
         call(spark, *load)
     call(spark, *load, "--tolerant")
     out = capsys.readouterr().out
-    assert "rejected_lines: 1 rows" in out and "rejected_plays: " in out
-    assert spark.table("cli_tolerant.rejected_lines").first().line == '{"broken": '
+    assert "rejected_lines: 4 rows" in out and "rejected_plays: " in out
+    rejected = spark.table("cli_tolerant.rejected_lines").collect()
+    problems = [tuple(p) for r in rejected for p in r.problems]
+    assert sorted((c, v[:3], p) for c, v, p in problems) == [
+        ("duration", "abc", "does not fit decimal(18,0)"),
+        ("title", "ttt", "longer than 256"),
+        ("userId", "who", "does not fit int"),
+    ]
     assert {r.user_id for r in spark.table("cli_tolerant.rejected_plays").collect()} == {None}
+    assert [r.line for r in rejected if not r.problems] == ['{"broken": ']
     assert spark.table("cli_tolerant.songplays").count() == 7
+    songs = {r.song_id for r in spark.table("cli_tolerant.songs").collect()}
+    assert "SO7" in songs and "SO70" not in songs

@@ -61,6 +61,33 @@ def test_one_broken_line_fails_the_load_or_is_rejected(spark, tmp_path):
     assert reject.line == '{"note": broken' and reject.file.endswith("part.json")
 
 
+def test_values_that_do_not_fit_are_rejected_with_their_column(spark, tmp_path):
+    rows = [
+        {"user": {"id": "7"}, "len": "1e2", "note": "fine", "when": 5},
+        {"user": {"id": "abc"}, "len": "1.5", "note": "ok"},
+        {"user": {"id": 1}, "len": "x", "note": "far too long", "when": "never"},
+        {"user": {"id": " "}, "len": "", "note": None},
+        {"user": "no object", "len": 3, "note": "ok"},
+        {"user": {"id": 99999999999}, "len": 1},
+    ]
+    path = write_lines(tmp_path / "values", *[json.dumps(r) for r in rows], '{"note": broken', "  ")
+    mapping = [*MAPPING, ("$.when", "file", "bigint")]  # a column with the name of a reject's
+    good, rejects = read_with_rejects(spark, path, mapping, lengths={"note": 5})
+    assert good.columns == ["user_id", "length", "note", "file"]
+    assert {tuple(r) for r in good.collect()} == {(7, Decimal(100), "fine", 5), (None, None, None, None)}
+    found = {r.line: [tuple(p) for p in r.problems] for r in rejects.collect()}
+    assert found[json.dumps(rows[1])] == [("user_id", "abc", "does not fit int")]
+    assert found[json.dumps(rows[2])] == [
+        ("length", "x", "does not fit decimal"),
+        ("note", "far too long", "longer than 5"),
+        ("file", "never", "does not fit bigint"),
+    ]
+    assert found[json.dumps(rows[5])] == [("user_id", "99999999999", "does not fit int")]
+    assert found['{"note": broken'] == []
+    # An object asked for where the document has none is a broken line.
+    assert len(found) == 5 and all(r.file.endswith("part.json") for r in rejects.collect())
+
+
 def test_unreadable_number_fails_the_strict_load_only(spark, tmp_path):
     path = write_lines(tmp_path / "text", json.dumps({"user": {"id": "abc"}}))
     with pytest.raises(PySparkException, match="does not fit int"):
