@@ -177,7 +177,8 @@ FROM events""",
     "scan_json_files_mapped": """
 SELECT event_id, epoch_us(ts) AS us, CAST(user_id AS INTEGER) AS user_id,
        CAST(trunc(value) AS DECIMAL(18,0)) AS whole_value,
-       CAST(NULL AS INTEGER) AS blank_number, CAST(NULL AS VARCHAR) AS absent
+       CAST(NULL AS INTEGER) AS blank_number, CAST(NULL AS VARCHAR) AS absent,
+       event_id AS first_line, CASE WHEN event_id % 3 = 2 THEN 3 * event_id END AS third_line
 FROM events""",
     "scan_json_files_auto": """
 SELECT event_id, CAST(user_id AS INTEGER) AS "user",

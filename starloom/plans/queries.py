@@ -166,6 +166,12 @@ def _json_folder(spark, sf_dir, label: str) -> str:
             F.col("user_id").cast("string").alias("user"),
             F.col("value").alias("value"),
             F.lit("").alias("blank"),
+            # Lists of one to three entries.
+            F.slice(
+                F.array(*[F.struct((F.col("event_id") * k).cast("string").alias("id")) for k in (1, 2, 3)]),
+                F.lit(1),
+                (F.col("event_id") % 3 + 1).cast("int"),
+            ).alias("lines"),
         )
     )
     path = scratch_path(spark, label)
@@ -181,6 +187,8 @@ def scan_json_files_mapped(spark, sf_dir):
         ("$.value", "whole_value", "decimal"),
         ("$.blank", "blank_number", "int"),
         ("$.absent", "absent", "string"),
+        ("$['lines'][0]['id']", "first_line", "bigint"),
+        ("$.lines[2].id", "third_line", "bigint"),
     ]
     return read_json_mapped(spark, _json_folder(spark, sf_dir, "json-mapped"), mapping)
 

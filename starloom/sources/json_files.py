@@ -20,17 +20,23 @@ from starloom.sinks.scratch import pin
 Mapping = Sequence[tuple[str, str, T.DataType | str]]
 
 REJECT_COLUMN = "_corrupt_record"
-_STEP = re.compile(r"""\['([^']+)'\]|\["([^"]+)"\]|\.([^.\[\]]+)""")
+_STEP = re.compile(r"""\['([^']+)'\]|\["([^"]+)"\]|\.([^.\[\]]+)|\[([0-9]+)\]""")
+# Stands for the elements of an array among the keys of an object.
+_ELEMENT = object()
 
 
-def _steps(path: str) -> list[str]:
-    """Object keys along ``$.a.b`` or ``$['a']['b']``; a bare name is one key."""
+def _steps(path: str) -> list[str | int]:
+    """Object keys and array positions along ``$.a.b``, ``$['a']['b']`` or ``$['a'][0]``; a bare
+    name is one key."""
     if not path.startswith("$"):
         return [path]
-    keys = ["".join(groups) for groups in _STEP.findall(path)]
-    if not keys or _STEP.sub("", path) != "$":
+    found = list(_STEP.finditer(path))
+    if not found or _STEP.sub("", path) != "$":
         raise ValueError(f"unsupported path: {path}")
-    return keys
+    steps = [int(m[4]) if m[4] else m[1] or m[2] or m[3] for m in found]
+    if isinstance(steps[0], int):
+        raise ValueError(f"a document is an object: {path}")
+    return steps
 
 
 def path_mapping(paths: Sequence[str], schema: T.StructType) -> list[tuple[str, str, T.DataType]]:
@@ -47,9 +53,10 @@ def read_path_mapping(spark: SparkSession, path: str, schema: T.StructType):
 
 
 def _text_schema(mapping: Mapping) -> T.StructType:
+    """The mapped values as texts, in the objects and arrays that lead to them."""
     tree: dict = {}
     for path, _, _ in mapping:
-        *parents, leaf = _steps(path)
+        *parents, leaf = [_ELEMENT if isinstance(step, int) else step for step in _steps(path)]
         node = tree
         for key in parents:
             node = node.setdefault(key, {})
@@ -58,21 +65,25 @@ def _text_schema(mapping: Mapping) -> T.StructType:
         if node.setdefault(leaf, None) is not None:
             raise ValueError(f"path {path} reads an object that other paths go through")
 
-    def build(node: dict) -> T.StructType:
-        return T.StructType(
-            [
-                T.StructField(key, T.StringType() if child is None else build(child))
-                for key, child in node.items()
-            ]
-        )
+    def build(node: dict | None) -> T.DataType:
+        if node is None:
+            return T.StringType()
+        if _ELEMENT not in node:
+            return T.StructType([T.StructField(key, build(child)) for key, child in node.items()])
+        if len(node) > 1:
+            raise ValueError("paths take the same value for an array and for an object")
+        return T.ArrayType(build(node[_ELEMENT]))
 
     return build(tree)
 
 
 def _source(path: str, root: str | None = None) -> Column:
-    """The text at a path of a parsed document."""
-    quoted = ".".join(f"`{key}`" for key in _steps(path))
-    return F.col(f"`{root}`.{quoted}" if root else quoted)
+    """The text at a path of a parsed document; NULL where an array is too short."""
+    first, *others = ([root] if root else []) + _steps(path)
+    column = F.col(f"`{first}`")
+    for step in others:
+        column = F.get(column, F.lit(step)) if isinstance(step, int) else column.getField(step)
+    return column
 
 
 def _typed(mapping: Mapping, strict: bool, decimal_scale: int, root: str | None = None) -> list[Column]:

@@ -104,8 +104,35 @@ def test_path_file_pairs_paths_with_columns_by_position(spark, tmp_path):
     assert tuple(read_json_mapped(spark, path, mapping).first()) == (1, "deep")
     with pytest.raises(ValueError):
         path_mapping(["$.a"], schema)
-    with pytest.raises(ValueError):
-        read_json_mapped(spark, path, [("$.a[0]", "x", "int")])
+    for broken in ("$[0]", "$.a[", "$.a[-1]", "$.a[x]", "$"):
+        with pytest.raises(ValueError):
+            read_json_mapped(spark, path, [(broken, "x", "int")])
+
+
+def test_paths_take_elements_of_arrays(spark, tmp_path):
+    path = write_lines(
+        tmp_path / "arrays",
+        json.dumps({"a": [1, "2"], "b": [{"x": 5, "y.z": [["p", "q"]]}, {"x": 6}], "c": {"0": "key"}}),
+        json.dumps({"a": [], "b": [{"x": 7}]}),
+        json.dumps({"b": None}),
+    )
+    mapping = [
+        ("$['a'][0]", "first", "int"),
+        ("$.a[1]", "second", "int"),
+        ("$.b[1].x", "x", "int"),
+        ("$.b[0]['y.z'][0][1]", "deep", "string"),
+        ("$.c['0']", "key", "string"),
+    ]
+    df = read_json_mapped(spark, path, mapping)
+    assert {tuple(r) for r in df.collect()} == {(1, 2, 6, "q", "key"), (None,) * 5}
+    assert df.count() == 3
+    plan = read_json_mapped(spark, path, mapping[:1])._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<a:array<string>>" in plan
+    good, rejects = read_with_rejects(spark, path, [("$.b[0].x", "x", "int"), ("$.a[1]", "a", "int")])
+    assert {tuple(r) for r in good.collect()} == {(5, 2), (7, None), (None, None)} and rejects.isEmpty()
+    for paths in (("$.a[0]", "$.a.b"), ("$.a", "$.a[0]"), ("$.a[0].b", "$.a[1]")):
+        with pytest.raises(ValueError):
+            read_json_mapped(spark, path, [(p, f"c{k}", "int") for k, p in enumerate(paths)])
 
 
 def test_only_mapped_fields_are_read(spark, tmp_path):
