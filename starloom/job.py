@@ -6,10 +6,13 @@
     spark-submit starloom/job.py report   --db music
     spark-submit starloom/job.py truncate --db music
     spark-submit starloom/job.py clean    --db music
+    spark-submit starloom/job.py finish   --db music
+    spark-submit starloom/job.py undo     --db music
 
 ``load`` builds, checks, repairs and publishes the star schema and ends with the report;
 the others work on tables an earlier run left in the session's catalogue. ``clean`` deletes the
-files of replaced rows.
+files of replaced rows. ``finish`` completes the changes that a stopped load has left, ``undo``
+takes them back; the next ``load`` does the former by itself.
 """
 
 from __future__ import annotations
@@ -25,14 +28,20 @@ if __name__ == "__main__":  # started as a file: the package lies in the folder
 
 from starloom.plans import schemas, star  # noqa: E402
 from starloom.session import SETTINGS  # noqa: E402
-from starloom.sinks import clean_old, create_tables, truncate_table  # noqa: E402
+from starloom.sinks import (  # noqa: E402
+    clean_old,
+    create_tables,
+    finish_pending,
+    truncate_table,
+    undo_pending,
+)
 from starloom.sources import drop_tables, list_tables  # noqa: E402
 
 
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="starloom")
     commands = root.add_subparsers(dest="command", required=True)
-    for name in ("create", "load", "check", "report", "truncate", "clean"):
+    for name in ("create", "load", "check", "report", "truncate", "clean", "finish", "undo"):
         commands.add_parser(name).add_argument("--db", required=True)
     create, load = commands.choices["create"], commands.choices["load"]
     for command in (create, load):
@@ -49,6 +58,10 @@ def parser() -> argparse.ArgumentParser:
     ids.add_argument("--ordered-ids", action="store_true", help="number the plays in a fixed order")
     ids.add_argument("--unordered-ids", action="store_true", help="number them as they lie (default)")
     load.add_argument("--keep-duplicates", action="store_true")
+    load.add_argument(
+        "--repair", nargs="+", default=["artists"], choices=sorted(star.REPAIRS),
+        help="dimensions to remove rows with a repeated key from",
+    )
     load.add_argument("--keep-sentinels", action="store_true")
     load.add_argument("--keep-staging", action="store_true")
     commands.choices["report"].add_argument("--mode", default="reference", choices=["reference", "unique"])
@@ -83,6 +96,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         work = truncate_table if args.command == "truncate" else clean_old
         for name in [t for t in list_tables(spark, args.db) if t in schemas.all_tables()]:
             work(spark, f"{args.db}.{name}")
+    elif args.command in ("finish", "undo"):
+        work = finish_pending if args.command == "finish" else undo_pending
+        print(f"{args.command}: {', '.join(work(spark, args.db)) or 'nothing'}")
     elif args.command == "check":
         tables = {name: spark.table(f"{args.db}.{name}") for name in star.STAR}
         show_checks({n: c.collect() for n, c in star.duplicate_checks(tables).items()})
@@ -99,6 +115,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             buckets=args.buckets,
             load_mode="PERMISSIVE" if args.tolerant else "FAILFAST",
             remove_duplicates=not args.keep_duplicates,
+            repair=args.repair,
             clean_sentinels=not args.keep_sentinels,
             drop_staging=not args.keep_staging,
             append=args.append,

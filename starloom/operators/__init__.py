@@ -17,6 +17,7 @@ from starloom.operators.quality import (
     repeated_keys,
     require_not_null,
     sentinel_probe,
+    suspect_keys,
 )
 from starloom.operators.reports import top_sorted, topk_join_agg
 
@@ -42,6 +43,7 @@ __all__ = [
     "row_number_per_key",
     "sentinel_probe",
     "surrogate_key",
+    "suspect_keys",
     "top_sorted",
     "topk_join_agg",
 ]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.functions.ordering import null_safe_match, sort_columns
 from starloom.sinks.scratch import pin
@@ -28,12 +28,19 @@ def count_per_key(df: DataFrame, keys: Sequence[str], name: str = "num_duplicate
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], name)
 
 
+def suspect_keys(df: DataFrame, keys: Sequence[str], name: str = "_rows") -> DataFrame:
+    """Every key that is repeated or has a NULL part, with its row count, stored: what both a
+    duplicate report and a key audit look at, from one grouping of the table."""
+    return pin(dq_unique(df, keys, name), "suspects")
+
+
 def dup_check_window(
     df: DataFrame,
     keys: Sequence[str],
     limit: int = 5,
     out_cols: Sequence[str] | None = None,
     name: str = "num_duplicates",
+    suspects: DataFrame | None = None,
 ) -> DataFrame:
     """The first ``limit`` rows (rows, not keys) by group size, if repeated.
 
@@ -43,9 +50,10 @@ def dup_check_window(
     show beside the count (default all).
 
     Rows of a group look the same in this output, so each of the leading groups is
-    repeated by its size instead of reading the table a second time.
+    repeated by its size instead of reading the table a second time. ``suspects`` are the
+    table's :func:`suspect_keys` if they are there already; it is not read then.
     """
-    groups = df.groupBy(*keys).agg(F.count("*").alias(name)).filter(F.col(name) > 1)
+    groups = _repeated(df, keys, F.count("*"), name, suspects)
     order = sort_columns([(name, "desc", "last"), *keys])
     leading = groups.orderBy(*order).limit(limit)
     copies = F.explode(F.sequence(F.lit(1), F.least(F.col(name), F.lit(limit)).cast("int")))
@@ -59,14 +67,28 @@ def dup_check_group(
     count_col: str | None = None,
     limit: int = 5,
     name: str = "num_duplicates",
+    suspects: DataFrame | None = None,
 ) -> DataFrame:
-    """The ``limit`` most repeated keys; ``count_col`` counts its non-NULL values only."""
+    """The ``limit`` most repeated keys; ``count_col`` counts its non-NULL values only.
+    ``suspects``, which count rows, are for reports without it."""
+    if suspects is not None and count_col is not None:
+        raise ValueError("suspects count rows, not values")
     counted = F.count("*") if count_col is None else F.count(count_col)
-    groups = df.groupBy(*keys).agg(counted.alias(name)).filter(F.col(name) > 1)
+    groups = _repeated(df, keys, counted, name, suspects)
     order = sort_columns([(name, "desc", "last"), *keys])
     return groups.orderBy(*order).limit(limit).select(name, *keys)
 
 
+def _repeated(
+    df: DataFrame, keys: Sequence[str], counted: Column, name: str, suspects: DataFrame | None
+) -> DataFrame:
+    if suspects is None:
+        groups = df.groupBy(*keys).agg(counted.alias(name))
+    else:
+        groups = suspects.select(*keys, F.col("_rows").alias(name))
+    return groups.filter(F.col(name) > 1)
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The keys that occur more than once, NULL keys included."""
     return df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter("_rows > 1").drop("_rows")

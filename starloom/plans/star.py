@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,15 +23,21 @@ from starloom.operators import (
     require_not_null,
     sentinel_probe,
     surrogate_key,
+    suspect_keys,
     topk_join_agg,
 )
 from starloom.plans import schemas
 from starloom.sinks.publish import (
     Bucketing,
+    Work,
     check_layout,
+    create_empty,
     drop_table,
+    finish_pending,
     publish,
+    publish_all,
     table_buckets,
+    table_properties,
 )
 from starloom.sinks.scratch import scratch_run
 from starloom.sources import (
@@ -53,6 +60,18 @@ ARTIST_ORDER = [
     ("location", "desc", "last"),
 ]
 
+# What a dimension's rows are repaired by: key, and which row of a key stays, the others by
+# every column so that the result does not depend on their order.
+REPAIRS = {
+    "users": (["user_id"], ["level", "last_name", "first_name", "gender"]),
+    "songs": (["song_id"], [("year", "desc", "last"), "title", "artist_id", "duration"]),
+    "artists": (ARTIST_KEYS, ARTIST_ORDER),
+    "time": (["start_time"], ["hour"]),
+}
+
+# Table property with the last id given to a play.
+LAST_ID = "starloom.last_id"
+
 # Plays per bucket, where the caller does not say how many buckets.
 BUCKET_ROWS = 4_000_000
 
@@ -141,28 +160,45 @@ def top_artists(plays: DataFrame, table: DataFrame, k: int = 5, mode: str = "ref
     )
 
 
-def duplicate_checks(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def shared_suspects(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The suspect keys of the tables whose duplicate report and key audit look at one key, so
+    that each of them is grouped once."""
+    keys = {"users": ["user_id"], "songs": ["song_id"], "time": ["start_time"]}
+    return {name: suspect_keys(tables[name], key) for name, key in keys.items() if name in tables}
+
+
+def duplicate_checks(
+    tables: dict[str, DataFrame], suspects: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """The bounded duplicate report of each of the given star tables."""
+    known = (suspects or {}).get
     checks = {
-        "users": lambda t: dup_check_window(t, ["user_id"], limit=5),
-        "songs": lambda t: dup_check_window(t, ["song_id"], limit=5),
+        "users": lambda t: dup_check_window(t, ["user_id"], limit=5, suspects=known("users")),
+        "songs": lambda t: dup_check_window(t, ["song_id"], limit=5, suspects=known("songs")),
         "artists": lambda t: dup_check_window(t, ARTIST_KEYS, limit=20, out_cols=[]),
-        "time": lambda t: dup_check_group(t, ["start_time"]),
+        "time": lambda t: dup_check_group(t, ["start_time"], suspects=known("time")),
         "songplays": lambda t: dup_check_group(t, ["start_time"], count_col="songplay_id"),
     }
     return {name: check(tables[name]) for name, check in checks.items() if name in tables}
 
 
-def key_audits(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def key_audits(
+    tables: dict[str, DataFrame], suspects: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """Declared keys and required columns, which Parquet tables do not enforce."""
-    return {
-        "songplays_key": dq_unique(tables["songplays"], ["songplay_id"]),
-        "users_key": dq_unique(tables["users"], ["user_id"]),
-        "songs_key": dq_unique(tables["songs"], ["song_id"]),
-        "artists_key": dq_unique(tables["artists"], ["artist_id"]),
-        "time_key": dq_unique(tables["time"], ["start_time"]),
-        "songplays_required": dq_not_null(tables["songplays"], schemas.REQUIRED),
+    known = {n: s.withColumnRenamed("_rows", "num_rows") for n, s in (suspects or {}).items()}
+    keys = {
+        "songplays": "songplay_id",
+        "users": "user_id",
+        "songs": "song_id",
+        "artists": "artist_id",
+        "time": "start_time",
     }
+    audits = {
+        f"{name}_key": known[name] if name in known else dq_unique(tables[name], [key])
+        for name, key in keys.items()
+    }
+    return audits | {"songplays_required": dq_not_null(tables["songplays"], schemas.REQUIRED)}
 
 
 @dataclass
@@ -248,20 +284,36 @@ def run_star(spark: SparkSession, log_path: str, catalogue_path: str, db: str, *
 
     Options: ``log_paths_file`` maps the log's paths; ``scale`` decimal digits are kept;
     ``buckets`` of plays and songs (default: those of the tables, or by the number of plays);
-    ``load_mode`` FAILFAST, or PERMISSIVE to set lines with an error and incomplete plays aside
+    ``repair``: dimensions of which rows with a repeated key are removed if their duplicate
+    report finds any (default artists only); ``load_mode`` FAILFAST, or PERMISSIVE to set lines with an error and incomplete plays aside
     in tables of their own; ``append=True`` adds this load's rows to the star tables instead of
     replacing them; ``ordered_ids=True`` numbers the plays in a fixed order, which sorts the
     fact, otherwise as they lie; ``remove_duplicates``, ``clean_sentinels`` and
     ``drop_staging`` (all True).
 
-    All five tables are checked for columns and buckets before the first is written.
-    Intermediate results are gone when the run ends.
+    All five tables are checked for columns and buckets before the first is written, and all
+    five are written before the first is changed. Changes that a stopped run has left are
+    completed first. Intermediate results are gone when the run ends.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    finish_pending(spark, db)
     with scratch_run(spark):
         return _run(spark, log_path, catalogue_path, db, **options)
 
 
+def _last_id(spark: SparkSession, table: str) -> int:
+    """The last id given to a play: as noted beside the rows, if there are as many rows, which
+    file footers tell; else by a scan of the ids."""
+    noted = table_properties(spark, table).get(LAST_ID)
+    if noted is not None and spark.table(table).count() == int(noted):
+        return int(noted)
+    return _scan_last_id(spark.table(table))
+
+
+def _scan_last_id(plays: DataFrame) -> int:
+    return plays.agg(F.coalesce(F.max("songplay_id"), F.lit(0))).first()[0]
+
+
 def _run(
     spark: SparkSession,
     log_path: str,
@@ -272,6 +324,7 @@ def _run(
     buckets: int | None = None,
     load_mode: str = "FAILFAST",
     remove_duplicates: bool = True,
+    repair: Sequence[str] = ("artists",),
     clean_sentinels: bool = True,
     drop_staging: bool = True,
     append: bool = False,
@@ -279,18 +332,18 @@ def _run(
 ) -> StarRun:
     star = {name: schemas.all_tables(scale)[name] for name in STAR}
     run = StarRun(tables={})
+    if unknown := set(repair) - set(REPAIRS):
+        raise ValueError(f"no rule to repair {sorted(unknown)}")
 
     def table(name: str) -> DataFrame:
         return spark.table(f"{db}.{name}")
 
-    def filled(name: str) -> bool:
-        return spark.catalog.tableExists(f"{db}.{name}") and not table(name).isEmpty()
-
-    if append and filled("songplays"):
+    # Asked once: nothing below fills a table before all are published.
+    filled = {n for n in STAR if spark.catalog.tableExists(f"{db}.{n}") and not table(n).isEmpty()}
+    if append and "songplays" in filled:
         # Plain questions to the catalogue, before anything is parsed.
-        for name in STAR:
-            if filled(name):
-                check_layout(spark.createDataFrame([], star[name]), f"{db}.{name}", buckets_too=False)
+        for name in filled:
+            check_layout(spark.createDataFrame([], star[name]), f"{db}.{name}", buckets_too=False)
 
     staged = load_staging(spark, log_path, catalogue_path, db, log_paths_file, scale, load_mode)
     events, catalogue = staged["staging_events"], staged["staging_songs"]
@@ -306,10 +359,10 @@ def _run(
     else:
         plays = require_not_null(matched, schemas.REQUIRED)
     first_id = 1
-    if append and filled("songplays"):
-        first_id += table("songplays").agg(F.coalesce(F.max("songplay_id"), F.lit(0))).first()[0]
+    if append and "songplays" in filled:
+        first_id += _last_id(spark, f"{db}.songplays")
     if buckets is None:
-        known = table_buckets(spark, f"{db}.songplays") if filled("songplays") else None
+        known = table_buckets(spark, f"{db}.songplays") if "songplays" in filled else None
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
         buckets = known[0] if known else max(least, events.count() // BUCKET_ROWS)
     bucketed = layout(buckets)
@@ -328,47 +381,60 @@ def _run(
         frame = frames.get(name)
         if frame is None:
             frame = spark.createDataFrame([], star[name])
-        if append and filled(name):
+        if append and name in filled:
             check_layout(frame, f"{db}.{name}", buckets_too=False)
-        else:
-            _make_room(spark, f"{db}.{name}", frame, bucketed.get(name))
-
-    how = "append" if append else "swap"
-
-    def put(name: str, frame: DataFrame, mode: str) -> None:
-        # Sorted files let scans skip; bucketed files are sorted within the bucket.
-        spec = table_buckets(spark, f"{db}.{name}") if filled(name) else bucketed.get(name)
-        publish(frame, f"{db}.{name}", mode, spec, [star[name].fields[0].name])
-
-    # What the tables will hold is checked and repaired before it is published.
+            continue
+        sorted_by = [star[name].fields[0].name]
+        _make_room(spark, f"{db}.{name}", frame, bucketed.get(name))
+        if not spark.catalog.tableExists(f"{db}.{name}"):
+            create_empty(spark, f"{db}.{name}", star[name], bucketed.get(name), sorted_by)
+
+    # What the tables will hold is checked and repaired before it is published. Tables that
+    # are not to be repaired are checked as they were published.
+    looked_at = dict.fromkeys(["artists", "songs", *(repair if remove_duplicates else [])])
     whole = {
-        name: table(name).unionByName(frames[name]) if append and filled(name) else frames[name]
-        for name in ("songs", "artists")
+        name: table(name).unionByName(frames[name]) if append and name in filled else frames[name]
+        for name in looked_at
     }
-    # At most 20 rows come back.
-    run.duplicates["artists"] = duplicate_checks({"artists": whole["artists"]})["artists"].collect()
+    before = [n for n in looked_at if n == "artists" or (remove_duplicates and n in repair)]
+    # At most 20 rows each come back.
+    reports = duplicate_checks({n: whole[n] for n in before})
+    run.duplicates = {name: report.collect() for name, report in reports.items()}
     run.sentinels = sentinel_probe(whole["songs"], "year").first()[0]
-    changed = {}
-    if remove_duplicates and run.duplicates["artists"]:
-        changed["artists"] = clean_artists(whole["artists"])
+    changed = {
+        name: dedupe_ordered(whole[name], *REPAIRS[name])
+        for name in (repair if remove_duplicates else [])
+        if run.duplicates[name]
+    }
     if clean_sentinels and run.sentinels:
-        changed["songs"] = clean_songs(whole["songs"])
+        changed["songs"] = clean_songs(changed.get("songs", whole["songs"]))
     run.repaired = list(changed)
 
     order = PLAY_ORDER if ordered_ids else None
     numbered = surrogate_key(plays, order, "songplay_id", first_id)
     typed = numbered.select([F.col(f.name).cast(f.dataType) for f in star["songplays"].fields])
-    put("songplays", typed, how)
-    for name, frame in frames.items():
-        put(name, changed.get(name, frame), "swap" if name in changed else how)
+
+    def work(name: str, frame: DataFrame) -> Work:
+        swapped = not append or name in changed
+        # Sorted files let scans skip; bucketed files are sorted within the bucket.
+        spec = table_buckets(spark, f"{db}.{name}") if name in filled else bucketed.get(name)
+        sorted_by = [star[name].fields[0].name]
+        return Work(f"{db}.{name}", frame, "swap" if swapped else "append", spec, sorted_by)
+
+    works = [work(name, changed.get(name, frame)) for name, frame in frames.items()]
+    fact = work("songplays", typed)
+    # Footers again: ids are dense.
+    fact.describe = lambda written: {LAST_ID: str(first_id - 1 + written.count())}
+    publish_all(spark, db, [fact, *works])
 
     tables = {name: table(name) for name in STAR}
+    suspects = shared_suspects(tables)
     # At most 5 rows per check come back.
-    checks = duplicate_checks({n: t for n, t in tables.items() if n != "artists"})
-    found = {name: check.collect() for name, check in checks.items()}
+    rest = {n: t for n, t in tables.items() if n not in run.duplicates}
+    found = {name: check.collect() for name, check in duplicate_checks(rest, suspects).items()}
     found |= run.duplicates
     run.duplicates = {name: found[name] for name in (*STAR[1:], STAR[0])}
-    for name, audit in key_audits(tables).items():
+    for name, audit in key_audits(tables, suspects).items():
         if name.endswith("_key"):
             run.audits[name] = audit.count()
         else:

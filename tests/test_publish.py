@@ -1,3 +1,5 @@
+import importlib
+import uuid
 from pathlib import Path
 
 import pytest
@@ -5,15 +7,20 @@ from pyspark.sql import functions as F, types as T
 
 from starloom.operators import delete_using_anti
 from starloom.sinks import (
+    Work,
     clean_old,
+    create_empty,
     create_tables,
+    finish_pending,
     pin,
     publish,
+    publish_all,
     scratch_root,
     scratch_run,
     truncate_table,
+    undo_pending,
 )
-from starloom.sinks.publish import table_buckets
+from starloom.sinks.publish import pending, table_buckets
 from starloom.sources import drop_tables, list_tables
 
 
@@ -225,3 +232,108 @@ def test_null_keys_in_deletes(spark):
     assert [r.v for r in safe.collect()] == [3]
     plain = delete_using_anti(df, victims, ["k"], null_safe=False)
     assert sorted(r.v for r in plain.collect()) == [2, 3]
+
+
+# --- several tables together ------------------------------------------------------------
+
+
+publishing = importlib.import_module("starloom.sinks.publish")
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.fixture
+def several(spark):
+    """Three tables with rows: two to be swapped, one of them in buckets, one appended to."""
+    name = f"together_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    schema = spark.range(0).schema
+    create_empty(spark, f"{name}.b", schema, (3, ["id"]), ["id"])
+    for table in "abc":
+        publish(spark.range(4), f"{name}.{table}", bucket_by=(3, ["id"]) if table == "b" else None)
+    return name
+
+
+def works(spark, db):
+    rows = spark.range(10, 13)
+    return [
+        Work(f"{db}.a", rows, describe=lambda written: {"rows": str(written.count())}),
+        Work(f"{db}.b", rows, bucket_by=(3, ["id"])),
+        Work(f"{db}.c", rows, "append"),
+    ]
+
+
+OLD = {t: [0, 1, 2, 3] for t in "abc"}
+NEW = {"a": [10, 11, 12], "b": [10, 11, 12], "c": [0, 1, 2, 3, 10, 11, 12]}
+
+
+def state(spark, db):
+    return {t: values(spark, f"{db}.{t}") for t in list_tables(spark, db)}
+
+
+def stop_at(patch, spark, name, call):
+    """Let the given call of a step of publishing fail, before or after it was done."""
+    original, seen = getattr(publishing, name), []
+
+    def step(*args, **options):
+        seen.append(1)
+        if len(seen) == call:
+            raise Stopped
+        return original(*args, **options)
+
+    patch.setattr(publishing, name, step)
+
+
+STEPS = [("_fill", n) for n in (1, 2, 3)] + [("_note", n) for n in (1, 2, 3)]
+STEPS += [("_apply", n) for n in (1, 2, 3)] + [("_move_files", 1), ("_set_properties", 1)]
+
+
+def test_tables_are_published_together(spark, several):
+    publish_all(spark, several, works(spark, several))
+    assert state(spark, several) == NEW and pending(spark, several) == (False, [])
+    assert publishing.table_properties(spark, f"{several}.a")["rows"] == "3"
+    assert table_buckets(spark, f"{several}.b") == (3, ["id"])
+    assert finish_pending(spark, several) == [] == undo_pending(spark, several)
+    publish_all(spark, several, works(spark, several))
+    assert values(spark, f"{several}.c") == sorted([*NEW["c"], 10, 11, 12])
+
+
+@pytest.mark.parametrize("step, call", STEPS)
+@pytest.mark.parametrize("recover", [finish_pending, undo_pending])
+def test_a_stop_leaves_all_old_or_all_new_tables(spark, several, monkeypatch, step, call, recover):
+    with monkeypatch.context() as patch:
+        stop_at(patch, spark, step, call)
+        with pytest.raises(Stopped):
+            publish_all(spark, several, works(spark, several))
+    ready = pending(spark, several)[0]
+    recover(spark, several)
+    assert state(spark, several) == (NEW if ready and recover is finish_pending else OLD)
+    assert pending(spark, several) == (False, [])
+    # Nothing of it is in the way of the next run.
+    publish_all(spark, several, works(spark, several))
+    if not ready or recover is undo_pending:
+        assert state(spark, several) == NEW
+
+
+def test_half_moved_files_are_moved_or_taken_back(spark, several, monkeypatch):
+    rows = spark.range(10, 40, 1, 3).repartition(3)
+    for recover, expected in ((undo_pending, OLD["c"]), (finish_pending, [*OLD["c"], *range(10, 40)])):
+        with monkeypatch.context() as patch:
+            stop_at(patch, spark, "_apply", 1)
+            with pytest.raises(Stopped):
+                publish_all(spark, several, [Work(f"{several}.c", rows, "append")])
+        change = pending(spark, several)[1][0]
+        folder, own = (Path(p.removeprefix("file:")) for p in (change.folder, change.old))
+        moved = sorted(folder.glob("part-*"))[0]
+        moved.rename(own / moved.name)
+        recover(spark, several)
+        assert values(spark, f"{several}.c") == expected and not folder.exists()
+
+
+def test_publishing_together_refuses_other_columns_first(spark, several):
+    wrong = Work(f"{several}.b", spark.range(3).withColumnRenamed("id", "x"), bucket_by=(3, ["id"]))
+    with pytest.raises(ValueError, match="columns differ"):
+        publish_all(spark, several, [works(spark, several)[0], wrong])
+    assert state(spark, several) == OLD and pending(spark, several) == (False, [])

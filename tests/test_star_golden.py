@@ -1,5 +1,6 @@
 """The whole job on the mini warehouse, against hand-computed rows."""
 
+import importlib
 from datetime import datetime
 
 import pytest
@@ -169,10 +170,88 @@ def test_second_run_gives_the_same_tables(spark, paths, whole):
     assert {n: rows(t) for n, t in again.tables.items()} == before
 
 
-def test_appending_twice_doubles_and_is_reported(spark, paths):
+def test_appending_twice_doubles_and_is_reported(spark, paths, monkeypatch):
+    def scanned(plays):
+        raise AssertionError("the ids of the published plays were read")
+
+    monkeypatch.setattr(star, "_scan_last_id", scanned)
     star.run_star(spark, *paths, db="golden_twice")
     second = star.run_star(spark, *paths, db="golden_twice", append=True)
     assert second.tables["time"].count() == 12
     assert [r.num_duplicates for r in second.duplicates["time"]] == [2] * 5
     ids = [r[0] for r in rows(second.tables["songplays"], "songplay_id")]
     assert sorted(ids) == list(range(1, 15))
+
+
+def test_last_id_is_scanned_if_the_note_does_not_fit(spark, paths):
+    star.run_star(spark, *paths, db="golden_note")
+    table = "golden_note.songplays"
+    assert star._last_id(spark, table) == 7
+    plan = spark.table(table).groupBy().count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    # Rows that another program has added.
+    spark.sql(f"INSERT INTO {table} SELECT songplay_id + 100, * EXCEPT (songplay_id) FROM {table}")
+    assert star._last_id(spark, table) == 107
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ('{star.LAST_ID}')")
+    assert star._last_id(spark, table) == 107
+
+
+def test_any_audited_dimension_is_repaired_on_request(spark, paths):
+    run = star.run_star(spark, *paths, db="golden_repair", repair=["users", "songs", "artists", "time"])
+    assert rows(run.tables["users"], "user_id", "level") == [(1, "paid"), (2, "free"), (3, "free")]
+    assert run.repaired == ["users", "artists", "songs"]
+    assert [tuple(r) for r in run.duplicates["users"]] == [(2, 2), (2, 2)]
+    assert run.audits["users_key"] == run.audits["songs_key"] == run.audits["time_key"] == 0
+    first = {name: rows(run.tables[name]) for name in ("users", "songs", "time")}
+    # Copies that an append brings are repaired in the whole table.
+    again = star.run_star(spark, *paths, db="golden_repair", append=True, repair=["users", "songs", "time"])
+    assert again.repaired == ["users", "songs", "time"]
+    assert {name: rows(again.tables[name]) for name in first} == first
+    # Not asked for this time: five rows left by the first load, seven new ones.
+    assert again.tables["artists"].count() == 5 + 7
+    assert rows(again.tables["songs"], "song_id", "year")[1] == ("SO2", None)
+    with pytest.raises(ValueError, match="no rule"):
+        star.run_star(spark, *paths, db="golden_repair", repair=["songplays"])
+
+
+def test_each_key_is_grouped_once(spark, whole, monkeypatch):
+    """Reports and audits of users, songs and time read stored suspects, not the tables."""
+    suspects = star.shared_suspects(whole.tables)
+    checks = {**star.duplicate_checks(whole.tables, suspects), **star.key_audits(whole.tables, suspects)}
+    for name in ("users", "songs", "time"):
+        for check in (checks[name], checks[f"{name}_key"]):
+            assert all("suspects" in f for f in check.inputFiles())
+    plain = {**star.duplicate_checks(whole.tables), **star.key_audits(whole.tables)}
+    assert {n: rows(c) for n, c in checks.items()} == {n: rows(c) for n, c in plain.items()}
+
+
+STOPS = [("_fill", 1, False), ("_fill", 4, False), ("_note", 2, False)]
+STOPS += [("_apply", n, False) for n in (1, 2, 3, 4, 5)] + [("_fill", 5, True), ("_apply", 3, True)]
+
+
+@pytest.mark.parametrize("step, call, append", STOPS)
+def test_a_stopped_job_leaves_five_old_or_five_new_tables(spark, paths, monkeypatch, step, call, append):
+    publishing = importlib.import_module("starloom.sinks.publish")
+    db = f"golden_stop_{step}_{call}_{append}".lower()
+    if append:
+        star.run_star(spark, *paths, db=db, remove_duplicates=False)
+    old = {n: spark.table(f"{db}.{n}").count() if append else 0 for n in star.STAR}
+    original, seen = getattr(publishing, step), []
+
+    def stop(*args, **options):
+        # Publishing the staging tables counts only from the star tables on.
+        noted = step == "_note" or any(f".{n}" in str(args) for n in star.STAR)
+        seen.extend([1] if noted else [])
+        if noted and len(seen) == call:
+            raise KeyboardInterrupt
+        return original(*args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(publishing, step, stop)
+        with pytest.raises(KeyboardInterrupt):
+            star.run_star(spark, *paths, db=db, append=append, remove_duplicates=False)
+    publishing.finish_pending(spark, db)
+    now = {n: spark.table(f"{db}.{n}").count() for n in star.STAR}
+    loaded = {"songplays": 7, "users": 4, "songs": 8, "artists": 7, "time": 6}
+    new = {n: old[n] + loaded[n] for n in star.STAR}
+    assert now == (new if step == "_apply" else old)
