@@ -7,7 +7,8 @@ bounds the memory by the longest document.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,6 +44,39 @@ def power(n: int, sign: int = 1) -> np.ndarray:
     return known[:n]
 
 
+#: Words whose hashes a worker remembers.
+KNOWN_WORDS = 1 << 20
+_known: dict[bytes, int] = {}
+
+
+def quick_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of all words at once. They are sums of letters times powers modulo 2**64, so there
+    are words built to collide; good for features, not for telling texts apart."""
+    n = len(data)
+    sums = np.empty(n + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(_BYTE[data] * power(n), out=sums[1:])
+    value = (sums[end] - sums[start]) * power(n, -1)[start]
+    return mix(value + (end - start).astype(np.uint64))
+
+
+def sound_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits of a cryptographic hash of each word, computed once per distinct word."""
+    if len(_known) > KNOWN_WORDS:
+        _known.clear()
+    raw, out = data.tobytes(), np.empty(len(start), np.uint64)
+    get = _known.get
+    for k, (a, b) in enumerate(zip(start.tolist(), end.tolist())):
+        word = raw[a:b]
+        found = get(word)
+        if found is None:
+            found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+            if b - a < 64:  # long runs of letters are not worth the room
+                _known[word] = found
+        out[k] = found
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -94,7 +128,12 @@ class Words:
     at: np.ndarray
 
 
-def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = WHITE) -> Words:
+def words(
+    data: np.ndarray,
+    offsets: np.ndarray,
+    separators: np.ndarray = WHITE,
+    hashes: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray] = quick_hashes,
+) -> Words:
     """The runs of bytes that are no separators; a document's border ends a word."""
     n, docs = len(data), len(offsets) - 1
     if n == 0:
@@ -109,13 +148,9 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = WHITE)
     last = np.empty(n, bool)  # of its word
     last[-1], last[:-1] = True, ~inside[1:] | first[1:]
     start, end = np.flatnonzero(begins), np.flatnonzero(inside & last) + 1
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_BYTE[data] * power(n), out=sums[1:])
-    value = (sums[end] - sums[start]) * power(n, -1)[start]
     at = np.searchsorted(start, offsets)
     doc = np.repeat(np.arange(docs), np.diff(at))
-    return Words(start, end, doc, mix(value + (end - start).astype(np.uint64)), at)
+    return Words(start, end, doc, hashes(data, start, end), at)
 
 
 def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -3,16 +3,17 @@
 Circulant MinHash needs two permutations: the first scatters a document's shingles over all
 32-bit positions, the second, shifted by k, gives the k-th coordinate of the signature.
 
-1. Documents with the same set of shingles form a class, named by its smallest id; only one
-   document per class goes on, so exact copies cost one row each.
+1. Documents with the same words in the same order form a class, named by its smallest id;
+   only one document per class goes on, so exact copies cost one row each.
 2. Signatures are cut into bands. Classes that agree in a band share a bucket, and a bucket is
    led by its smallest class. Leaders come from a grouping with map-side minima, members from
    a join, so no bucket is ever one task's work.
 3. All pairs that share a bucket share its leader. The members of a leader are dealt to
    blocks of bounded size; each pair of blocks is compared in one task, which
    computes shingles and signatures from the whole texts, drops pairs whose signatures are
-   far apart, and confirms the others on the full sets, likeliest first, skipping pairs that
-   are connected by then. It returns the links as stars, one row per text at most.
+   far apart, and confirms the others, likeliest first, skipping pairs that are connected by
+   then: first on the sets of shingle hashes, and what passes on the shingles themselves, word
+   for word. It returns the links as stars, one row per text at most.
 4. Connected components of these links, spread to all documents by class.
 """
 
@@ -26,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrays import FOLD, bound_batches, runs, shingles, utf8, words
+from starloom.llm.arrays import FOLD, bound_batches, runs, shingles, sound_hashes, utf8, words
 from starloom.llm.components import components
 from starloom.llm.maps import mark
 from starloom.sinks.scratch import pin
@@ -74,29 +75,50 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 def sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
+    for own, _ in _texts(column):
+        yield own
+
+
+def _texts(column: pa.Array) -> Iterator[tuple[np.ndarray, bytes]]:
+    """The same, and the folded bytes of each text."""
     data, offsets = utf8(column)
     for a, b in runs(offsets):
         part = offsets[a : b + 1] - offsets[a]
         folded = FOLD[data[offsets[a] : offsets[b]]]
-        values, at = shingles(words(folded, part), WORDS)
+        values, at = shingles(words(folded, part, hashes=sound_hashes), WORDS)
         for d in range(b - a):
             own = np.sort(values[at[d] : at[d + 1]])
-            yield own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own
+            own = own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own
+            yield own, folded[part[d] : part[d + 1]].tobytes()
+
+
+def shingle_set(folded: bytes) -> set[tuple[bytes, ...]]:
+    """The shingles of a folded text themselves."""
+    found = folded.split()  # at the six ASCII separators
+    if not found:
+        return set()
+    return set(zip(*[found[k:] for k in range(WORDS)])) if len(found) >= WORDS else {tuple(found)}
+
+
+def alike(a: set, b: set) -> bool:
+    """Similar enough to be linked."""
+    both = len(a & b)
+    return both > 0 and 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (doc_id, n_shingles, set digest, one hash per band)."""
+    """(doc_id, text) to (doc_id, n_shingles, digest of the words, one hash per band)."""
     salt = (np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
     turn = np.array([1, 0x100000001B3, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
     for batch in batches:
         count, digests, bands = [], [], []
-        for own in sets(batch.column(1)):
+        for own, folded in _texts(batch.column(1)):
             count.append(len(own))
             if not len(own):
                 digests.append(None)
                 bands.append(None)
                 continue
-            digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+            digests.append(hashlib.blake2b(b" ".join(folded.split()), digest_size=16).digest())
             rows = signature(own).reshape(BANDS, ROWS).astype(np.uint64) + np.uint64(1)
             mixed = ((rows + salt) * turn[None, :ROWS]).sum(axis=1, dtype=np.uint64)
             mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + salt[:, 0]
@@ -129,7 +151,7 @@ def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
     """The links within a pair of blocks, as stars around the smallest id."""
     pdf = pdf.drop_duplicates(["_id", "text"]).sort_values(["_id", "text"])
     ids = pdf["_id"].to_numpy()
-    own = list(sets(pa.array(pdf["text"], pa.string())))
+    own, folded = map(list, zip(*_texts(pa.array(pdf["text"], pa.string()))))
     marks = np.stack([signature(s) for s in own]).astype(np.uint32)
     sizes = np.array([len(s) for s in own])
     block = pdf["_block"].to_numpy()
@@ -152,12 +174,17 @@ def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
     order = np.argsort(-np.concatenate(shares).astype(np.int64), kind="stable")
     left, right = np.concatenate(left)[order], np.concatenate(right)[order]
     forest = _Forest(len(ids))
+    last: tuple[int, set] = (-1, set())  # a text is often confirmed against several
     for x, y in zip(left.tolist(), right.tolist()):
         rx, ry = forest.root(x), forest.root(y)
         if rx == ry:
             continue
         both = len(np.intersect1d(own[x], own[y], assume_unique=True))
-        if 100 * both >= PERCENT * (sizes[x] + sizes[y] - both):
+        if 100 * both < PERCENT * (sizes[x] + sizes[y] - both):
+            continue
+        if last[0] != x:
+            last = x, shingle_set(folded[x])
+        if alike(last[1], shingle_set(folded[y])):
             forest.up[max(rx, ry)] = min(rx, ry)
     roots = np.array([forest.root(x) for x in range(len(ids))])
     linked = ids[roots] != ids

@@ -2,12 +2,13 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
 from cases import AWKWARD, awkward, empty, rows
 from compare import connect, duck_rows, spark_rows
-from starloom.llm import near_dedup, queries
+from starloom.llm import arrays, near_dedup, queries
 from starloom.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -69,6 +70,41 @@ def test_family_around_the_threshold(spark, monkeypatch, block):
     assert rows(found) == brute(docs)
 
 
+def thue_morse(length, letters):
+    return "".join(letters[bin(k).count("1") % 2] for k in range(length))
+
+
+def test_words_built_to_collide_stay_apart(spark):
+    """Sums of letters times powers modulo 2**64 are equal for these words, for every base."""
+    a, b = thue_morse(1024, "ab"), thue_morse(1024, "ba")
+    data = np.frombuffer((a + " " + b).encode(), np.uint8)
+    at = np.array([0, len(data)])
+    assert len(set(arrays.words(data, at).hash.tolist())) == 1
+    assert len(set(arrays.words(data, at, hashes=arrays.sound_hashes).hash.tolist())) == 2
+    docs = [(1, a), (2, b), (3, f"{a} x y z w"), (4, f"{b} x y z w"), (5, f"{a}  X\tY z w")]
+    found = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert rows(found) == brute(docs)
+    assert [r.component_id for r in found.orderBy("doc_id").collect()] == [1, 2, 3, 4, 3]
+
+
+def test_links_are_confirmed_on_the_shingles(spark, monkeypatch):
+    """Even if all hashes collide, no text without a common shingle is linked."""
+    def same(data, start, end):
+        return np.full(len(start), 7, np.uint64)
+
+    monkeypatch.setattr(near_dedup, "sound_hashes", same)
+    texts = [" ".join(f"{x}{k}" for k in range(8)) for x in "abc"] + [" ".join(f"a{k}" for k in range(8)) + " "]
+    pdf = pd.DataFrame({"_id": [1, 2, 3, 4], "text": texts, "_block": 0, "_a": 0, "_b": 0})
+    assert near_dedup._confirm(pdf).values.tolist() == [[4, 1]]
+
+
+def test_same_shingles_in_another_order_are_linked(spark):
+    parts = [" ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))]
+    docs = [(7, " ".join(parts)), (3, " ".join(parts[::-1])), (5, " ".join(parts * 2))]
+    found = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert rows(found) == brute(docs) and {r.component_id for r in found.collect()} == {3}
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark, component_id=1, kept=False, bucket=3, leader=4, digest="x")
     assert rows(near_dedup.near_duplicates(docs)) == brute([(d, t) for d, t, *_ in AWKWARD])
