@@ -13,7 +13,9 @@ Everything here is a Spark expression or join; no Python runs on the executors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.sinks.scratch import pin
 
@@ -41,41 +43,50 @@ KINDS = ("assign", "access", "hex", "secret", "endpoint")
 _SPAN = "array<struct<start: long, kind: int, end: long>>"
 
 
-def _spans(text: Column, pattern: str, kind: str, value: int = 0, least: int = 0) -> Column:
-    """Where ``pattern`` matches, leftmost and without overlaps, in code points; matches whose
-    group ``value`` is shorter than ``least`` are dropped after they were found.
+_MATCH = "array<struct<gap: long, size: long, long: boolean>>"
 
-    A match begins after all matches before it and all text between them, so the places are
-    running sums of lengths.
-    """
+
+def _matches(text: Column, pattern: str, value: int = 0, least: int = 0) -> Column:
+    """The matches of ``pattern``, leftmost and without overlaps: code points since the match
+    before, code points of the match, and whether its group ``value`` has ``least`` of them."""
     regex = F.lit(pattern)
-    between = F.split(text, pattern, -1)
     whole = F.regexp_extract_all(text, regex, F.lit(0))
-    values = F.regexp_extract_all(text, regex, F.lit(value))
-    gaps = F.slice(between, 1, F.size(whole))
-    sizes = F.transform(
-        F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), values.alias("value")),
-        lambda m: F.struct(
+    parts = [F.split(text, pattern, -1).alias("gap"), whole.alias("whole")]
+    if value:
+        parts.append(F.regexp_extract_all(text, regex, F.lit(value)).alias("value"))
+
+    def sizes(m: Column) -> Column:
+        long = F.length(m["value"]) >= least if value else F.lit(True)
+        return F.struct(
             F.length(m["gap"]).cast("bigint").alias("gap"),
             F.length(m["whole"]).cast("bigint").alias("size"),
-            (F.length(m["value"]) >= least).alias("long"),
-        ),
-    )
-    number = KINDS.index(kind)
-
-    def add(state: Column, m: Column) -> Column:
-        start = state["at"] + m["gap"]
-        end = start + m["size"]
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"))
-        kept = F.when(m["long"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), kept.alias("spans"))
+            F.coalesce(long, F.lit(False)).alias("long"),
+        )
 
-    none = F.array().cast(_SPAN)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
-    found = F.aggregate(sizes, start, add, lambda state: state["spans"])
+    # There is one more gap than there are matches.
+    found = F.filter(F.arrays_zip(*parts), lambda m: m["whole"].isNotNull())
+    found = F.transform(found, sizes).cast(_MATCH)
+    none = F.array().cast(_MATCH)
     return F.when(F.coalesce(F.regexp_like(text, regex), F.lit(False)), found).otherwise(none)
 
 
+def _placed(matches: DataFrame) -> DataFrame:
+    """(digest, span) of each match of (digest, found), where ``found`` has a list per kind.
+
+    A match begins after all matches before it and all text between them, so its place is a
+    running sum. The sums are windows over the matches of a text and kind, which Spark sorts and
+    streams: the cost grows with the number of findings, not with its square.
+    """
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"found.{n}").alias("m")) for k, n in enumerate(KINDS)])
+    listed = matches.select("digest", F.explode(kinds).alias("of"))
+    each = listed.select("digest", "of.kind", F.posexplode("of.m").alias("pos", "m"))
+    before = Window.partitionBy("digest", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("m.gap") + F.col("m.size")).over(before)
+    ended = each.withColumn("_end", end).filter("m.long")
+    span = F.struct((F.col("_end") - F.col("m.size")).alias("start"), "kind", F.col("_end").alias("end"))
+    return ended.select("digest", span.alias("span"))
+
+
 def _written(spans: Column) -> Column:
     """kind:start:end of each span, joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -120,41 +131,45 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     kept = [c for c in docs.columns if c not in (text, "spans")]
     whole = F.coalesce(F.col(text), F.lit(""))
+    patterns = {
+        "assign": _matches(whole, ASSIGN, 2, LEAST_VALUE),
+        "access": _matches(whole, ACCESS),
+        "hex": _matches(whole, HEX),
+        "secret": _matches(whole, BARE),
+        "endpoint": _matches(whole, ENDPOINT),
+    }
+    found = F.struct(*[c.alias(k) for k, c in patterns.items()])
     scanned = docs.select(
         F.struct(F.lit(0), *[F.col(f"`{c}`") for c in kept]).alias("_own"),
         F.sha2(whole, 256).alias("_sha"),
-        F.concat(
-            _spans(whole, ASSIGN, "assign", 2, LEAST_VALUE),
-            _spans(whole, ACCESS, "access"),
-            _spans(whole, HEX, "hex"),
-        ).alias("_base"),
-        F.concat(_spans(whole, BARE, "secret"), _spans(whole, ENDPOINT, "endpoint")).alias("_weak"),
-    )
-    anchored = F.exists("_base", lambda s: s["kind"] == KINDS.index("access"))
-    scanned = pin(
-        scanned.withColumn("_digest", F.when(anchored & (F.size("_weak") > 0), F.col("_sha"))).drop("_sha"),
-        "secrets",
+        found.alias("_found"),
     )
+    any_found = reduce(lambda a, b: a | b, [F.size(f"_found.{k}") > 0 for k in KINDS])
+    own = [F.col("_own"), F.when(any_found, F.col("_sha")).alias("_digest")]
+    scanned = pin(scanned.select(*own, F.when(any_found, F.col("_found")).alias("_found")), "secrets")
     texts = (
         scanned.filter("_digest IS NOT NULL")
         .groupBy(F.col("_digest").alias("digest"))
-        .agg(F.first("_base").alias("base"), F.first("_weak").alias("weak"))
+        .agg(F.first("_found").alias("found"))
     )
-    parts = texts.select("digest", F.explode(F.concat("base", "weak")).alias("span"))
+    parts = pin(_placed(texts), "parts")
 
     def of(*kinds: str) -> DataFrame:
         return parts.filter(F.col("span.kind").isin([KINDS.index(k) for k in kinds]))
 
+    base = of("assign", "access", "hex")
     tokens = _near(of("secret"), of("access"))
     endpoints = _near(_near(of("endpoint"), of("access")), of("assign", "hex").union(tokens))
-    linked = (
-        tokens.union(endpoints)
+    # Stored, so that the join has plain shuffles and a hot text's rows may be split.
+    spans = pin(
+        base.union(tokens).union(endpoints)
         .groupBy(F.col("digest").alias("_text"))
-        .agg(F.collect_list("span").alias("_linked"))
+        .agg(F.array_sort(F.collect_list("span")).alias("_spans")),
+        "spans",
     )
-    found = F.concat("_base", F.coalesce("_linked", F.array().cast(_SPAN)))
-    return scanned.join(linked, F.col("_digest") == F.col("_text"), "left").select(
-        *[F.col(f"_own.`{c}`") for c in kept], F.array_sort(found).alias("spans")
+    none = F.array().cast(_SPAN)
+    return scanned.join(spans, F.col("_digest") == F.col("_text"), "left").select(
+        *[F.col(f"_own.`{c}`") for c in kept], F.coalesce("_spans", none).alias("spans")
     )
 
 

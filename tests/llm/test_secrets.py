@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from cases import AWKWARD, awkward, empty
 from starloom.llm import queries, secrets
@@ -86,3 +87,20 @@ def test_empty_table(spark):
 def test_no_python_on_the_executors(spark):
     plan = queries.op8_secrets(spark, SF)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def seconds(spark, findings):
+    text = " ".join(["0123456789abcdef01234567"] * findings)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    best = 1e9
+    for _ in range(2):
+        began = time.monotonic()
+        (row,) = secrets.secret_report(df).collect()
+        best = min(best, time.monotonic() - began)
+        assert row.n_hex == findings and row.spans.endswith(f"hex:{25 * findings - 25}:{25 * findings - 1}")
+    return best
+
+
+def test_time_is_linear_in_the_findings_of_a_text(spark):
+    seconds(spark, 1000)
+    assert seconds(spark, 64_000) < 2 * seconds(spark, 32_000)
