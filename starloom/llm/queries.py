@@ -78,8 +78,8 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives, read back and assembled."""
     path = scratch_path(spark, "warc")
-    warc.write_captures(_table(spark, sf_dir, "pages"), path)
-    return warc.resolve(warc.assemble(warc.read_warc(spark, path, payloads=False)))
+    warc.write_captures(_table(spark, sf_dir, "pages"), path, compression="gzip")
+    return warc.resolve(warc.assemble(warc.read_warc(spark, path)))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

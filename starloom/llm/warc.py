@@ -8,6 +8,7 @@ system Spark knows; they are read as whole files and cut by Content-Length.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -15,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.llm.maps import mark
+from starloom.sinks.scratch import pin
 
 #: Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -43,8 +45,16 @@ def _record(kind: Column, headers: Column, block: Column) -> Column:
     return F.concat(F.encode(head, "UTF-8"), block)
 
 
-def write_captures(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> None:
-    """Write three records per row of ``pages`` (page_id, url, html) below ``path``.
+def write_captures(
+    pages: DataFrame,
+    path: str,
+    date: str = "2024-01-01T00:00:00Z",
+    compression: str = "none",
+    captures_per_file: int = 2000,
+) -> None:
+    """Write three records per row of ``pages`` (page_id, url, html) below ``path``, at most
+    ``captures_per_file`` rows to a file, which bounds what a reading task holds.
+    ``compression="gzip"`` writes each file as one gzip member.
 
     Payloads are the html in UTF-8, null as empty. Of rows with equal payloads of at least
     ``SMALL`` bytes those with the smallest page_id are responses, the others revisits; rows
@@ -60,14 +70,22 @@ def write_captures(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     first = (
         rows.filter("_key IS NOT NULL")
         .groupBy(F.col("_key").alias("_digest"))
-        .agg(F.min("page_id").alias("_first"), F.count("*").alias("_rows"))
+        .agg(
+            F.min("page_id").alias("_first"),
+            F.min_by("url", F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("_url"),
+            F.count("*").alias("_rows"),
+        )
         .filter("_rows > 1")
         .drop("_rows")
     )
     # Payloads without a copy stay where they are; only the others are joined.
     marked = mark(rows, "_key", first.select("_digest"), "_again")
     single = marked.filter("NOT _again").withColumns(
-        {"_digest": F.lit(None).cast("string"), "_first": F.lit(None).cast(rows.schema["page_id"].dataType)}
+        {
+            "_digest": F.lit(None).cast("string"),
+            "_first": F.lit(None).cast(rows.schema["page_id"].dataType),
+            "_url": F.lit(None).cast(rows.schema["url"].dataType),
+        }
     )
     known = single.union(
         marked.filter("_again").join(first, F.col("_key") == F.col("_digest"), "left")
@@ -98,7 +116,10 @@ def write_captures(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
             page,
             F.when(F.col("_stored"), F.lit("")).otherwise(
                 F.concat(
-                    _line("WARC-Profile", F.lit(PROFILE)), _line("WARC-Refers-To-Page", F.col("_first"))
+                    _line("WARC-Profile", F.lit(PROFILE)),
+                    _line("WARC-Refers-To-Target-URI", F.col("_url")),
+                    _line("WARC-Refers-To-Date", F.lit(date)),
+                    _line("WARC-Refers-To-Page", F.col("_first")),
                 )
             ),
             F.lit(f"Content-Type: application/http; msgtype=response{BREAK}"),
@@ -125,7 +146,8 @@ def write_captures(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     )
     records = known.select(F.explode(F.array(request, answer, metadata)).alias("record"))
     # Bytes, taken as they are; the separator completes each record.
-    records.select(F.col("record").cast("string")).write.option("lineSep", END).text(path)
+    writer = records.select(F.col("record").cast("string")).write.option("lineSep", END)
+    writer.option("maxRecordsPerFile", 3 * captures_per_file).text(path, compression=compression)
 
 
 FIELDS = pa.schema(
@@ -199,13 +221,16 @@ def parse(data: bytes, file: str = "") -> Iterator[dict]:
 
 def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """The records of all archives below ``path``; ``payloads=False`` leaves their bytes out
-    (their length and digest stay). A file is one task's work and must be below 2 GB."""
+    (their length and digest stay). Files may be gzip, of one member or a member a record. A file
+    is one task's work and must be below 2 GB."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1)):
                 rows, held = [], 0
-                for row in parse(content.as_py(), name.as_py()):
+                data = content.as_py()
+                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+                for row in parse(data, name.as_py()):
                     held += row["payload_bytes"]
                     if not payloads:
                         row["payload"] = None
@@ -253,20 +278,22 @@ def assemble(records: DataFrame) -> DataFrame:
 def resolve(captures: DataFrame) -> DataFrame:
     """One row per capture: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Length and digest are those of bytes in the archives: a revisit gets them from the
-    response it refers to, found by page and digest.
+    Length and digest are taken from the payloads in the nested rows (where they were left out,
+    from what the parser saw): a revisit gets them from the response it refers to, found by
+    page and digest. The captures are read once; what is learnt of them is stored.
     """
     names = F.col("answer.headers")
     rows = captures.select(
         names["warc-page-id"].cast("bigint").alias("page_id"),
-        F.col("answer.payload_bytes").alias("own_bytes"),
-        F.col("answer.payload_digest").alias("own_digest"),
+        F.coalesce(F.octet_length("answer.payload").cast("bigint"), "answer.payload_bytes").alias("own_bytes"),
+        F.coalesce(F.sha2("answer.payload", 256), "answer.payload_digest").alias("own_digest"),
         F.col("answer.type").alias("record_type"),
         names["warc-refers-to-page"].cast("bigint").alias("refers_to"),
         F.substring_index(names["warc-payload-digest"], ":", -1).alias("named"),
         F.col("request").isNotNull().alias("has_request"),
         F.col("metadata").isNotNull().alias("has_metadata"),
     )
+    rows = pin(rows, "captures")
     # Repeated rows are responses of the same page and payload.
     kept = (
         rows.filter("record_type = 'response' AND page_id IS NOT NULL")

@@ -1,4 +1,6 @@
+import gzip
 import hashlib
+from pathlib import Path
 
 import pytest
 
@@ -46,11 +48,17 @@ def test_whole_table_equals_sql(spark):
     assert spark_rows(df) == duck_rows(connect(SF), queries.SQL["op7_warc"])
 
 
-def test_awkward_rows(spark, tmp_path):
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_awkward_rows(spark, tmp_path, compression):
     pages = spark.createDataFrame([(*p, 1, "x") for p in PAGES], f"{PAGE}, digest int, payload string")
     path = str(tmp_path / "warc")
-    warc.write_captures(pages, path)
+    warc.write_captures(pages, path, compression=compression, captures_per_file=2)
+    assert all(f.name.endswith(".gz") == (compression == "gzip") for f in Path(path).glob("part-*"))
     records = warc.read_warc(spark, path)
+    assert rows(warc.resolve(warc.assemble(warc.read_warc(spark, path, payloads=False)))) == brute(PAGES)
+    revisits = records.filter("type = 'revisit'").collect()
+    assert {r.headers["warc-refers-to-target-uri"] for r in revisits} == {"https://b.example", "http://c.example/?q=1"}
+    assert all(r.headers["warc-refers-to-date"] == r.headers["warc-date"] for r in revisits)
     assert rows(warc.resolve(warc.assemble(records))) == brute(PAGES)
     nested = warc.assemble(records).filter("answer.type = 'response'").collect()
     stored = {r.answer.headers.get("warc-page-id"): bytes(r.answer.payload) for r in nested}
@@ -82,6 +90,12 @@ def test_parts_without_a_response(spark):
     assert found["<a>"].metadata.record_id == "<m1>" and found["<b>"].metadata.record_id == "<m2>"
 
 
+def test_a_member_a_record_is_read(spark, tmp_path):
+    record = b"WARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: 4\r\n\r\nabcd\r\n\r\n"
+    (tmp_path / "many.warc.gz").write_bytes(gzip.compress(record) * 3)
+    assert warc.read_warc(spark, str(tmp_path)).count() == 3
+
+
 def test_broken_archives_are_refused():
     whole = b"WARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: 4\r\n\r\nabcd\r\n\r\n"
     assert [r["payload"] for r in warc.parse(whole * 2)] == [b"abcd"] * 2
