@@ -53,8 +53,9 @@ def test_whole_tables_equal_sql(spark):
 
 def check(spark, docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    found = decontam.contamination(docs, items).drop("spans")
-    assert rows(found) == brute([(d, t) for d, t, *_ in AWKWARD], ITEMS)
+    found = decontam.contamination(docs, items)
+    assert rows(found.drop("spans")) == brute([(d, t) for d, t, *_ in AWKWARD], ITEMS)
+    return rows(found)
 
 
 def test_awkward_rows(spark):
@@ -62,8 +63,37 @@ def test_awkward_rows(spark):
 
 
 def test_many_automata_give_the_same(spark, monkeypatch):
+    one = check(spark, awkward(spark))
+    assert any(len(r[-1]) > 1 for r in one)
     monkeypatch.setattr(decontam, "AUTOMATON_BYTES", 100)
-    check(spark, awkward(spark))
+    assert check(spark, awkward(spark)) == one
+
+
+def test_spans_of_overlapping_windows_are_one(spark, monkeypatch):
+    text = " ".join(f"word{k}" for k in range(15))
+    docs = spark.createDataFrame([(1, f"a, {text}; b")], "doc_id long, text string")
+    items = spark.createDataFrame([("i", text)], "item_id string, text string")
+    for size in (decontam.AUTOMATON_BYTES, 100):
+        monkeypatch.setattr(decontam, "AUTOMATON_BYTES", size)
+        (row,) = decontam.contamination(docs, items).collect()
+        assert (row.n_hit, [tuple(s) for s in row.spans]) == (15, [(3, 3 + len(text))])
+
+
+def test_item_ids_are_texts(spark):
+    items = [("q-7", "repeated ROW of exactly"), ("q-10", "one"), (None, "one"), ("", "текст"), ("q-7", "eight words")]
+    table = spark.createDataFrame(items, "item_id string, text string")
+    found = decontam.contamination(awkward(spark), table).drop("spans")
+    assert rows(found) == brute([(d, t) for d, t, *_ in AWKWARD], items)
+
+
+def test_a_window_of_very_many_items(spark):
+    """Their ids are not broadcast, and not returned by the scan."""
+    items = [(k, "repeated row of exactly") for k in range(3000)] + [(9000, "row of exactly eight words in it")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    patterns, members = decontam._windows(table, 10)
+    assert patterns.count() == 2 and members.count() == 3001
+    found = decontam.contamination(awkward(spark), table).drop("spans")
+    assert rows(found) == brute([(d, t) for d, t, *_ in AWKWARD], items)
 
 
 def test_empty_tables(spark):
@@ -75,7 +105,7 @@ def test_empty_tables(spark):
 
 def test_spans_lie_in_the_original(spark):
     text = "Äh... Nobody—in, the FIRST carriage said a word about THE weather; so"
-    found = decontam.Finder([(w, [1]) for w in decontam.windows("in the first carriage", 10)])
+    found = decontam.Finder([(w, 1) for w in decontam.windows("in the first carriage", 10)])
     hits = found.search(text.replace("—", " "))
     raw = text.replace("—", " ").encode()
     assert [raw[a:b].decode() for a, b in hits.spans] == ["in, the FIRST carriage"]
