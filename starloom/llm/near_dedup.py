@@ -9,11 +9,13 @@ Circulant MinHash needs two permutations: the first scatters a document's shingl
    led by its smallest class. Leaders come from a grouping with map-side minima, members from
    a join, so no bucket is ever one task's work.
 3. All pairs that share a bucket share its leader. The members of a leader are dealt to
-   blocks of bounded size; each pair of blocks is compared in one task, which
-   computes shingles and signatures from the whole texts, drops pairs whose signatures are
-   far apart, and confirms the others, likeliest first, skipping pairs that are connected by
-   then: first on the sets of shingle hashes, and what passes on the shingles themselves, word
-   for word. It returns the links as stars, one row per text at most.
+   blocks of bounded size, and each block is compared with the leader: a family of copies of one
+   text is linked by that, at a cost that grows with its size. Only members that are not like
+   their leader are compared with all members, a pair of blocks in a task. A task computes
+   shingles and signatures from the whole texts, drops pairs whose signatures are far apart, and
+   confirms the others, likeliest first, skipping pairs that are connected by then: first on
+   the sets of shingle hashes, and what passes on the shingles themselves, word for word. It
+   returns the links as stars, one row per text at most.
 4. Connected components of these links, spread to all documents by class.
 """
 
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm.arrays import FOLD, bound_batches, runs, shingles, sound_hashes, utf8, words
 from starloom.llm.components import components
@@ -148,35 +150,39 @@ class _Forest:
 
 
 def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The links within a pair of blocks, as stars around the smallest id."""
-    pdf = pdf.drop_duplicates(["_id", "text"]).sort_values(["_id", "text"])
-    ids = pdf["_id"].to_numpy()
+    """The links between the texts on the left of a task and those on its right, as stars around
+    the smallest id."""
+    pdf = pdf.drop_duplicates(["_id", "text", "_left"]).sort_values(["_id", "text"])
+    ids, left = pdf["_id"].to_numpy(), np.flatnonzero(pdf["_left"].to_numpy(bool))
+    right = np.flatnonzero(~pdf["_left"].to_numpy(bool))
+    if not len(left) or not len(right):
+        return pd.DataFrame({"u": ids[:0], "v": ids[:0]})
     own, folded = map(list, zip(*_texts(pa.array(pdf["text"], pa.string()))))
     marks = np.stack([signature(s) for s in own]).astype(np.uint32)
     sizes = np.array([len(s) for s in own])
-    block = pdf["_block"].to_numpy()
-    across = bool((pdf["_a"] != pdf["_b"]).any())
-    shares, left, right = [], [], []
-    for a in range(0, len(ids), 64):
-        same = np.zeros((min(64, len(ids) - a), len(ids)), np.uint16)
+    beside, beside_sizes = marks[right], sizes[right]
+    shares, lefts, rights = [], [], []
+    for a in range(0, len(left), 64):
+        some = left[a : a + 64]
+        same = np.zeros((len(some), len(right)), np.uint16)
         for k in range(COORDINATES):
-            same += marks[a : a + 64, k, None] == marks[None, :, k]
+            same += marks[some, k, None] == beside[None, :, k]
         x, y = np.nonzero(same >= LEAST_SHARE * COORDINATES)
-        near = (x + a < y) & (
-            100 * np.minimum(sizes[x + a], sizes[y]) >= PERCENT * np.maximum(sizes[x + a], sizes[y])
-        )
-        if across:
-            near &= block[x + a] != block[y]
+        small = np.minimum(sizes[some[x]], beside_sizes[y])
+        near = 100 * small >= PERCENT * np.maximum(sizes[some[x]], beside_sizes[y])
+        near &= ids[some[x]] != ids[right[y]]
         x, y = x[near], y[near]
         shares.append(same[x, y])
-        left.append(x + a)
-        right.append(y)
+        lefts.append(some[x])
+        rights.append(right[y])
     order = np.argsort(-np.concatenate(shares).astype(np.int64), kind="stable")
-    left, right = np.concatenate(left)[order], np.concatenate(right)[order]
+    lefts, rights = np.concatenate(lefts)[order], np.concatenate(rights)[order]
+    # Texts on both sides are one node.
+    node = np.searchsorted(np.unique(ids), ids).tolist()
     forest = _Forest(len(ids))
     last: tuple[int, set] = (-1, set())  # a text is often confirmed against several
-    for x, y in zip(left.tolist(), right.tolist()):
-        rx, ry = forest.root(x), forest.root(y)
+    for x, y in zip(lefts.tolist(), rights.tolist()):
+        rx, ry = forest.root(node[x]), forest.root(node[y])
         if rx == ry:
             continue
         both = len(np.intersect1d(own[x], own[y], assume_unique=True))
@@ -186,9 +192,63 @@ def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
             last = x, shingle_set(folded[x])
         if alike(last[1], shingle_set(folded[y])):
             forest.up[max(rx, ry)] = min(rx, ry)
-    roots = np.array([forest.root(x) for x in range(len(ids))])
-    linked = ids[roots] != ids
-    return pd.DataFrame({"u": ids[linked], "v": ids[roots[linked]]})
+    distinct = np.unique(ids)
+    roots = np.array([forest.root(k) for k in range(len(distinct))])
+    linked = roots != np.arange(len(distinct))
+    return pd.DataFrame({"u": distinct[linked], "v": distinct[roots[linked]]})
+
+
+def _blocks(grouped: DataFrame, name: str) -> DataFrame:
+    """(_leader, name): blocks of bounded size for rows (leader, class, n_shingles). Stored, so
+    that joins with it have plain shuffles and a large leader's members may be split."""
+    count = F.greatest(
+        F.ceil(F.count("*") / BLOCK_DOCUMENTS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
+    )
+    return pin(grouped.groupBy(F.col("leader").alias("_leader")).agg(count.cast("int").alias(name)), name)
+
+
+def _in_block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("class"), F.col(blocks)).cast("int")
+
+
+def _compared(texts: DataFrame, work: DataFrame, keys: list[str]) -> DataFrame:
+    """The links of tasks named by ``keys``, each of rows (_id, _left)."""
+    # A merge join at every size: texts are long, and Spark may split hot ids.
+    rows = texts.join(work.hint("merge"), F.col("doc_id") == F.col("_id"))
+    return rows.select(*keys, "_left", "_id", "text").groupBy(*keys).applyInPandas(_confirm, "u long, v long")
+
+
+def _links(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(u, v): the links among the members of each leader, stored."""
+    on = F.col("leader") == F.col("_leader")
+    others = members.filter("class <> leader")
+    dealt = pin(
+        others.join(_blocks(others, "_blocks"), on)
+        .withColumn("_block", _in_block("_blocks"))
+        .select("leader", "class", "n_shingles", "_block", "_blocks"),
+        "dealt",
+    )
+
+    def side(left: bool, rows: DataFrame, of: str, *keys: str) -> DataFrame:
+        return rows.select(*keys, F.col(of).alias("_id"), F.lit(left).alias("_left"))
+
+    # Every member with its leader.
+    lead = dealt.select("leader", "_block").distinct()
+    first = side(True, lead, "leader", "leader", "_block").union(side(False, dealt, "class", "leader", "_block"))
+    stars = pin(_compared(texts, first, ["leader", "_block"]), "stars")
+    # Those that are not like it with all members.
+    known = stars.select(F.col("u").alias("_u"), F.col("v").alias("_v"))
+    alone = dealt.join(known, (F.col("class") == F.col("_u")) & (F.col("leader") == F.col("_v")), "left_anti")
+    alone = pin(alone, "alone")
+    counted = _blocks(alone, "_strips")
+    strips = alone.join(counted, on).withColumn("_strip", _in_block("_strips"))
+    block = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block")
+    strip = F.explode(F.sequence(F.lit(0), F.col("_strips") - 1)).alias("_strip")
+    lefts = strips.select("leader", "class", "_strip", block)
+    rights = dealt.join(counted, on).select("leader", "class", "_block", strip)
+    keys = ["leader", "_block", "_strip"]
+    second = side(True, lefts, "class", *keys).union(side(False, rights, "class", *keys))
+    return stars.union(pin(_compared(texts, second, keys), "others"))
 
 
 def _several(signed: DataFrame) -> DataFrame:
@@ -253,34 +313,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .agg(F.first("n_shingles").alias("n_shingles")),
         "members",
     )
-    blocks = F.greatest(
-        F.ceil(F.count("*") / BLOCK_DOCUMENTS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
-    )
-    # Stored, so that the join below has plain shuffles and may split a large leader's members.
-    sizes = pin(
-        members.groupBy(F.col("leader").alias("_leader")).agg(blocks.cast("int").alias("_blocks")),
-        "leaders",
-    )
-    dealt = members.join(sizes, F.col("leader") == F.col("_leader")).select(
-        "leader",
-        "class",
-        F.pmod(F.xxhash64("class"), F.col("_blocks")).cast("int").alias("_block"),
-        "_blocks",
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    paired = dealt.withColumn("_other", other).select(
-        "leader",
-        F.col("class").alias("_id"),
-        "_block",
-        F.least("_block", "_other").alias("_a"),
-        F.greatest("_block", "_other").alias("_b"),
-    )
     # Texts without a near copy in sight are not shuffled.
     texts = mark(rows, "doc_id", members.select("class"), "_wanted").filter("_wanted")
-    work = texts.join(paired.hint("merge"), F.col("doc_id") == F.col("_id")).select(
-        "leader", "_a", "_b", "_block", "_id", "text"
-    )
-    links = work.groupBy("leader", "_a", "_b").applyInPandas(_confirm, "u long, v long")
+    links = _links(texts, members)
     several = _several(signed)
     found = components(links.union(_same_id(known, several, classes)))
     # Documents of a class are links as well.

@@ -94,10 +94,32 @@ def test_links_are_confirmed_on_the_shingles(spark, monkeypatch):
 
     monkeypatch.setattr(near_dedup, "sound_hashes", same)
     texts = [" ".join(f"{x}{k}" for k in range(8)) for x in "abc"] + [" ".join(f"a{k}" for k in range(8)) + " "]
-    pdf = pd.DataFrame({"_id": [1, 2, 3, 4], "text": texts, "_block": 0, "_a": 0, "_b": 0})
+    pdf = pd.DataFrame({"_id": [1, 2, 3, 4], "text": texts, "_left": [True, False, False, False]})
     assert near_dedup._confirm(pdf).values.tolist() == [[4, 1]]
 
 
+def test_a_family_is_compared_with_its_leader(spark, monkeypatch):
+    """Copies of one template: texts sent to tasks grow with the family, not with its square."""
+    monkeypatch.setattr(near_dedup, "BLOCK_DOCUMENTS", 16)
+    sent = []
+    original = near_dedup._compared
+
+    def keep(texts, work, keys):
+        sent.append(work.count())
+        return original(texts, work, keys)
+
+    monkeypatch.setattr(near_dedup, "_compared", keep)
+    per_size = []
+    for size in (200, 800):
+        words = [f"w{k}" for k in range(200)]
+        docs = [(k, " ".join([*words[:100], f"x{k}", *words[101:]])) for k in range(size)]
+        sent.clear()
+        found = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+        assert {r.component_id for r in found.collect()} == {0}
+        per_size.append(sum(sent))
+    assert per_size[1] < 5 * per_size[0] and per_size[1] < 3 * 800
+
+
 def test_same_shingles_in_another_order_are_linked(spark):
     parts = [" ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))]
     docs = [(7, " ".join(parts)), (3, " ".join(parts[::-1])), (5, " ".join(parts * 2))]
