@@ -7,7 +7,6 @@ bounds the memory by the longest document.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -44,11 +43,6 @@ def power(n: int, sign: int = 1) -> np.ndarray:
     return known[:n]
 
 
-#: Words whose hashes a worker remembers.
-KNOWN_WORDS = 1 << 20
-_known: dict[bytes, int] = {}
-
-
 def quick_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of all words at once. They are sums of letters times powers modulo 2**64, so there
     are words built to collide; good for features, not for telling texts apart."""
@@ -61,20 +55,22 @@ def quick_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
 
 
 def sound_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64 bits of a cryptographic hash of each word, computed once per distinct word."""
-    if len(_known) > KNOWN_WORDS:
-        _known.clear()
-    raw, out = data.tobytes(), np.empty(len(start), np.uint64)
-    get = _known.get
-    for k, (a, b) in enumerate(zip(start.tolist(), end.tolist())):
-        word = raw[a:b]
-        found = get(word)
-        if found is None:
-            found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-            if b - a < 64:  # long runs of letters are not worth the room
-                _known[word] = found
-        out[k] = found
-    return out
+    """Hashes of all words at once, as sums of letters times a random number of their place in
+    the word: there is no relation between places that words could be built on."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    length = end - start
+    change = np.zeros(len(data) + 1, np.int8)
+    np.add.at(change, start, 1)
+    np.add.at(change, end, -1)
+    letters = data[np.cumsum(change[:-1], dtype=np.int8) > 0]
+    last = np.cumsum(length)
+    first = last - length
+    place = np.arange(last[-1]) - np.repeat(first, length)
+    factor = mix(np.arange(1, int(length.max()) + 1, dtype=np.uint64) * np.uint64(_PRIME)) | np.uint64(1)
+    sums = np.zeros(last[-1] + 1, np.uint64)
+    np.cumsum(_BYTE[letters] * factor[place], out=sums[1:])
+    return mix(sums[last] - sums[first] + length.astype(np.uint64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

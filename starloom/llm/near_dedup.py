@@ -9,9 +9,10 @@ Circulant MinHash needs two permutations: the first scatters a document's shingl
    led by its smallest class. Leaders come from a grouping with map-side minima, members from
    a join, so no bucket is ever one task's work.
 3. All pairs that share a bucket share its leader. The members of a leader are dealt to
-   blocks of bounded size, and each block is compared with the leader: a family of copies of one
-   text is linked by that, at a cost that grows with its size. Only members that are not like
-   their leader are compared with all members, a pair of blocks in a task. A task computes
+   blocks of bounded size. One block is compared pair by pair in a task; if there are more, each
+   is compared with the leader: a large family of copies of one text is linked by that, at a
+   cost that grows with its size. Only members that are not like their leader are then compared
+   with all members, a pair of blocks in a task. A task computes
    shingles and signatures from the whole texts, drops pairs whose signatures are far apart, and
    confirms the others, likeliest first, skipping pairs that are connected by then: first on
    the sets of shingle hashes, and what passes on the shingles themselves, word for word. It
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -149,12 +151,16 @@ class _Forest:
         return x
 
 
+#: Where a text stands in a task: it may stand on both sides.
+LEFT, RIGHT = 1, 2
+
+
 def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
     """The links between the texts on the left of a task and those on its right, as stars around
     the smallest id."""
-    pdf = pdf.drop_duplicates(["_id", "text", "_left"]).sort_values(["_id", "text"])
-    ids, left = pdf["_id"].to_numpy(), np.flatnonzero(pdf["_left"].to_numpy(bool))
-    right = np.flatnonzero(~pdf["_left"].to_numpy(bool))
+    pdf = pdf.drop_duplicates(["_id", "text", "_side"]).sort_values(["_id", "text"])
+    ids, sides = pdf["_id"].to_numpy(), pdf["_side"].to_numpy()
+    left, right = np.flatnonzero(sides & LEFT), np.flatnonzero(sides & RIGHT)
     if not len(left) or not len(right):
         return pd.DataFrame({"u": ids[:0], "v": ids[:0]})
     own, folded = map(list, zip(*_texts(pa.array(pdf["text"], pa.string()))))
@@ -171,6 +177,8 @@ def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
         small = np.minimum(sizes[some[x]], beside_sizes[y])
         near = 100 * small >= PERCENT * np.maximum(sizes[some[x]], beside_sizes[y])
         near &= ids[some[x]] != ids[right[y]]
+        # A pair that stands on both sides is met twice.
+        near &= (sides[some[x]] + sides[right[y]] < 2 * (LEFT + RIGHT)) | (some[x] < right[y])
         x, y = x[near], y[near]
         shares.append(same[x, y])
         lefts.append(some[x])
@@ -212,10 +220,10 @@ def _in_block(blocks: str) -> Column:
 
 
 def _compared(texts: DataFrame, work: DataFrame, keys: list[str]) -> DataFrame:
-    """The links of tasks named by ``keys``, each of rows (_id, _left)."""
+    """The links of tasks named by ``keys``, each of rows (_id, _side)."""
     # A merge join at every size: texts are long, and Spark may split hot ids.
     rows = texts.join(work.hint("merge"), F.col("doc_id") == F.col("_id"))
-    return rows.select(*keys, "_left", "_id", "text").groupBy(*keys).applyInPandas(_confirm, "u long, v long")
+    return rows.select(*keys, "_side", "_id", "text").groupBy(*keys).applyInPandas(_confirm, "u long, v long")
 
 
 def _links(texts: DataFrame, members: DataFrame) -> DataFrame:
@@ -229,16 +237,23 @@ def _links(texts: DataFrame, members: DataFrame) -> DataFrame:
         "dealt",
     )
 
-    def side(left: bool, rows: DataFrame, of: str, *keys: str) -> DataFrame:
-        return rows.select(*keys, F.col(of).alias("_id"), F.lit(left).alias("_left"))
-
-    # Every member with its leader.
-    lead = dealt.select("leader", "_block").distinct()
-    first = side(True, lead, "leader", "leader", "_block").union(side(False, dealt, "class", "leader", "_block"))
-    stars = pin(_compared(texts, first, ["leader", "_block"]), "stars")
+    def side(where: int, rows: DataFrame, of: str, *keys: str) -> DataFrame:
+        return rows.select(*keys, F.col(of).alias("_id"), F.lit(where).alias("_side"))
+
+    large = F.col("_blocks") > 1
+    keys = ["leader", "_block"]
+    lead, few = dealt.select(*keys, "_blocks").distinct(), dealt.filter(~large)
+    first = [
+        side(LEFT + RIGHT, lead.filter(~large), "leader", *keys),
+        side(LEFT + RIGHT, few, "class", *keys),
+        # Every member of a large family with its leader.
+        side(LEFT, lead.filter(large), "leader", *keys),
+        side(RIGHT, dealt.filter(large), "class", *keys),
+    ]
+    stars = pin(_compared(texts, reduce(DataFrame.union, first), keys), "stars")
     # Those that are not like it with all members.
     known = stars.select(F.col("u").alias("_u"), F.col("v").alias("_v"))
-    alone = dealt.join(known, (F.col("class") == F.col("_u")) & (F.col("leader") == F.col("_v")), "left_anti")
+    alone = dealt.filter(large).join(known, (F.col("class") == F.col("_u")) & (F.col("leader") == F.col("_v")), "left_anti")
     alone = pin(alone, "alone")
     counted = _blocks(alone, "_strips")
     strips = alone.join(counted, on).withColumn("_strip", _in_block("_strips"))
@@ -247,7 +262,7 @@ def _links(texts: DataFrame, members: DataFrame) -> DataFrame:
     lefts = strips.select("leader", "class", "_strip", block)
     rights = dealt.join(counted, on).select("leader", "class", "_block", strip)
     keys = ["leader", "_block", "_strip"]
-    second = side(True, lefts, "class", *keys).union(side(False, rights, "class", *keys))
+    second = side(LEFT, lefts, "class", *keys).union(side(RIGHT, rights, "class", *keys))
     return stars.union(pin(_compared(texts, second, keys), "others"))
 
 

@@ -94,8 +94,10 @@ def test_links_are_confirmed_on_the_shingles(spark, monkeypatch):
 
     monkeypatch.setattr(near_dedup, "sound_hashes", same)
     texts = [" ".join(f"{x}{k}" for k in range(8)) for x in "abc"] + [" ".join(f"a{k}" for k in range(8)) + " "]
-    pdf = pd.DataFrame({"_id": [1, 2, 3, 4], "text": texts, "_left": [True, False, False, False]})
-    assert near_dedup._confirm(pdf).values.tolist() == [[4, 1]]
+    pdf = pd.DataFrame({"_id": [1, 2, 3, 4], "text": texts})
+    for sides in ([1, 2, 2, 2], [3, 3, 3, 3], [2, 2, 2, 1]):
+        assert near_dedup._confirm(pdf.assign(_side=sides)).values.tolist() == [[4, 1]]
+    assert near_dedup._confirm(pdf.assign(_side=[1, 2, 2, 1])).empty
 
 
 def test_a_family_is_compared_with_its_leader(spark, monkeypatch):
