@@ -24,7 +24,13 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line field scores 0.5 or more."""
+    """Documents that the line field scores 0.5 or more.
+
+    Scores depend on the text alone: null and empty texts have the score of a text without
+    lines, repeated rows come out alike, and rows without an id are scored as well. An empty
+    table stays empty; without labels of both kinds nothing is learnt, and texts score 0.5.
+    Columns of any name pass through.
+    """
     labels = _table(spark, sf_dir, "labels").filter(~quality.held_out())
     score = _free(docs, "_score")
     scored = quality.add_scores(docs, quality.train(docs, labels), score)
@@ -47,7 +53,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window of ten words with a benchmark item."""
+    """Documents that share no window of ten words with a benchmark item.
+
+    Null and empty texts share none, so they stay, as do all documents if the benchmark is
+    empty. Repeated rows come out alike; ids are not looked at. An empty table stays empty, and
+    columns of any name pass through.
+    """
     hits = _free(docs, "_hits")
     found = decontam.find_benchmark(docs, _table(spark, sf_dir, "benchmark"), name=hits)
     return found.filter(F.col(hits)["n_hit"] == 0).select(docs.columns)
@@ -55,7 +66,12 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of a mixture to tempered weights, those of sources below
-    their weight once more; every document stays."""
+    their weight once more; every document stays.
+
+    A NULL source is a source of its own. Null and empty texts take one byte.
+    Repeated rows each keep a place; ids only order the documents of a source. An empty table
+    stays empty, and columns of any name pass through.
+    """
     aside = {c: _free(docs, f"_{c}") for c in docs.columns if c in mixing.ADDED}
     mixed = mixing.mix(docs.withColumnsRenamed(aside))
     ordered = mixed.repartitionByRange("mix_slot", "mix_offset")
@@ -64,7 +80,12 @@ def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def training_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in fixed-stride shards in training order; one row per sequence."""
+    """Token ids in fixed-stride shards in training order; one row per sequence.
+
+    The texts form one stream in stored order, each closed by the end mark, so null and empty
+    texts are an end mark alone and repeated rows are tokenized each. Null and repeated ids are
+    listed as they are, other columns are not looked at. An empty table gives no sequences.
+    """
     ranks = queries.tokenizer_file("byte_bpe_50k.tiktoken")
     return training_order.training_sequences(
         docs, scratch_path(spark, "shards"), ranks, queries.END
