@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from starloom.operators.numbering import row_number_per_key
+
 #: Most ranges; a border costs 8 bytes in the plan. Beyond it ranges get longer, not wrong:
 #: their rows are streamed or spilled.
 MOST_RANGES = 40_000
@@ -21,12 +23,51 @@ MOST_RANGES = 40_000
 def borders(df: DataFrame, key: str, ranges: int) -> list[int]:
     """Ascending values of the whole-number column ``key`` that cut its rows into about
     ``ranges`` equal parts; each of them occurs in the column."""
+    return sorted(set(_shares(df, key, ranges)))
+
+
+def _shares(df: DataFrame, key: str, ranges: int) -> list[int]:
     ranges = max(1, min(MOST_RANGES, ranges))
     if ranges == 1:
         return []
     shares = [k / ranges for k in range(1, ranges)]
-    found = df.agg(F.percentile_approx(key, shares, max(10_000, 20 * ranges))).first()[0]
-    return sorted(set(found or []))
+    return df.agg(F.percentile_approx(key, shares, max(10_000, 20 * ranges))).first()[0] or []
+
+
+def spread(
+    df: DataFrame, key: str, ties: Sequence[str], ranges: int, part: str, tie: str
+) -> DataFrame:
+    """Add ``part``, numbers of ranges of ``key`` (NULL first) and, within a hot key, of ``ties``;
+    and ``tie``, which orders the rows of a hot key and is 0 for others. ``df`` must be stored.
+
+    A key is hot if its rows fill more than one range, which shows as a border that comes
+    twice, or if it is NULL on so many rows. Only rows of hot keys are numbered, spread over
+    tasks; rows equal in all ties are told apart there. Without hot keys this is one grouping
+    for the borders.
+    """
+    found = _shares(df, key, ranges)
+    cuts = sorted(set(found))
+    count, nulls = df.agg(F.count("*"), F.count_if(F.col(key).isNull())).first()
+    rows = max(1, -(-count // max(1, min(MOST_RANGES, ranges))))
+    hot = sorted({a for a, b in zip(found, found[1:]) if a == b})
+    at = range_of(F.col(key), cuts).cast("bigint")
+    # At most one key per range.
+    listed = df.sparkSession.createDataFrame([(k,) for k in hot], "_hot long")
+    known = df.join(F.broadcast(listed), F.col(key) == F.col("_hot"), "left")
+    many = F.col("_hot").isNotNull()
+    if nulls > rows:
+        many = many | F.col(key).isNull()
+    elif not hot:
+        return df.withColumns({part: at, tie: F.lit(0).cast("bigint")})
+    order = [(t, "asc", "first") for t in ties]
+    numbered = row_number_per_key(known.filter(many).drop("_hot"), [key], order, tie)
+    # More ranges within a key than it has rows for do not exist, so others come behind them.
+    width = F.lit(count // rows + 2).cast("bigint")
+    inside = F.call_function("div", F.col(tie) - 1, F.lit(rows).cast("bigint"))
+    others = known.filter(~many).drop("_hot").withColumn(tie, F.lit(0).cast("bigint"))
+    return numbered.withColumn(part, at * width + inside).unionByName(
+        others.withColumn(part, at * width + width - 1)
+    )
 
 
 def range_of(key: Column, cuts: Sequence[int]) -> Column:

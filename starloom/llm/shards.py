@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.ranges import borders, range_of, running_totals
+from starloom.llm.ranges import running_totals, spread
 from starloom.sinks.scratch import pin
 
 
@@ -24,7 +24,8 @@ def contiguous_shards(
 
     ``size`` names a positive whole-number column, ``key`` the whole-number column that orders
     the rows, NULL first; ``ties`` order rows of equal keys, and rows equal in those too may
-    change places with each other. A single row larger than a target leaves neighbouring
+    change places with each other. A key on very many rows, NULL too, is spread over ranges
+    of its ties. A single row larger than a target leaves neighbouring
     shards empty. An empty table gives no rows. Other columns pass through; a ``shard`` or
     ``slot`` among them is replaced.
     """
@@ -40,13 +41,10 @@ def contiguous_shards(
     rows = pin(packed, "to-shard")
     count, total = rows.agg(F.count("*"), F.coalesce(F.sum("_size"), F.lit(0))).first()
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = borders(rows, "_key", max(least, count // 500_000))
+    own = [f"_tie{k}" for k in range(len(ties))]
+    ranged = spread(rows, "_key", own, max(least, count // 500_000), "_part", "_place")
     placed = running_totals(
-        rows.withColumn("_part", range_of(F.col("_key"), cuts)),
-        [],
-        "_part",
-        ["_key", *[f"_tie{k}" for k in range(len(ties))]],
-        {"_size": "_offset", "_one": "_index"},
+        ranged, [], "_part", ["_key", "_place", *own], {"_size": "_offset", "_one": "_index"}
     )
     middle = (F.col("_offset") * 2 + F.col("_size")) * shards
     shard = F.call_function("div", middle, F.lit(max(1, 2 * total)))

@@ -1,8 +1,11 @@
 import zlib
 
+import pytest
+
 from cases import AWKWARD, awkward, empty
 from compare import connect, duck_rows, spark_rows
 from starloom.llm import queries, shards
+from starloom.operators import numbering
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,6 +33,40 @@ def test_awkward_rows(spark):
     assert found == brute([(d, t) for d, t, *_ in AWKWARD], 4)
 
 
+HOT = {
+    "a third on one id": lambda k: 77 if k % 3 == 0 else k,
+    "no ids": lambda k: None,
+    "a third without an id, a third on one id": lambda k: [None, 5, k][k % 3],
+    "two hot ids and their neighbours": lambda k: [40, 41, 39, 42, k % 90][k % 5],
+}
+
+
+@pytest.mark.parametrize("ids", HOT)
+@pytest.mark.parametrize("hot_rows", [numbering.HOT_ROWS, 300])
+def test_hot_ids_are_spread(spark, monkeypatch, ids, hot_rows):
+    """However many rows an id holds, no range does; copies of whole rows included."""
+    monkeypatch.setattr(numbering, "HOT_ROWS", hot_rows)
+    docs = [(HOT[ids](k), "same text" if k % 4 == 0 else f"text {k}") for k in range(3000)]
+    seen = []
+    original = shards.running_totals
+
+    def keep(df, *args):
+        sizes = [r["count"] for r in df.groupBy("_part").count().collect()]
+        seen.append(max(sizes) / sum(sizes))
+        return original(df, *args)
+
+    monkeypatch.setattr(shards, "running_totals", keep)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        found = sorted((tuple(r) for r in shards.document_shards(df, 7).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found == brute(docs, 7)
+    assert seen[0] < 0.06
+
+
 def test_empty_table(spark):
     assert shards.document_shards(empty(spark), 4).collect() == []
 
