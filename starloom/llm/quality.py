@@ -28,6 +28,8 @@ from starloom.sinks.scratch import pin
 PER_LABEL = 1500
 #: Lines up to which the driver trains alone; lines worked on at a time, whole documents.
 DRIVER_LINES, CHUNK_LINES = 400_000, 20_000
+#: Lines of a document that are gone through one after the other.
+RUN_LINES = 128
 
 _upper = np.zeros(256, bool)
 _upper[65:91] = True
@@ -134,8 +136,17 @@ def with_neighbours(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.column_stack([x, before, after, first, last, np.ones(n)])
 
 
-def _softplus(x: np.ndarray) -> np.ndarray:
-    return np.logaddexp(0, x)
+def _step(prior: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Log sums over the state before: ``prior`` holds its weights (last axis), ``move`` those
+    of going from it (last axis but one) to the next."""
+    return np.logaddexp(
+        prior[..., 0, None] + move[..., 0, :], prior[..., 1, None] + move[..., 1, :]
+    )
+
+
+def _step_back(move: np.ndarray, later: np.ndarray) -> np.ndarray:
+    """The same from the other side: log sums over the state after."""
+    return np.logaddexp(move[..., 0] + later[..., None, 0], move[..., 1] + later[..., None, 1])
 
 
 def marginals(
@@ -144,35 +155,65 @@ def marginals(
     """(probability of good per line, expected transitions 2 x 2, sum of log partitions).
 
     ``score`` is the weight of good over bad per line, ``tie[a, b]`` that of state b after a.
-    All documents take a step together; longer ones go on alone.
+    Documents are cut into runs of ``RUN_LINES``. The lines of a run multiply to one 2 x 2
+    matrix; these tell what comes into each run from before and from behind. All runs take a
+    step together, so a long document takes few steps more than many short ones.
     """
     lengths = np.diff(at)
-    order = np.argsort(-lengths, kind="stable")
-    begin, size = at[:-1][order], lengths[order]
-    n, steps = len(score), int(size[0]) if len(size) else 0
+    n = len(score)
+    if not n:
+        return np.zeros(0), np.zeros((2, 2)), 0.0
+    # Weight of going from the state before a line to its own; before a document nothing counts.
+    move = np.zeros((n, 2, 2)) + tie
+    move[at[:-1]] = 0
+    move[:, :, 1] += score[:, None]
+
+    per_doc = -(-lengths // RUN_LINES)
+    run_at = np.concatenate([[0], np.cumsum(per_doc)])
+    doc = np.repeat(np.arange(len(lengths)), per_doc)
+    place = np.arange(run_at[-1]) - run_at[doc]
+    begin = at[doc] + place * RUN_LINES
+    size = np.minimum(at[doc + 1] - begin, RUN_LINES)
+    order = np.argsort(-size, kind="stable")
+    steps = int(size[order[0]])
+    active = np.searchsorted(-size[order], -np.arange(1, steps + 1), "right")  # runs at step t
+
+    ahead = np.tile([0.0, -np.inf], (len(begin), 1))  # at the line before the run
+    behind = np.zeros((len(begin), 2))  # at the run's last line
+    most = int(per_doc.max())
+    if most > 1:
+        long = order[per_doc[doc[order]] > 1]
+        more = np.searchsorted(-size[long], -np.arange(1, steps + 1), "right")
+        product = np.zeros((len(begin), 2, 2))
+        product[long] = move[begin[long]]
+        for t in range(1, steps):
+            here = long[: more[t]]
+            product[here] = _step(product[here], move[begin[here] + t][:, None])
+        for k in range(1, most):
+            here = run_at[:-1][per_doc > k] + k
+            ahead[here] = _step(ahead[here - 1], product[here - 1])
+        for k in range(most - 1, 0, -1):
+            here = run_at[:-1][per_doc > k] + k
+            behind[here - 1] = _step_back(product[here], behind[here])
+
     forward, backward = np.zeros((n, 2)), np.zeros((n, 2))
-    emit = np.column_stack([np.zeros(n), score])
-    active = np.searchsorted(-size, -np.arange(1, steps + 1), "right")  # documents at step t
     for t in range(steps):
-        here = begin[: active[t]] + t
-        if t == 0:
-            forward[here] = emit[here]
-        else:
-            prior = forward[here - 1]
-            forward[here] = emit[here] + np.logaddexp(
-                prior[:, :1] + tie[0][None, :], prior[:, 1:] + tie[1][None, :]
-            )
-    expected = np.zeros((2, 2))
-    last = begin + size - 1
-    partition = np.logaddexp(forward[last, 0], forward[last, 1]) if n else np.zeros(0)
+        here = order[: active[t]]
+        line = begin[here] + t
+        forward[line] = _step(ahead[here] if t == 0 else forward[line - 1], move[line])
+    backward[begin + size - 1] = behind
     for t in range(steps - 2, -1, -1):
-        here = begin[: active[t + 1]] + t
-        later = emit[here + 1] + backward[here + 1]
-        backward[here] = np.logaddexp(
-            tie[:, 0][None, :] + later[:, :1], tie[:, 1][None, :] + later[:, 1:]
-        )
-        joint = forward[here][:, :, None] + tie[None] + later[:, None, :]
-        expected += np.exp(joint - partition[: active[t + 1], None, None]).sum(axis=0)
+        line = begin[order[: active[t + 1]]] + t
+        backward[line] = _step_back(move[line + 1], backward[line + 1])
+
+    last = at[1:] - 1
+    partition = np.logaddexp(forward[last, 0], forward[last, 1])
+    after = np.ones(n, bool)
+    after[at[:-1]] = False
+    after = np.flatnonzero(after)  # lines with a line before
+    whole = np.repeat(partition, lengths)[after]
+    joint = forward[after - 1][:, :, None] + move[after] + backward[after][:, None, :]
+    expected = np.exp(joint - whole[:, None, None]).sum(axis=0)
     both = forward + backward
     good = 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -500, 500)))
     return good, expected, float(partition.sum())

@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -36,6 +37,49 @@ def test_marginals_equal_all_paths():
     assert np.isclose(partition, all_z)
 
 
+def line_by_line(score, tie):
+    """Marginals of one document, a line after the other."""
+    emit = np.column_stack([np.zeros(len(score)), score])
+    forward, backward = emit.copy(), np.zeros_like(emit)
+    for t in range(1, len(score)):
+        forward[t] += np.logaddexp(forward[t - 1, 0] + tie[0], forward[t - 1, 1] + tie[1])
+    for t in range(len(score) - 2, -1, -1):
+        later = emit[t + 1] + backward[t + 1]
+        backward[t] = np.logaddexp(tie[:, 0] + later[0], tie[:, 1] + later[1])
+    z = np.logaddexp(*forward[-1])
+    pairs = sum(
+        np.exp(forward[t][:, None] + tie + emit[t + 1] + backward[t + 1] - z) for t in range(len(score) - 1)
+    )
+    return np.exp(forward[:, 1] + backward[:, 1] - z), pairs + np.zeros((2, 2)), z
+
+
+def test_marginals_of_many_runs(monkeypatch):
+    """Documents around one, two and many runs beside each other."""
+    rng = np.random.default_rng(2)
+    lengths = [1, 7, 8, 9, 16, 17, 100, 3, 8]
+    at = np.concatenate([[0], np.cumsum(lengths)])
+    score, tie = 3 * rng.normal(size=at[-1]), rng.normal(size=(2, 2))
+    monkeypatch.setattr(quality, "RUN_LINES", 8)
+    good, expected, partition = quality.marginals(score, at, tie)
+    own = [line_by_line(score[a:b], tie) for a, b in zip(at, at[1:])]
+    assert np.allclose(good, np.concatenate([o[0] for o in own]))
+    assert np.allclose(expected, sum(o[1] for o in own))
+    assert np.isclose(partition, sum(o[2] for o in own))
+    none = quality.marginals(np.zeros(0), np.zeros(1, np.int64), tie)
+    assert len(none[0]) == 0 and none[2] == 0
+
+
+def test_a_document_of_many_lines_takes_few_steps():
+    """A labelled document of 100,000 lines: a pass of the training is a fraction of a second."""
+    rng = np.random.default_rng(3)
+    n = 100_000
+    score, tie = rng.normal(size=n), np.array([[0.5, -0.5], [-0.5, 0.5]])
+    begin = time.monotonic()
+    good, expected, _ = quality.marginals(score, np.array([0, n]), tie)
+    assert time.monotonic() - begin < 1
+    assert np.allclose(good, line_by_line(score, tie)[0]) and np.isclose(expected.sum(), n - 1)
+
+
 def test_lines_are_those_of_the_texts():
     texts = [None, "", "one\n\ntwo words\n", "x", "a b\na b", "é ü"]
     x, size, at = features(texts)
@@ -124,3 +168,15 @@ def test_gradients_of_tasks_equal_those_of_the_driver(spark, monkeypatch):
     assert np.allclose(alone.weight, summed.weight, atol=1e-6)
     assert np.allclose(alone.tie, summed.tie, atol=1e-6)
     assert np.allclose([alone.slope, alone.shift], [summed.slope, summed.shift], atol=1e-6)
+
+
+def test_a_labelled_document_of_100_000_lines(spark):
+    docs, labels = long_documents(spark)
+    line = "The river was high that spring, and the ferry waited for the morning mail."
+    long = spark.createDataFrame([(100, "\n".join([line] * 100_000))], "doc_id long, text string")
+    marked = spark.createDataFrame([(100, 1, 0)], "doc_id long, quality int, toxic int")
+    begin = time.monotonic()
+    field = quality.train(docs.union(long), labels.filter("doc_id < 20").union(marked))
+    assert time.monotonic() - begin < 90
+    found = quality.add_scores(docs.filter("doc_id >= 20"), field).collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in found)
