@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.llm.arrays import bound_batches, mix
-from starloom.llm.ranges import borders, range_of
+from starloom.llm.ranges import spread
 
 #: Code points of a k-mer, coordinates, k-mers selected for each.
 K, COORDINATES, PICKED = 8, 64, 2
@@ -212,37 +212,36 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
     first. Null ids come first; rows with equal ids follow each other by their text. A single
     document is its own next one. An empty table gives no rows.
 
-    Documents are dealt to ranges of ids with fixed borders, and each range also gets the
-    first document of the next one to look ahead to. A range is sorted by Spark and streamed
-    through one task, which holds two documents.
+    Documents are dealt to ranges of ids with fixed borders, those of an id on very many rows
+    (NULL too) to ranges of their texts, and each range also gets the first document of the
+    next one to look ahead to. A range is sorted by Spark and streamed through one task, which
+    holds two documents.
     """
     bound_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    count, size, smallest, nulls = rows.agg(
-        F.count("*"),
-        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)),
-        F.min("doc_id"),
-        F.count_if(F.col("doc_id").isNull()),
-    ).first()
+    count, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size >> 25)
-    cuts = borders(rows, "doc_id", min(ranges, max(1, count)))
-    if cuts and not nulls and cuts[0] == smallest:
-        cuts = cuts[1:]  # nothing lies before it
-    part = range_of(F.col("doc_id"), cuts)
-    # The first document of a range goes to the end of the range before as well.
-    border = part > range_of(F.try_subtract(F.col("doc_id"), F.lit(1)), cuts)
-    here = F.struct(part.alias("part"), F.lit(False).alias("ahead"))
-    before = F.struct((part - 1).alias("part"), F.lit(True).alias("ahead"))
-    places = F.when(border, F.array(here, before)).otherwise(F.array(here))
-    own = rows.withColumn("_at", F.explode(places)).select("_at.part", "doc_id", "_at.ahead", "text")
-    first = F.col("doc_id").isNull() if nulls else F.col("doc_id") == F.lit(smallest)
-    around = rows.filter(first).select(
-        F.lit(len(cuts)).alias("part"), "doc_id", F.lit(True).alias("ahead"), "text"
+    ranged = spread(rows, "doc_id", ["text"], min(ranges, max(1, count)), "range", "place")
+    # Two rows per range at most, as a hot id is cut into ranges of the usual size.
+    firsts = ranged.groupBy("range").agg(
+        F.min("doc_id"), F.count_if(F.col("doc_id").isNull()), F.min("place")
     )
-    # Only the smallest text of the first id is looked ahead to.
-    around = around.orderBy("text").limit(1)
-    spread = own.union(around).repartitionByRange(len(cuts) + 1, "part")
-    ordered = spread.sortWithinPartitions("part", "ahead", F.asc_nulls_first("doc_id"), "text")
+    found = [
+        (r, at, None if nulls else smallest, place)
+        for at, (r, smallest, nulls, place) in enumerate(sorted(firsts.collect(), key=lambda r: r[0]))
+    ]
+    listed = docs.sparkSession.createDataFrame(found, "f_range long, f_at int, f_id long, f_place long")
+    known = ranged.join(F.broadcast(listed), F.col("range") == F.col("f_range"))
+    # The first document of a range goes to the end of the range before as well, that of the
+    # first range to the end of the last.
+    first = F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("place") == F.col("f_place"))
+    parts = max(1, len(found))
+    here = F.struct(F.col("f_at").alias("part"), F.lit(False).alias("ahead"))
+    before = F.struct(F.pmod(F.col("f_at") - 1, F.lit(parts)).alias("part"), F.lit(True).alias("ahead"))
+    places = F.when(first, F.array(here, before)).otherwise(F.array(here))
+    own = known.withColumn("_at", F.explode(places)).select("_at.part", "doc_id", "_at.ahead", "text")
+    dealt = own.repartitionByRange(parts, "part")
+    ordered = dealt.sortWithinPartitions("part", "ahead", F.asc_nulls_first("doc_id"), "text")
     return ordered.mapInArrow(_compared, SCHEMA)

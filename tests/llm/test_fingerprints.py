@@ -1,9 +1,11 @@
 import hashlib
 
 import numpy as np
+import pytest
 
 from cases import AWKWARD, awkward, empty
 from starloom.llm import fingerprints as f
+from starloom.operators import numbering
 
 SF = "/root/testdata/sf0.001/documents.parquet"
 
@@ -79,6 +81,42 @@ def test_one_and_none(spark):
     assert found(empty(spark)) == []
 
 
+HOT = {
+    "a third on one id": lambda k: 7 if k % 3 == 0 else k,
+    "all without an id": lambda k: None,
+    "half without an id": lambda k: None if k % 2 else k,
+    "one id only": lambda k: 5,
+    "smallest and largest": lambda k: [-1, 9999, k][k % 3],
+}
+
+
+@pytest.mark.parametrize("ids", HOT)
+@pytest.mark.parametrize("hot_rows", [numbering.HOT_ROWS, 100])
+def test_hot_ids_are_spread(spark, monkeypatch, ids, hot_rows):
+    """However many rows an id holds, no range does, copies of whole rows included, and every
+    document is compared with the next one across ranges."""
+    monkeypatch.setattr(numbering, "HOT_ROWS", hot_rows)
+    rows = [(HOT[ids](k), "the same text" if k % 4 == 0 else f"text {k * 7919 % 997}") for k in range(900)]
+    seen = []
+    original = f.spread
+
+    def keep(*args):
+        ranged = original(*args)
+        sizes = [r["count"] for r in ranged.groupBy("range").count().collect()]
+        seen.append(max(sizes) / sum(sizes))
+        return ranged
+
+    monkeypatch.setattr(f, "spread", keep)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "45")
+    try:
+        got = found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == expected(rows)
+    assert seen[0] < 0.05
+
+
 def test_edits_and_order_lower_the_likeness():
     text = AWKWARD[9][1][:400] + "".join(chr(97 + i * i % 26) for i in range(600))
     own = f.sketch(text).coordinates
