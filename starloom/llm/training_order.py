@@ -30,8 +30,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from starloom.llm.arrays import bound_batches, mix
 from starloom.sinks.scratch import pin
 
-#: Tokens of a sequence; slots of a shard, more once there would be over MOST_SHARDS.
-SEQUENCE, SHARD_SLOTS, MOST_SHARDS = 1024, 4096, 100_000
+#: Tokens of a sequence.
+SEQUENCE = 1024
+#: Slots of a shard: more than SHARD_SLOTS once there would be over MANY_SHARDS, up to
+#: MOST_SLOTS (64 MB at two bytes an id), as a shard is read as one row.
+SHARD_SLOTS, MANY_SHARDS, MOST_SLOTS = 4096, 100_000, 32_768
 KEY = 0x5EED_0F_0DE12
 ROUNDS = 6
 #: Bytes of tokens a task holds before it passes them on; slots written as one row.
@@ -249,7 +252,7 @@ def write_training_order(
     )
     parts, tokens = sizes.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
     total = -(-tokens // sequence)
-    shard_slots = shard_slots or max(SHARD_SLOTS, -(-total // MOST_SHARDS))
+    shard_slots = shard_slots or min(MOST_SLOTS, max(SHARD_SLOTS, -(-total // MANY_SHARDS)))
     layout = Layout(path, total, tokens, sequence, shard_slots, kind.itemsize, key)
     # Numbers of files that Spark writes get longer, so longer names come later.
     lying = (F.length("_file"), "_file", "_block", "_part")
@@ -335,7 +338,9 @@ def write_training_order(
 
     shards = -(-total // shard_slots)
     if total:
-        spread = stream.mapInArrow(cut, PIECES).repartitionByRange(shards, "shard")
+        # A task holds one shard, also where it gets several.
+        ranges = min(shards, MANY_SHARDS)
+        spread = stream.mapInArrow(cut, PIECES).repartitionByRange(ranges, "shard")
         chunks = spread.sortWithinPartitions("shard").mapInArrow(
             assemble, "shard long, chunk long, records binary"
         )

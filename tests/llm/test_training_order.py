@@ -68,6 +68,22 @@ def test_whole_table(spark, tmp_path):
     assert bytes(next(r for r in rest if r.slot == 120).ids) == raw[at : at + 256]
 
 
+def test_shards_grow_to_a_bound(spark, tmp_path, monkeypatch):
+    """Beyond the bound there are more shards, several of them in a task."""
+    monkeypatch.setattr(order, "SHARD_SLOTS", 2)
+    monkeypatch.setattr(order, "MANY_SHARDS", 3)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    for most, expected in ((1 << 20, None), (5, 5)):
+        monkeypatch.setattr(order, "MOST_SLOTS", most)
+        path = tmp_path / str(most)
+        layout = check(spark, docs, str(path), 128, None)
+        assert layout.shard_slots == (expected or -(-layout.sequences // 3))
+        shards = list(path.glob("shard=*"))
+        assert len(shards) == -(-layout.sequences // layout.shard_slots)
+        assert all(len(list(s.glob("part-*"))) == 1 for s in shards)
+    assert len(shards) > 6
+
+
 def test_awkward_rows(spark, tmp_path):
     docs = awkward(spark, slot="x", shard=1, ids=2, part=3)
     check(spark, docs, str(tmp_path / "a"), 16, 7)
