@@ -65,6 +65,9 @@ from starloom.sources import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Lines of a file of compressed JSON, which one task must read as a whole.
+JSON_FILE_ROWS = 250_000
+
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 # Every other column, so that only exact copies tie.
 LINE_ORDER = [
@@ -647,6 +650,11 @@ def star_year_zero(spark, sf_dir):
     return sentinel_probe(star.songs(staging_songs(spark, sf_dir)), "year")
 
 
+def _write_json(df: DataFrame, path: str) -> None:
+    """JSON lines in compressed files, bounded so that many tasks can read them."""
+    df.write.option("maxRecordsPerFile", JSON_FILE_ROWS).json(path, compression="gzip")
+
+
 def _job(spark, sf_dir) -> star.StarRun:
     """The whole job from JSON files to published tables."""
     constants = {"auth": "Logged In", "method": "PUT", "registration": "1540919166796"}
@@ -659,8 +667,8 @@ def _job(spark, sf_dir) -> star.StarRun:
         }
     )
     log, catalogue = scratch_path(spark, "log"), scratch_path(spark, "catalogue")
-    events.write.json(log)
-    staging_songs(spark, sf_dir).write.json(catalogue)
+    _write_json(events, log)
+    _write_json(staging_songs(spark, sf_dir), catalogue)
     return star.run_star(spark, log, catalogue, _scratch_db(spark, "star"), ordered_ids=True)
 
 
