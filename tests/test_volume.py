@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.operators import surrogate_key
 from starloom.plans import queries, star
 
 
@@ -45,3 +46,22 @@ def test_json_of_the_job_is_written_in_compressed_files_of_bounded_length(spark,
         assert max(t.count(b"\n") for t in texts) <= 50
         assert sum(t.count(b"\n") for t in texts) == count == spark.read.json(path).count()
         assert 3 * sum(f.stat().st_size for f in files) < sum(map(len, texts))
+
+
+@pytest.mark.parametrize("order", [None, ["v"]])
+def test_numbered_rows_are_not_shuffled_to_their_range_starts(spark, order):
+    """Rows larger than what is broadcast, as those of a large table are."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    rows = spark.range(60_000).select(F.xxhash64("id").alias("v"))
+    spark.conf.set(name, "64KB")
+    try:
+        numbered = surrogate_key(rows, order, "id", start=5)
+        text = numbered._jdf.queryExecution().executedPlan().toString()
+        found = numbered.collect()
+    finally:
+        spark.conf.set(name, before)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert sorted(r.id for r in found) == list(range(5, 60_005))
+    if order:
+        assert [r.v for r in sorted(found, key=lambda r: r.id)] == sorted(r.v for r in found)
